@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, fingerprint
+from skyloom.llm import bpe, fingerprint, html_text, quality_rules, url_filter
 from skyloom.session import table
 
 
@@ -39,6 +39,25 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op4_fingerprint)}
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+#: The rules of op6: (verdict, host and start of the path).
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_html_text, op4_fingerprint, op6_url_filter, op10_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}

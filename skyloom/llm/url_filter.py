@@ -1,0 +1,113 @@
+"""Operator 6 [native]: allow and block rules for urls, and a trained verdict for the rest.
+
+The host is what stands after the first "://" up to "/", "?", "#" or the end
+(A-Z lower-cased), the path goes on to "?", "#" or the end. The longest rule
+that fits decides. Other urls are judged by logistic regression on hashed
+character n-grams of host and path, trained on a small labelled url table.
+Only DataFrame functions and JVM estimators are used.
+
+Defined results: a null url, or one without "://", has an empty host and path
+and no rule; its features are those of empty strings, and the model judges them
+like any other.
+"""
+
+from __future__ import annotations
+
+from itertools import product
+
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import HashingTF
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rules and labelled urls at most: both become part of the plan or of a driver-built table.
+MAX_RULES = 1_000
+MAX_LABELLED = 20_000
+NGRAMS = (3, 4, 5)
+FEATURES = 1 << 14
+
+# The labelled urls: every term below as a host, in some usual shapes.
+_BLOCK_TERMS = (
+    "spam-farm spam-links free-bets sports-bets casino-win online-casino cheap-pills pills-shop ads-track ad-click click-tracker adult-x "
+    "adult-video xxx-cams poker-bonus slots-jackpot payday-loans quick-loans fake-watches replica-bags link-farm seo-spam porn-tube "
+    "crypto-giveaway win-prize lottery-win free-iphone malware-download warez-crack phishing-login diet-pills viagra-sale hot-dates"
+).split()
+_ALLOW_TERMS = (
+    "news daily-news science library university museum archive weather garden recipes history travel music theatre football cycling "
+    "health nature astronomy physics biology chemistry economics housing school council library-catalogue open-data wiki docs developer "
+    "city-guide books poetry cinema gallery photography farming village river mountain harbour station market"
+).split()
+_SHAPES = (("https://", ".com", "/en/12"), ("http://www.", ".org", "/de/7.html"), ("https://blog.", ".net", "/fr/345?page=2"), ("http://m.", ".example.com", "/es/98/"))
+
+
+def labelled_urls() -> list[tuple[str, int]]:
+    """(url, 1 to block or 0 to allow), a few hundred rows."""
+    return [(f"{a}{term}{b}{c}", label) for terms, label in ((_BLOCK_TERMS, 1), (_ALLOW_TERMS, 0)) for term, (a, b, c) in product(terms, _SHAPES)]
+
+
+def host_of(url: Column) -> Column:
+    host = F.regexp_extract(F.coalesce(url, F.lit("")), r"://([^/?#]*)", 1)
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def path_of(url: Column) -> Column:
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"://[^/?#]*([^?#]*)", 1)
+
+
+def _cut(starts: Column, part: Column, n: int, mark: str) -> Column:
+    return F.transform(starts, lambda i: F.concat(F.lit(mark), F.substring(part, i, F.lit(n))))
+
+
+def _grams(host: Column, path: Column) -> Column:
+    """n-grams of the host and path, each marked with its part and its ends."""
+    found = []
+    for mark, part in (("h", F.concat(F.lit("^"), host, F.lit("$"))), ("p", F.concat(F.lit("^"), path, F.lit("$")))):
+        for n in NGRAMS:
+            starts = F.when(F.length(part) >= n, F.sequence(F.lit(1), F.length(part) - n + 1)).otherwise(F.array().cast("array<int>"))
+            found.append(_cut(starts, part, n, mark))
+    return F.concat(*found)
+
+
+def _features(df: DataFrame, host: str, path: str) -> DataFrame:
+    grams = df.withColumn("__grams", _grams(F.col(host), F.col(path)))
+    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="__grams", outputCol="__features").transform(grams).drop("__grams")
+
+
+def train(spark: SparkSession, labelled: list[tuple[str, int]] | None = None) -> LogisticRegressionModel:
+    """Fit on a labelled table of MAX_LABELLED rows at most."""
+    rows = labelled_urls() if labelled is None else labelled
+    if not 0 < len(rows) <= MAX_LABELLED:
+        raise ValueError(f"the labelled table needs 1 to {MAX_LABELLED} rows, not {len(rows)}")
+    urls = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(u).alias("url"), F.lit(float(y)).alias("label")) for u, y in rows))).alias("r")).select("r.*")
+    parts = urls.select("label", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    fit = LogisticRegression(featuresCol="__features", labelCol="label", regParam=0.02, maxIter=40, standardization=False)
+    return fit.fit(_features(parts, "host", "path").coalesce(1))
+
+
+def _rule(host: Column, path: Column, rules: list[tuple[str, str]], what: int) -> Column:
+    """The text (0) or verdict (1) of the longest rule that fits, else null."""
+    chosen: Column | None = None
+    for verdict, rule in sorted(rules, key=lambda r: -len(r[1])):
+        name, slash, start = rule.partition("/")
+        fits = ((host == name) | host.endswith(f".{name}")) & path.startswith(slash + start)
+        value = F.lit((rule, verdict)[what])
+        chosen = F.when(fits, value) if chosen is None else chosen.when(fits, value)
+    return F.lit(None).cast("string") if chosen is None else chosen
+
+
+def judge(df: DataFrame, rules: list[tuple[str, str]], url_col: str = "url", model: LogisticRegressionModel | None = None, threshold: float = 0.5) -> DataFrame:
+    """Add host, path, rule, p_block and verdict; other columns pass through (those of these names are replaced)."""
+    if len(rules) > MAX_RULES:
+        raise ValueError(f"{len(rules)} rules; {MAX_RULES} at most")
+    model = model or train(df.sparkSession)
+    parts = df.withColumns({"host": host_of(df[url_col]), "path": path_of(df[url_col])})
+    scored = model.setProbabilityCol("__p").setRawPredictionCol("__raw").setPredictionCol("__y").transform(_features(parts, "host", "path"))
+    host, path, p = F.col("host"), F.col("path"), vector_to_array("__p")[1]
+    return scored.withColumns(
+        {
+            "p_block": p,
+            "rule": _rule(host, path, rules, 0),
+            "verdict": F.coalesce(_rule(host, path, rules, 1), F.when(p >= threshold, "block").otherwise("allow")),
+        }
+    ).drop("__features", "__raw", "__p", "__y")
