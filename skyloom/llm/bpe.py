@@ -74,7 +74,8 @@ def encode(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text",
         flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
 
-    return df.withColumn(ids_col, ids(text_of(df, text_col)))
+    # declared nondeterministic so that the plan encodes once, however often the ids are used
+    return df.withColumn(ids_col, ids.asNondeterministic()(text_of(df, text_col)))
 
 
 def decode(df: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
