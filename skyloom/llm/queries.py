@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, fingerprint, html_text, quality_rules, url_filter
+from skyloom.llm import bpe, cotraining, fingerprint, html_text, quality_rules, toxicity, url_filter
 from skyloom.session import table
 
 
@@ -15,6 +15,12 @@ def _ranks(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
+def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = cotraining.fit(docs, table(spark, sf_dir, "labels"))
+    return cotraining.score(docs, model).select("doc_id", "quality_score", "p_text", "p_meta", "kept")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe.encode(docs, *_ranks()).select("doc_id", "ids")
@@ -53,11 +59,22 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_html_text, op4_fingerprint, op6_url_filter, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op6_url_filter, op9_toxicity, op10_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}
