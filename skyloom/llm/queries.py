@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, cotraining, fingerprint, html_text, quality_rules, toxicity, url_filter
+from skyloom.llm import bpe, cotraining, fingerprint, html_text, mixing, pii, quality_rules, toxicity, url_filter
 from skyloom.session import table
 
 
@@ -45,6 +45,19 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs)).select("doc_id", "base", "spans")
+    counts = [F.size(F.filter("base", pii.of_kind(i))).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = mixing.apply(docs, mixing.fit(docs))
+    return found.select("doc_id", "n_tokens", F.round(F.array_max(F.map_values("posterior")), 9).alias("posterior"), "rate")
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -75,6 +88,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op6_url_filter, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op5_pii, op6_url_filter, op8_mixing, op9_toxicity, op10_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}
