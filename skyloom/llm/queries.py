@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, cotraining, fingerprint, html_text, mixing, pii, quality_rules, toxicity, url_filter
+from skyloom.llm import bpe, cotraining, fingerprint, html_text, mixing, ngram_join, pii, quality_rules, toxicity, url_filter
 from skyloom.session import table
 
 
@@ -52,6 +52,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.classify(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = mixing.apply(docs, mixing.fit(docs))
@@ -88,6 +93,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op5_pii, op6_url_filter, op8_mixing, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op5_pii, op6_url_filter, op7_ngram_join, op8_mixing, op9_toxicity, op10_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}
