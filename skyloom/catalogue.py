@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from skyloom.plans.oracle import ORACLE_SQL
+from skyloom.plans.queries import QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
