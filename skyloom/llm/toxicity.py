@@ -37,11 +37,13 @@ from skyloom.session import materialize
 
 #: Labelled rows that a fit reads at most.
 FIT_ROWS = 12_000
-#: Learned terms at most; each must be in so many toxic texts, and so many times commoner there.
+#: Learned terms at most; each must be in so many toxic texts and so many times commoner there, and chance must
+#: give such counts with a probability of exp(-EVIDENCE) at most, as many thousand terms are tried.
 MAX_TERMS = 2_000
 LEAST_TEXTS = 4
 LEAST_SHARE = 0.004
 RATIO = 25.0
+EVIDENCE = 10.0
 PREFIXES = range(3, 8)
 
 # Common insults and second-person words.
@@ -151,8 +153,15 @@ def learn_lexicon(rows: DataFrame, n_toxic: int, n_clean: int) -> tuple[str, ...
     candidates = frozenset(r.term for r in common.orderBy(F.desc("n"), "term").limit(50 * MAX_TERMS).collect())
     counts = rows.mapInArrow(_count_terms(candidates), schema).groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     ratio = (F.col("toxic") / n_toxic) / ((F.col("clean") + 0.5) / n_clean)
-    learned = counts.where((F.col("toxic") >= least) & (ratio >= RATIO)).orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect()
-    return tuple(sorted({r.term for r in learned} | set(INSULTS)))
+    # Chernoff's bound on the chance that so many of a term's texts are toxic
+    base = n_toxic / (n_toxic + n_clean)
+    seen, hit = F.col("toxic") + F.col("clean"), F.col("toxic").cast("double")
+    miss = F.col("clean").cast("double")
+    bound = hit * F.log(hit / seen / base) + F.when(miss > 0, miss * F.log(miss / seen / (1 - base))).otherwise(0.0)
+    learned = counts.where((F.col("toxic") >= least) & (ratio >= RATIO) & (bound >= EVIDENCE)).orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect()
+    # beginnings of known insults tell nothing more, but match other words
+    fresh = {r.term for r in learned if not (r.term.endswith("-") and any(word.startswith(r.term[:-1]) for word in INSULTS))}
+    return tuple(sorted(fresh | set(INSULTS)))
 
 
 @dataclass
@@ -188,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     lexicon = learn_lexicon(rows.select("text", "toxic"), toxic, clean)
     vectors = _vectors(rows, F.col("text"), lexicon, "x").select("x", F.col("toxic").cast("double").alias("label"), (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1).alias("check"))
     vectors = materialize(vectors.coalesce(4)).cache()
-    fitted = GBTClassifier(featuresCol="x", labelCol="label", maxIter=15, maxDepth=3, stepSize=0.3, seed=7)
+    fitted = GBTClassifier(featuresCol="x", labelCol="label", maxIter=15, maxDepth=3, stepSize=0.3, minInstancesPerNode=4, seed=7)
     trees = fitted.fit(vectors.where(~F.col("check")))
     checked = trees.transform(vectors.where("check")).select("label", vector_to_array("probability")[1].alias("p"))
     steps = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="s").fit(checked) if checked.select("label").distinct().count() == 2 else None
