@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from skyloom.catalogue import QUERIES
@@ -25,6 +26,7 @@ def main() -> None:
         began = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         took[name] = round(time.perf_counter() - began, 3)
+        print(name, took[name], file=sys.stderr)
     print(json.dumps({"metric": "headline queries", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": sf_dir.rpartition("sf")[2]}))
     spark.stop()
 

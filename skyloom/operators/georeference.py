@@ -86,31 +86,41 @@ def mesh_hits(ray_rows: DataFrame, triangles: DataFrame, key: list[str], cell: f
     t0, t1 = ((z - F.col("oz")) / steep for z in (F.col("z0"), F.col("z1")))
     bounded = ray_rows.crossJoin(F.broadcast(heights)).withColumns({"t0": F.greatest(F.lit(0.0), F.least(t0, t1)), "t1": F.greatest(t0, t1)}).where("t1 >= 0")
     reach = F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")) * (F.col("t1") - F.col("t0"))
-    steps = F.greatest(F.lit(1), F.ceil(reach / (cell / 2)).cast("int"))
-    at = F.transform(F.sequence(F.lit(0), steps), lambda i: F.col("t0") + (F.col("t1") - F.col("t0")) * i / steps)
-    # the cells around each step, so that no corner of a cell is cut
-    near = F.flatten(F.transform(at, lambda t: F.flatten(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda i: F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda j: F.struct(F.floor((F.col("ox") + t * F.col("dx") + i * (cell / 2)) / cell).alias("gx"), F.floor((F.col("oy") + t * F.col("dy") + j * (cell / 2)) / cell).alias("gy")))))))
-    cells = bounded.withColumn("g", F.explode(F.array_distinct(near))).select(*key, "ox", "oy", "oz", "dx", "dy", "dz", "g.gx", "g.gy")
-    pairs = cells.join(dealt, ["gx", "gy"]).withColumn("t", _distance())
+    # steps of a cell's length at most, each dealt to the cells of its bounds
+    stepped = bounded.withColumn("n", F.greatest(F.lit(1), F.ceil(reach / cell).cast("int"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    size = (F.col("t1") - F.col("t0")) / F.col("n")
+    ends = stepped.withColumns({"ta": F.col("t0") + size * F.col("i"), "tb": F.col("t0") + size * (F.col("i") + 1)})
+    for axis in "xy":
+        a, b = (F.col(f"o{axis}") + F.col(t) * F.col(f"d{axis}") for t in ("ta", "tb"))
+        # a little wider, for rounding at a cell's edge
+        ends = ends.withColumn(f"g{axis}", F.explode(F.sequence(F.floor((F.least(a, b) - EPSILON) / cell), F.floor((F.greatest(a, b) + EPSILON) / cell))))
+    pairs = _with_distance(ends.select(*key, "ox", "oy", "oz", "dx", "dy", "dz", "gx", "gy").join(dealt, ["gx", "gy"]))
     nearest = pairs.where("t is not null").groupBy(*key, "ox", "oy", "oz", "dx", "dy", "dz").agg(F.min(F.struct("t", "face_id")).alias("n"))
     return nearest.select(*key, *((F.col(f"o{c}") + F.col("n.t") * F.col(f"d{c}")).alias(c) for c in "xyz"), F.col("n.t").alias("t"), F.col("n.face_id").alias("face_id"))
 
 
-def _distance() -> Column:
-    """The distance along a ray to a triangle, null without a hit (Moeller and Trumbore 1997)."""
+def _with_distance(pairs: DataFrame) -> DataFrame:
+    """Add t, the distance along a ray to a triangle, null without a hit (Moeller and Trumbore 1997)."""
+
+    def cross(u: list[Column], v: list[Column]) -> list[Column]:
+        return [u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]]
+
+    def dot(u: list[Column], v: list[Column]) -> Column:
+        return u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
+
+    def named(name: str, vector: list[Column]) -> dict[str, Column]:
+        return {f"{name}{c}": v for c, v in zip("xyz", vector, strict=True)}
+
+    def of(name: str) -> list[Column]:
+        return [F.col(f"{name}{c}") for c in "xyz"]
+
     sub = lambda p, q: [F.col(f"{p}.{c}") - F.col(f"{q}.{c}") for c in "xyz"]
-    dot = lambda u, v: u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
-    cross = lambda u, v: [u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]]
-    d = [F.col("dx"), F.col("dy"), F.col("dz")]
-    e1, e2 = sub("b", "a"), sub("c", "a")
-    p = cross(d, e2)
-    det = dot(e1, p)
-    inverse = 1.0 / F.when(F.abs(det) > 1e-12, det)
-    s = [F.col(f"o{c}") - F.col(f"a.{c}") for c in "xyz"]
-    u = dot(s, p) * inverse
-    q = cross(s, e1)
-    v, t = dot(d, q) * inverse, dot(e2, q) * inverse
-    return F.when((u >= 0) & (v >= 0) & (u + v <= 1) & (t > 0), t)
+    steps = pairs.withColumns(named("e", sub("b", "a")) | named("f", sub("c", "a")) | named("s", [F.col(f"o{c}") - F.col(f"a.{c}") for c in "xyz"]))
+    steps = steps.withColumns(named("p", cross(of("d"), of("f"))) | named("q", cross(of("s"), of("e"))))
+    steps = steps.withColumn("det", dot(of("e"), of("p"))).where(F.abs(F.col("det")) > 1e-12)
+    inverse = 1.0 / F.col("det")
+    steps = steps.withColumns({"u": dot(of("s"), of("p")) * inverse, "v": dot(of("d"), of("q")) * inverse, "t": dot(of("f"), of("q")) * inverse})
+    return steps.withColumn("t", F.when((F.col("u") >= 0) & (F.col("v") >= 0) & (F.col("u") + F.col("v") <= 1) & (F.col("t") > 0), F.col("t")))
 
 
 def mesh_centre(vertices: DataFrame) -> DataFrame:
