@@ -49,11 +49,11 @@ def rays(points: DataFrame, epsg: int = 32633) -> DataFrame:
     one, zero = F.lit(1.0), F.lit(0.0)
     moved = points
     for name, (x, y, z) in (("p", (xc, yc, one)), ("o", (zero, zero, zero))):
-        moved = moved.withColumn(f"__{name}", F.array(*times(F.col("transform"), x, y, z)))
-        moved = moved.withColumn(f"__{name}", F.array(*times(F.col("component"), *(F.element_at(f"__{name}", i) for i in (1, 2, 3)))))
-        moved = with_utm_of_ecef(moved, *(F.element_at(f"__{name}", i) for i in (1, 2, 3)), ("__e", "__n", "__h"), epsg)
-        moved = moved.withColumn(f"__{name}", F.array("__e", "__n", "__h")).drop("__e", "__n", "__h")
-    return direction(moved, F.col("__o"), F.col("__p")).drop("__o", "__p")
+        moved = moved.withColumn(f"__ray_{name}", F.array(*times(F.col("transform"), x, y, z)))
+        moved = moved.withColumn(f"__ray_{name}", F.array(*times(F.col("component"), *(F.element_at(f"__ray_{name}", i) for i in (1, 2, 3)))))
+        moved = with_utm_of_ecef(moved, *(F.element_at(f"__ray_{name}", i) for i in (1, 2, 3)), ("__e", "__n", "__h"), epsg)
+        moved = moved.withColumn(f"__ray_{name}", F.array("__e", "__n", "__h")).drop("__e", "__n", "__h")
+    return direction(moved, F.col("__ray_o"), F.col("__ray_p")).drop("__ray_o", "__ray_p")
 
 
 def direction(df: DataFrame, origin: Column, target: Column) -> DataFrame:
