@@ -38,9 +38,9 @@ def feature_collection(prints: DataFrame) -> DataFrame:
 
 
 def slice_metadata(tiles: DataFrame) -> DataFrame:
-    """One row (value): the JSON object by tile."""
-    entry = F.struct("tile", F.struct("parent_image", "x_start", "y_start", "x_end", "y_end", "split_source").alias("t"))
-    return tiles.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+    """One row (value): the JSON object by tile (K03); of a name in several splits the greatest split counts."""
+    one = tiles.groupBy("tile").agg(F.max_by(F.struct("parent_image", "x_start", "y_start", "x_end", "y_end", "split_source"), "split_source").alias("t"))
+    return one.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("tile", "t")))).alias("value"))
 
 
 def data_yaml(root: str, classes: list[str], splits: tuple[str, ...] = ("train", "val", "test")) -> str:
