@@ -76,8 +76,8 @@ def mesh_hits(ray_rows: DataFrame, triangles: DataFrame, key: list[str], cell: f
 
     triangles(face_id, a, b, c with x, y, z). A ray is dealt to the cells that it
     crosses between the lowest and highest place of the mesh, a triangle to those
-    its bounds touch; the join is on cells, and the least distance wins (then the
-    least face). Cells follow the ray's plan in steps of half a cell.
+    its bounds touch; the join is on cells, and the least distance wins (of
+    faces at that distance, any). Cells follow the ray's plan in steps of half a cell.
     """
     xs, ys, zs = ([F.col(f"{v}.{axis}") for v in "abc"] for axis in "xyz")
     heights = triangles.agg(F.min(F.least(*zs)).alias("z0"), F.max(F.greatest(*zs)).alias("z1"))
@@ -94,9 +94,15 @@ def mesh_hits(ray_rows: DataFrame, triangles: DataFrame, key: list[str], cell: f
         a, b = (F.col(f"o{axis}") + F.col(t) * F.col(f"d{axis}") for t in ("ta", "tb"))
         # a little wider, for rounding at a cell's edge
         ends = ends.withColumn(f"g{axis}", F.explode(F.sequence(F.floor((F.least(a, b) - EPSILON) / cell), F.floor((F.greatest(a, b) + EPSILON) / cell))))
-    pairs = _with_distance(ends.select(*key, "ox", "oy", "oz", "dx", "dy", "dz", "gx", "gy").join(dealt, ["gx", "gy"]))
-    nearest = pairs.where("t is not null").groupBy(*key, "ox", "oy", "oz", "dx", "dy", "dz").agg(F.min(F.struct("t", "face_id")).alias("n"))
-    return nearest.select(*key, *((F.col(f"o{c}") + F.col("n.t") * F.col(f"d{c}")).alias(c) for c in "xyz"), F.col("n.t").alias("t"), F.col("n.face_id").alias("face_id"))
+    # a cell's rays and triangles are small next to their pairs: a fixed number of partitions keeps all cores at work
+    parts = int(ray_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = ends.select(*key, "ox", "oy", "oz", "dx", "dy", "dz", "gx", "gy").repartition(parts, "gx", "gy")
+    pairs = _with_distance(cells.join(dealt, ["gx", "gy"]))
+    # plain minima, so that the aggregation hashes rather than sorts; the ray is the same in all its pairs. Misses
+    # (null t) go after it: a filter before would be pushed below the steps of the distance and repeat them all
+    ray = [f"{v}{c}" for v in "od" for c in "xyz"]
+    nearest = pairs.groupBy(*key).agg(F.min("t").alias("t"), F.min_by("face_id", "t").alias("face_id"), *(F.min(c).alias(c) for c in ray)).where("t is not null")
+    return nearest.select(*key, *((F.col(f"o{c}") + F.col("t") * F.col(f"d{c}")).alias(c) for c in "xyz"), "t", "face_id")
 
 
 def _with_distance(pairs: DataFrame) -> DataFrame:
@@ -117,8 +123,8 @@ def _with_distance(pairs: DataFrame) -> DataFrame:
     sub = lambda p, q: [F.col(f"{p}.{c}") - F.col(f"{q}.{c}") for c in "xyz"]
     steps = pairs.withColumns(named("e", sub("b", "a")) | named("f", sub("c", "a")) | named("s", [F.col(f"o{c}") - F.col(f"a.{c}") for c in "xyz"]))
     steps = steps.withColumns(named("p", cross(of("d"), of("f"))) | named("q", cross(of("s"), of("e"))))
-    steps = steps.withColumn("det", dot(of("e"), of("p"))).where(F.abs(F.col("det")) > 1e-12)
-    inverse = 1.0 / F.col("det")
+    steps = steps.withColumn("det", dot(of("e"), of("p")))
+    inverse = 1.0 / F.when(F.abs(F.col("det")) > 1e-12, F.col("det"))
     steps = steps.withColumns({"u": dot(of("s"), of("p")) * inverse, "v": dot(of("d"), of("q")) * inverse, "t": dot(of("f"), of("q")) * inverse})
     return steps.withColumn("t", F.when((F.col("u") >= 0) & (F.col("v") >= 0) & (F.col("u") + F.col("v") <= 1) & (F.col("t") > 0), F.col("t")))
 

@@ -148,14 +148,14 @@ def _test_hull(test: DataFrame) -> DataFrame:
 
 def _pool(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(retained footprints, test cohort, candidates)."""
-    kept = _retained(spark, sf_dir)
+    kept = materialize(_retained(spark, sf_dir))
     test = kept.where("split = 'test'")
     return kept, test, testset.candidates(_prints(spark, sf_dir, "bg_candidates"), test, _test_hull(test))
 
 
 def testset_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates by the bounds of the test cohort, the hull of which SQL cannot build, or by touching it."""
-    kept = _retained(spark, sf_dir)
+    kept = materialize(_retained(spark, sf_dir))
     test = kept.where("split = 'test'")
     box = test.agg(F.min("x0").alias("bx0"), F.min("y0").alias("by0"), F.max("x1").alias("bx1"), F.max("y1").alias("by1"))
     unlabelled = _prints(spark, sf_dir, "bg_candidates")
@@ -175,7 +175,7 @@ def testset_hull_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def testset_pure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows and candidates that touch neither training footprints nor the southern buffer."""
     allocated = _allocated(spark, sf_dir)
-    kept = stratify.allocation(allocated)
+    kept = materialize(stratify.allocation(allocated))  # read five times below
     test, train = kept.where("split = 'test'"), kept.where("split = 'train'")
     dropped = allocated.join(kept.select("image_name"), "image_name", "left_anti")
     unlabelled = _prints(spark, sf_dir, "bg_candidates")
