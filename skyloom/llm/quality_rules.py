@@ -24,9 +24,10 @@ from skyloom.session import materialize
 #: Words that the histograms need to be compared at all.
 MIN_WORDS_CHARS = 20
 MIN_WORDS_COMMON = 60
-#: Jensen-Shannon distances (base 2, 0 to 1) above which a document is rejected.
-MAX_CHARS = 0.25
-MAX_COMMON = 0.31
+#: Jensen-Shannon distances (base 2, 0 to 1) above which a document is rejected, and what is added for each
+#: word's share of the document: few words make a rough histogram.
+MAX_CHARS, SHORT_CHARS = 0.25, 5.0
+MAX_COMMON, SHORT_COMMON = 0.29, 3.0
 WINDOW = 8
 
 # Frequent words of each known language.
@@ -155,7 +156,9 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: l
     to_common = [_distance(F.col(f"__w_{lang}"), n_words, r) for lang, r in common]
     nearest = lambda found: F.lit(0.0) if not found else found[0] if len(found) == 1 else F.least(*found)
     judged = classes.withColumns({"js_chars": nearest(to_chars), "js_common": nearest(to_common)})
-    far = (F.col("n_words") >= MIN_WORDS_CHARS) & (F.col("js_chars") > MAX_CHARS) | (F.col("n_words") >= MIN_WORDS_COMMON) & (F.col("js_common") > MAX_COMMON)
+    far_chars = (F.col("n_words") >= MIN_WORDS_CHARS) & (F.col("js_chars") > MAX_CHARS + SHORT_CHARS / F.greatest(n_words, F.lit(1.0)))
+    far_common = (F.col("n_words") >= MIN_WORDS_COMMON) & (F.col("js_common") > MAX_COMMON + SHORT_COMMON / F.greatest(n_words, F.lit(1.0)))
+    far = far_chars | far_common
     return judged.withColumn("base_failed", base_failed).select(
         *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "js_chars", "js_common", "base_failed", (~F.col("base_failed") & ~far).alias("kept")
     )
