@@ -159,8 +159,15 @@ def learn_lexicon(rows: DataFrame, n_toxic: int, n_clean: int) -> tuple[str, ...
     miss = F.col("clean").cast("double")
     bound = hit * F.log(hit / seen / base) + F.when(miss > 0, miss * F.log(miss / seen / (1 - base))).otherwise(0.0)
     learned = counts.where((F.col("toxic") >= least) & (ratio >= RATIO) & (bound >= EVIDENCE)).orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect()
+    terms = {r.term: (r.toxic, r.clean) for r in learned}
+    for term, (toxic, clean) in list(terms.items()):
+        # a beginning that a longer one replaces: as many toxic texts, fewer others
+        for n in range(min(PREFIXES), len(term.rstrip("-"))):
+            shorter = f"{term[:n]}-"
+            if shorter in terms and toxic >= 0.9 * terms[shorter][0] and clean < terms[shorter][1]:
+                del terms[shorter]
     # beginnings of known insults tell nothing more, but match other words
-    fresh = {r.term for r in learned if not (r.term.endswith("-") and any(word.startswith(r.term[:-1]) for word in INSULTS))}
+    fresh = {t for t in terms if not (t.endswith("-") and any(word.startswith(t[:-1]) for word in INSULTS))}
     return tuple(sorted(fresh | set(INSULTS)))
 
 
