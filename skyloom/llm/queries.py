@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.llm import bpe, cotraining, fingerprint, html_text, mixing, ngram_join, pii, quality_rules, toxicity, url_filter
+from skyloom.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from skyloom.session import table
 
 
@@ -94,5 +95,3 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op5_pii, op6_url_filter, op7_ngram_join, op8_mixing, op9_toxicity, op10_quality_rules)}
-
-ORACLE_SQL: dict[str, str] = {}
