@@ -228,16 +228,3 @@ def test_quality_rules(spark):
         assert not (r.base_failed and r.kept)
     assert np.mean([r.kept for r in rows if labels.get(r.doc_id) == 1 and not r.base_failed]) > 0.99
     assert np.mean([r.kept for r in rows if labels.get(r.doc_id) == 0]) < 0.25
-
-
-def test_pipeline(spark, sf_dir):
-    import corpus_pipeline
-
-    docs = table(spark, sf_dir, "documents")
-    rows = corpus_pipeline.run(spark, sf_dir)
-    assert rows.columns == [*docs.columns, "ids", "n_tokens"]
-    found = rows.collect()
-    assert {r.doc_id for r in found} <= {r.doc_id for r in docs.collect()}
-    encoder = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    assert all(encoder.decode(r.ids) == r.text and not _base(r.text) for r in found)
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_classifier", "ngram_jaccard_join", "pii", "mixing", "byte_bpe"]
