@@ -75,16 +75,23 @@ def mesh_hits(ray_rows: DataFrame, triangles: DataFrame, key: list[str], cell: f
     """For each ray the nearest triangle in front of it, as x, y, z, t; rays without one are left out.
 
     triangles(face_id, a, b, c with x, y, z). A ray is dealt to the cells that it
-    crosses between the lowest and highest place of the mesh, a triangle to those
-    its bounds touch; the join is on cells, and the least distance wins (of
+    crosses inside the bounds of the mesh, level and upward rays too, a triangle to
+    those its bounds touch; the join is on cells, and the least distance wins (of
     faces at that distance, any). Cells follow the ray's plan in steps of half a cell.
     """
     xs, ys, zs = ([F.col(f"{v}.{axis}") for v in "abc"] for axis in "xyz")
-    heights = triangles.agg(F.min(F.least(*zs)).alias("z0"), F.max(F.greatest(*zs)).alias("z1"))
+    extent = triangles.agg(*(e for axis, vs in zip("xyz", (xs, ys, zs), strict=True) for e in (F.min(F.least(*vs)).alias(f"{axis}0"), F.max(F.greatest(*vs)).alias(f"{axis}1"))))
     dealt = triangles.withColumn("gx", F.explode(F.sequence(F.floor(F.least(*xs) / cell), F.floor(F.greatest(*xs) / cell)))).withColumn("gy", F.explode(F.sequence(F.floor(F.least(*ys) / cell), F.floor(F.greatest(*ys) / cell))))
-    steep = F.when(F.abs(F.col("dz")) >= EPSILON, F.col("dz"))
-    t0, t1 = ((z - F.col("oz")) / steep for z in (F.col("z0"), F.col("z1")))
-    bounded = ray_rows.crossJoin(F.broadcast(heights)).withColumns({"t0": F.greatest(F.lit(0.0), F.least(t0, t1)), "t1": F.greatest(t0, t1)}).where("t1 >= 0")
+    enters, leaves, between = [F.lit(0.0)], [], F.lit(True)
+    for axis in "xyz":
+        o, d = F.col(f"o{axis}"), F.col(f"d{axis}")
+        # a little wider, for rounding at the mesh's edge; a ray along the other axes has to be between the two sides
+        low, high = F.col(f"{axis}0") - EPSILON, F.col(f"{axis}1") + EPSILON
+        along = F.when(d != 0, d)
+        enters.append(F.least((low - o) / along, (high - o) / along))
+        leaves.append(F.greatest((low - o) / along, (high - o) / along))
+        between = between & ((d != 0) | o.between(low, high))
+    bounded = ray_rows.crossJoin(F.broadcast(extent)).withColumns({"t0": F.greatest(*enters), "t1": F.least(*leaves)}).where(between & (F.col("t0") <= F.col("t1")))
     reach = F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")) * (F.col("t1") - F.col("t0"))
     # steps of a cell's length at most, each dealt to the cells of its bounds
     stepped = bounded.withColumn("n", F.greatest(F.lit(1), F.ceil(reach / cell).cast("int"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
