@@ -271,8 +271,6 @@ def _verified(texts: DataFrame, threshold: float, words: int, width: int) -> Dat
             rid, block, lo, hi, n, m = (table.column(c).to_numpy() for c in ("rid", "block", "lo", "hi", "n", "m"))
             rows = [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
             i, j = _linked(rows, _pairs_of(starts, block, lo, hi), threshold)
-            same = rid[i] == rid[j]  # a repeated row with the id of its text's first row
-            i, j = i[~same], j[~same]
             links = np.bincount(i, n[j], len(rid)) + np.bincount(j, n[i], len(rid))
             label = _forest(len(rid), i, j)
             keep = np.flatnonzero(links > 0)
@@ -308,8 +306,9 @@ def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     wanted = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
     keyed = docs.select("id", "text", *(c.alias(k) for k, c in text_keys(F.col("text")).items()))
     texts = keyed.join(wanted, (keyed["__k1"] == wanted["__k1"]) & (keyed["__k2"] == wanted["__k2"]) & keyed["id"].eqNullSafe(wanted["first"]))
-    found = materialize(_verified(texts.select("rid", "family", "m", "n", "text"), threshold, words, width))
-    # a row that is repeated with its id gives its text twice: the links of a text are the most that one copy sees
+    # rows that repeat their id and text are one row here: their number is in n
+    once = texts.select("rid", "family", "m", "n", "text").dropDuplicates(["rid"])
+    found = materialize(_verified(once, threshold, words, width))
     links = found.groupBy("rid").agg(F.sum("links").alias("links"))
     whole = found.where("not multi and rid <> other").select(F.col("rid").alias("node"), F.col("other").alias("root"))
     parts = components(found.where("multi and rid <> other").select(F.col("rid").alias("a"), F.col("other").alias("b")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from skyloom.llm import ngram_join
 from skyloom.operators import georeference
 from skyloom.plans.queries import QUERIES
 from skyloom.plans.views import view
@@ -31,3 +32,26 @@ def test_mesh_hits_of_level_and_upward_rays(spark):
     frame = spark.createDataFrame(rays, "k int, ox double, oy double, oz double, dx double, dy double, dz double")
     found = {r.k: (r.face_id, r.t) for r in georeference.mesh_hits(frame, triangles, ["k"], 6.0).collect()}
     assert found == {0: (1, pytest.approx(35.0)), 1: (1, pytest.approx(35.0)), 2: (2, pytest.approx(50.0))}
+
+
+@pytest.mark.parametrize("width", [2, 256])
+def test_repeated_rows_with_near_copies(spark, width):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base)] * 6 + [(None, f"{base} tail")] * 5 + [(2, f"{base} other tail"), (2, f"{base} tail"), (3, "six quite different words stand here"), (3, "six quite different words stand here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = [(r.id, r.class_id, r.n_links, r.keeper) for r in ngram_join.classify(docs, width=width).collect()]
+    # 13 rows are alike, each linked with the 12 others
+    expected = [(1, 1, 12, True)] * 6 + [(None, 1, 12, False)] * 5 + [(2, 1, 12, False)] * 2 + [(3, 3, 1, True)] * 2
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    kept = sorted(r.doc_id for r in ngram_join.keep_one(docs, width=width).collect())
+    assert kept == [1, 3]
+
+
+def test_verification_reads_a_repeated_text_once(spark, monkeypatch):
+    base = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(None, base)] * 40 + [(7, f"{base} tail")], "doc_id long, text string").repartition(4)
+    read = []
+    verified = ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda texts, *how: read.append(texts.count()) or verified(texts, *how))
+    assert {(r.id, r.class_id, r.n_links) for r in ngram_join.classify(docs).collect()} == {(None, 7, 40), (7, 7, 40)}
+    assert read == [2]
