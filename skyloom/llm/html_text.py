@@ -4,8 +4,9 @@ Markup is stripped to a list of lines, one for each block element. A line's
 weight is its text length without link text; lines of menus, forms, adverts and
 other furniture weigh nothing. Sums of weights over sliding windows of lines
 show where text surges and where it dives to nothing again; the lines between
-are kept. Where the page marks its article, lines outside weigh nothing and
-every line inside counts as text, so that short paragraphs stay.
+are kept, lines of links among them too. Where the page marks its article, only
+lines inside are looked at, and a region begins at the window without text before
+its surge, so that short paragraphs stay; an article without a surge is kept whole.
 
 Defined results: null or empty html gives an empty text. Character references
 are decoded, white space inside a block becomes one space, blocks are joined in
@@ -136,14 +137,9 @@ def main_text(page: str | None) -> str:
         if block:
             kept.append((line, block))
     marked = any(line.inside and not line.skipped for line, _ in kept)
-    weights = []
-    for line, block in kept:
-        if line.skipped or marked and not line.inside:
-            weights.append(0)
-        elif marked:
-            weights.append(max(len(block), SURGE))
-        else:
-            weights.append(max(0, len(block) - 2 * line.link))
+    if marked:  # the mark bounds the region; the lines between choose it
+        kept = [(line, block) for line, block in kept if line.inside and not line.skipped]
+    weights = [0 if line.skipped else max(0, len(block) - 2 * line.link) for line, block in kept]
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     chosen: list[str] = []
     i = 0
@@ -151,12 +147,17 @@ def main_text(page: str | None) -> str:
         if sums[i] < SURGE or not weights[i]:
             i += 1
             continue
-        start = i  # the surge; the heading above belongs to it
+        start = i  # the surge; in an article also the short lines before it, back to a window without text
+        while marked and start and any(weights[max(0, start - WINDOW) : start]):
+            start -= 1
+        # the heading above belongs to it
         while start and kept[start - 1][0].tag in _HEADINGS and not kept[start - 1][0].skipped and not weights[start - 1]:
             start -= 1
         while i < len(sums) and sums[i]:  # to the dive: a window without text
             i += 1
-        chosen += [block for (line, block), weight in zip(kept[start:i], weights[start:i]) if weight]
+        chosen += [block for line, block in kept[start:i] if not line.skipped]
+    if marked and not chosen:  # too short for a surge: only the mark says that it is the text
+        chosen = [block for _, block in kept]
     return "\n".join(chosen)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from skyloom.llm import ngram_join
+from skyloom.llm import html_text, ngram_join
 from skyloom.operators import georeference
 from skyloom.plans.queries import QUERIES
 from skyloom.plans.views import view
@@ -55,3 +55,16 @@ def test_verification_reads_a_repeated_text_once(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "_verified", lambda texts, *how: read.append(texts.count()) or verified(texts, *how))
     assert {(r.id, r.class_id, r.n_links) for r in ngram_join.classify(docs).collect()} == {(None, 7, 40), (7, 7, 40)}
     assert read == [2]
+
+
+def test_line_lengths_choose_the_region_of_a_marked_page():
+    long = "This is a paragraph of running text that says a little more than a menu does. " * 3
+    links = "".join(f"<p><a href=/{i}>Read on about number {i}</a></p>" for i in range(4))
+    page = f"<p>{long}</p><article><h1>Head</h1><p>Short.</p><p>{long}</p><p><a href=x>One link</a></p><p>End.</p>{links}</article><p>{long}</p>"
+    assert html_text.main_text(page) == f"Head\nShort.\n{long.strip()}\nOne link\nEnd."
+    assert html_text.main_text(f"<article>{links}<p>{long}</p></article>") == long.strip()
+
+
+def test_lines_of_links_between_surge_and_dive_stay():
+    long = "This is a paragraph of running text that says a little more than a menu does. " * 3
+    assert html_text.main_text(f"<p>{long}</p><p><a href=x>One link</a></p><p>{long}</p>") == f"{long.strip()}\nOne link\n{long.strip()}"
