@@ -22,6 +22,7 @@ a rate; without labelled rows all posteriors are even. Extra columns pass throug
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,10 +41,13 @@ PAIRS = 2048
 EVIDENCE = 40.0
 #: Domains at most: vectors of this size go to the driver.
 MAX_DOMAINS = 256
+#: Steps of a round; rounds go on as long as each halves the error.
 STEPS = 60
 #: Weight of the pull towards rate 1, and the largest relative error at which steps end early.
 PULL = 1e-3
 CLOSE = 1e-4
+#: Relative error of one domain from which its target counts as missed.
+MISSED = 1e-2
 FLATTEN = 0.7
 
 
@@ -71,6 +75,7 @@ class Model:
     gradients: list[np.ndarray] = field(default_factory=list)
     step: float = 0.0
     scale: float = 1.0
+    missed: dict[str, tuple[float, float]] = field(default_factory=dict)
 
 
 def posteriors(texts: list[str], model: Model) -> np.ndarray:
@@ -129,7 +134,7 @@ def train(df: DataFrame, text_col: str, domain_col: str, domains: list[str] | No
 
 
 def fit(df: DataFrame, text_col: str = "text", domain_col: str = "lang", targets: dict[str, float] | None = None, flatten: float = FLATTEN, steps: int = STEPS) -> Model:
-    """Train the classifier and fit the rates; targets are expected tokens of each domain."""
+    """Train the classifier and fit the rates; targets are expected tokens of each domain; those not met are in missed, with a warning."""
     model = train(df, text_col, domain_col, sorted(targets) if targets else None)
     text = text_of(df, text_col)
 
@@ -141,31 +146,40 @@ def fit(df: DataFrame, text_col: str = "text", domain_col: str = "lang", targets
     weights = materialize(df.select(weigh(text, tokens_of(text)).alias("w")))
     size = len(model.domains)
 
-    def stats() -> tuple[np.ndarray, np.ndarray, int, float]:
-        """Sums of rate x weight and of weight^2, rows, and the largest weight of a row."""
+    def stats() -> tuple[np.ndarray, float]:
+        """Sums of rate x weight, and the largest weight of a row."""
         now = model
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            got, square, rows, top = np.zeros(size), np.zeros(size * size), 0, 0.0
+            got, top = np.zeros(size), 0.0
             for batch in batches:
                 w = batch.column(0).values.to_numpy(zero_copy_only=False).reshape(-1, size)
                 got += rates(w, now) @ w
-                square += (w.T @ w).ravel()
-                rows += len(w)
                 top = max(top, float(w.sum(1).max(initial=0.0)))
-            yield pa.RecordBatch.from_pydict({"got": [got], "square": [square], "rows": [rows], "top": [top]})
-
-        parts = weights.mapInArrow(add, "got array<double>, square array<double>, rows long, top double")
-        sums = parts.agg(
-            F.array(*(F.sum(F.col("got")[i]) for i in range(size))).alias("got"),
-            F.array(*(F.sum(F.col("square")[i]) for i in range(size * size))).alias("square") if size <= 32 else F.array(F.lit(0.0)).alias("square"),
-            F.sum("rows").alias("rows"),
-            F.max("top").alias("top"),
-        ).first()
-        square = np.array(sums.square).reshape(size, size) if size <= 32 and sums.square[0] is not None else np.zeros((size, size))
-        return np.array([x or 0.0 for x in sums.got]), square, sums.rows or 0, sums.top or 0.0
-
-    have, square, _, top = stats()
+            yield pa.RecordBatch.from_pydict({"got": [got], "top": [top]})
+
+        parts = weights.mapInArrow(add, "got array<double>, top double")
+        sums = parts.agg(F.array(*(F.sum(F.col("got")[i]) for i in range(size))).alias("got"), F.max("top").alias("top")).first()
+        return np.array([x or 0.0 for x in sums.got]), sums.top or 0.0
+
+    def second_moments() -> np.ndarray:
+        """Sums of the products of two domains' weights, one row a pair of domains."""
+        upper = np.flatnonzero(np.triu(np.ones((size, size), bool)))
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            square = np.zeros((size, size))
+            for batch in batches:
+                w = batch.column(0).values.to_numpy(zero_copy_only=False).reshape(-1, size)
+                square += w.T @ w
+            yield pa.RecordBatch.from_pydict({"pair": upper.astype(np.int32), "v": square.ravel()[upper]})
+
+        square = np.zeros(size * size)
+        for r in weights.mapInArrow(add, "pair int, v double").groupBy("pair").agg(F.sum("v").alias("v")).collect():
+            square[r.pair] = r.v
+        square = square.reshape(size, size)
+        return square + np.triu(square, 1).T
+
+    have, top = stats()
     if targets:
         model.targets = np.array([float(targets[d]) for d in model.domains])
     else:
@@ -176,17 +190,23 @@ def fit(df: DataFrame, text_col: str = "text", domain_col: str = "lang", targets
     if not top:
         return model
     # weights are scaled so that the squared norm of the map from rates to tokens is 1 at most
-    norm = float(np.linalg.eigvalsh(square)[-1]) if square.any() else float(top * have.sum())
+    square = second_moments()
+    norm = float(np.linalg.eigvalsh(square)[-1])
     model.scale = 1 / np.sqrt(norm)
     model.step = 1 / (1 + PULL)
     # a preconditioner makes the steps of rare domains as long as those of common ones
-    inverse = np.linalg.pinv(square / norm + 1e-6 * np.eye(size)) if square.any() else np.eye(size)
-    for _ in range(steps):
-        error = (have - model.targets) * model.scale
-        if np.abs(have - model.targets).max() <= CLOSE * max(1.0, model.targets.max()):
-            break
-        model.gradients.append(inverse @ error)
-        have, *_ = stats()
+    inverse = np.linalg.pinv(square / norm + 1e-6 * np.eye(size))
+    last = np.inf
+    while (off := np.abs(have - model.targets).max() / max(1.0, model.targets.max())) > CLOSE:
+        if len(model.gradients) % steps == 0:  # a round that does not halve the error shows that the rest is out of reach
+            if off > last / 2:
+                break
+            last = off
+        model.gradients.append(inverse @ ((have - model.targets) * model.scale))
+        have, _ = stats()
+    model.missed = {d: (h, t) for d, h, t in zip(model.domains, have.tolist(), model.targets.tolist(), strict=True) if abs(h - t) > MISSED * max(1.0, t)}
+    if model.missed:
+        warnings.warn(f"targets out of reach (domain: expected tokens, target): {model.missed}", stacklevel=2)
     model.expected = have
     return model
 

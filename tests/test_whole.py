@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 
-from skyloom.llm import html_text, ngram_join
+from skyloom.llm import html_text, mixing, ngram_join
 from skyloom.operators import georeference
 from skyloom.plans.queries import QUERIES
 from skyloom.plans.views import view
@@ -68,3 +69,22 @@ def test_line_lengths_choose_the_region_of_a_marked_page():
 def test_lines_of_links_between_surge_and_dive_stay():
     long = "This is a paragraph of running text that says a little more than a menu does. " * 3
     assert html_text.main_text(f"<p>{long}</p><p><a href=x>One link</a></p><p>{long}</p>") == f"{long.strip()}\nOne link\n{long.strip()}"
+
+
+def test_mixing_meets_targets_of_many_domains(spark):
+    # each domain has its own letters; one document is far longer than the others
+    words = [f"{chr(0x4E00 + 97 * d)}{chr(0x5E00 + 89 * d)}" for d in range(34)]
+    rows = [(40 * d + i, " ".join([words[d]] * (20 + i)), f"d{d:02}") for d in range(34) for i in range(20)] + [(9_999, " ".join([words[0]] * 2000), "d00")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    have = {f"d{d:02}": sum(len(t.split()) for _, t, lang in rows if lang == f"d{d:02}") for d in range(34)}
+    targets = {d: n * (0.7 + 0.05 * (i % 12)) for i, (d, n) in enumerate(have.items())}
+    model = mixing.fit(docs, targets=targets)
+    assert not model.missed
+    assert np.allclose(model.expected, model.targets, rtol=5e-3)
+
+
+def test_mixing_reports_missed_targets(spark):
+    docs = spark.createDataFrame([(i, "some words of one language " * 5, "en") for i in range(20)], "doc_id long, text string, lang string")
+    with pytest.warns(UserWarning, match="out of reach"):
+        model = mixing.fit(docs, targets={"en": 500.0, "zz": 300.0})
+    assert "zz" in model.missed
