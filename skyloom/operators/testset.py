@@ -66,7 +66,7 @@ def candidates(unlabelled: DataFrame, test: DataFrame, hull: DataFrame, key: str
 
     The hull is one row and is broadcast; touching goes by cells.
     """
-    near = touching(unlabelled, test, key, cell).withColumn("__near", F.lit(True))
+    near = _meeting(unlabelled, test, key, cell).withColumn("__near", F.lit(True))
     flagged = unlabelled.join(near, key, "left").crossJoin(F.broadcast(hull.select(F.col("hull").alias("__hull"))))
     inside = (F.size("__hull") > 2) & ring.contains_strictly(F.col("__hull"), ring.point(F.col("centroid_x"), F.col("centroid_y")))
     return flagged.where(inside | F.col("__near")).drop("__near", "__hull")
@@ -85,10 +85,15 @@ def south_buffer(dropped: DataFrame, limit: float = 5_332_400.0) -> DataFrame:
 def isolated(pool: DataFrame, train: DataFrame, buffer: DataFrame, key: str = "image_name", cell: float = CELL) -> DataFrame:
     """Rows of pool whose name touches neither a training footprint nor the buffer (closed)."""
     for other in (train, buffer):
-        pool = pool.join(touching(pool, other, key, cell), key, "left_anti")
+        pool = pool.join(_meeting(pool, other, key, cell), key, "left_anti")
     return pool
 
 
+def _meeting(left: DataFrame, right: DataFrame, key: str, size: float) -> DataFrame:
+    """Keys of left rows that meet a row of right: by rings where both have them, else by bounds."""
+    return (exact_touching if "ring" in left.columns and "ring" in right.columns else touching)(left, right, key, size)
+
+
 def exact_touching(left: DataFrame, right: DataFrame, key: str, size: float) -> DataFrame:
     """touching() for convex rings: bounds first, then separating axes."""
     columns = ["ring", "x0", "y0", "x1", "y1"]

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from skyloom.llm import html_text, mixing, ngram_join
-from skyloom.operators import georeference
+from skyloom.operators import georeference, testset
 from skyloom.plans.queries import QUERIES
 from skyloom.plans.views import view
 
@@ -88,3 +88,16 @@ def test_mixing_reports_missed_targets(spark):
     with pytest.warns(UserWarning, match="out of reach"):
         model = mixing.fit(docs, targets={"en": 500.0, "zz": 300.0})
     assert "zz" in model.missed
+
+
+def test_test_sets_compare_rings_not_bounds(spark):
+    def rows(*found):
+        diamonds = [(n, [(x, y - 5.0), (x + 5.0, y), (x, y + 5.0), (x - 5.0, y)], x, y, x - 5.0, y - 5.0, x + 5.0, y + 5.0) for n, x, y in found]
+        return spark.createDataFrame(diamonds, "image_name string, ring array<struct<x:double,y:double>>, centroid_x double, centroid_y double, x0 double, y0 double, x1 double, y1 double")
+
+    # "apart" shares its bounds alone with the diamond at the origin, "meets" its ring
+    pool, other, far = rows(("apart", 8.0, 8.0), ("meets", -4.0, -4.0), ("away", 90.0, 0.0)), rows(("origin", 0.0, 0.0)), rows(("far", 900.0, 0.0))
+    hull = spark.createDataFrame([([],)], "hull array<struct<x:double,y:double>>")
+    assert {r.image_name for r in testset.isolated(pool, other, far).collect()} == {"apart", "away"}
+    assert {r.image_name for r in testset.isolated(pool, far, other).collect()} == {"apart", "away"}
+    assert {r.image_name for r in testset.candidates(pool, other, hull).collect()} == {"meets"}
