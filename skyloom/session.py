@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,24 +33,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir.
+    """The folder that driver and executors share: spark.checkpoint.dir, or the one set on the context.
 
-    Where the setting is absent (tests, one machine) a temporary folder is set.
+    Where neither is set, a session on one machine gets a temporary folder; on a
+    cluster that is an error, as executors would not see it.
     """
-    where = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    known = context.getCheckpointDir()
+    where = spark.conf.get("spark.checkpoint.dir", None) or known
     if where is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="skyloom-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(where)
+    if known is None:
+        context.setCheckpointDir(where)
     return where
 
 
+#: Folders that materialize() wrote since the innermost scratch() block began.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A block whose materialized tables are deleted at its end; what it returns must not read them."""
+    mine: list[str] = []
+    token = _written.set(mine)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in mine:
+            where, system = hadoop_path(spark, path)
+            system.delete(where, True)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, as Spark's readers see them."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it again.
 
-    Cuts the lineage: a lost executor costs a re-read, not a recomputation.
+    Cuts the lineage: a lost executor costs a re-read, not a recomputation. The
+    folder goes at the end of the scratch() block, or else of the application.
     """
-    path = f"{shared_dir(df.sparkSession)}/skyloom-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/skyloom-{uuid.uuid4().hex}"
+    written = _written.get()
+    if written is None:
+        where, system = hadoop_path(spark, path)
+        system.deleteOnExit(where)
+    else:
+        written.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

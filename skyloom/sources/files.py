@@ -11,20 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions.text import stem, strip
+from skyloom.session import hadoop_path
 
 #: Suffixes of photos, as written: case counts.
 PHOTO_SUFFIXES = (".jpg", ".jpeg", ".png", ".tif", ".tiff", ".JPG", ".JPEG", ".PNG")
 SPLITS = ("train", "val", "test")
 
 
-def _hadoop(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    where, system = _hadoop(spark, path)
+    where, system = hadoop_path(spark, path)
     return bool(system.exists(where))
 
 
@@ -33,7 +28,7 @@ def listing(spark: SparkSession, path: str, recursive: bool = False) -> DataFram
 
     Names only pass through the driver, as they do in Spark's own file index.
     """
-    where, system = _hadoop(spark, path)
+    where, system = hadoop_path(spark, path)
     rows: list[tuple[str, int]] = []
     if system.exists(where):
         files = system.listFiles(where, recursive)

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import ring
 from skyloom.functions.text import fill_colour
-from skyloom.sources.files import _hadoop
+from skyloom.session import hadoop_path
 
 
 def write_text(spark: SparkSession, path: str, content: str) -> None:
     """One small file, by Hadoop's file system."""
-    where, system = _hadoop(spark, path)
+    where, system = hadoop_path(spark, path)
     out = system.create(where, True)
     try:
         out.write(bytearray(content.encode("utf-8")))
