@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -75,6 +77,12 @@ def hadoop_path(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _forget(spark: SparkSession, path: str) -> None:
+    if SparkContext._active_spark_context is not None:
+        where, system = hadoop_path(spark, path)
+        system.delete(where, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it again.
 
@@ -86,7 +94,8 @@ def materialize(df: DataFrame) -> DataFrame:
     written = _written.get()
     if written is None:
         where, system = hadoop_path(spark, path)
-        system.deleteOnExit(where)
+        system.deleteOnExit(where)  # when the JVM ends
+        atexit.register(_forget, spark, path)  # when Python ends first
     else:
         written.append(path)
     df.write.parquet(path)
