@@ -2,7 +2,14 @@
 
 Each worker loads the rank file once. A long text is cut at safe boundaries
 before it is encoded, so that the splitting regex sees bounded strings; the ids
-are those of the uncut text. Decoding gives the raw bytes back.
+are those of the uncut text. A long run of blanks is one match of the pattern but
+for its last character, which may belong to what follows; as the regex engine
+needs a stack for such runs, they are given to the encoder as that one match.
+Decoding gives the raw bytes back.
+
+The cuts suit patterns in which blanks only stand at a match's start, and a run
+of blanks before other text matches without its last one, as in the pattern of
+the local rank files here.
 
 Defined results: a null or empty text has no ids (an empty array) and decodes to
 no bytes. Text that looks like a special token is ordinary text. Repeated rows
@@ -24,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyloom.llm.common import small_batches, text_of
+from skyloom.llm.common import text_of
 
 #: Code points after which a long text is cut at the next safe boundary.
 PIECE_CHARS = 20_000
@@ -33,6 +40,9 @@ PIECE_CHARS = 20_000
 # character to a blank or line end, and between an ASCII letter and a digit.
 _SAFE = regex.compile(r"(?<=[^\s\x1c-\x1f\x85\xa0])(?=[ \n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
 
+# White space as the pattern's engine sees it, in runs that are matched apart.
+_BLANKS = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}+")
+
 
 def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
     """Parts of text whose encodings, joined, are that of the whole text."""
@@ -57,13 +67,21 @@ def load(rank_file: str, pattern: str):
 
 
 def encode_text(encoder, text: str) -> np.ndarray:
-    parts = [encoder.encode_to_numpy(part, disallowed_special=()) for part in pieces(text)]
-    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+    found, at = [], 0
+    for run in _BLANKS.finditer(text):
+        # a blank before other text may start the next match
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        if run.start() > at:
+            found += [encoder.encode_to_numpy(part, disallowed_special=()) for part in pieces(text[at : run.start()])]
+        found.append(np.array(encoder._encode_single_piece(text[run.start() : end]), np.uint32))
+        at = end
+    if at < len(text) or not found:
+        found += [encoder.encode_to_numpy(part, disallowed_special=()) for part in pieces(text[at:])]
+    return found[0] if len(found) == 1 else np.concatenate(found)
 
 
 def encode(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Add the token ids of text_col as array<int>."""
-    small_batches(df.sparkSession)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pa.Array) -> pa.Array:

@@ -1,20 +1,15 @@
-"""Helpers of the text operators."""
+"""Helpers of the text operators.
+
+Arrow batches hold spark.sql.execution.arrow.maxBytesPerBatch at most (64 MB by
+default) or one row; operators leave that setting alone and keep little beside a
+batch and its results.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch: texts may be very long, so a batch holds few.
-BATCH_ROWS = 256
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bound the memory of one Arrow batch in a Python worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-
 def text_of(df: DataFrame, col: str = "text") -> Column:
     """The text column with null as the empty string."""
     return F.coalesce(df[col], F.lit(""))

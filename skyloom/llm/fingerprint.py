@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import small_batches
 
 BUCKETS = 128
 #: Rows of a neighbour bucket, about; each is sorted within one task.
@@ -80,7 +79,6 @@ def edited(text: str, following: str) -> str:
 
 def fingerprint(df: DataFrame, text_col: str = "text", out_col: str = "fingerprint") -> DataFrame:
     """Add the digest of each text; other columns pass through."""
-    small_batches(df.sparkSession)
 
     @F.arrow_udf("string")
     def digests(texts: pa.Array) -> pa.Array:
@@ -103,7 +101,6 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     near_edited, near_next.
     """
     spark = df.sparkSession
-    small_batches(spark)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # null ids are last in descending order, as the lowest
     rows = rows.select(F.coalesce("id", F.lit(-(1 << 63))).alias("key"), "id", "text")
