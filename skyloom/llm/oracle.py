@@ -7,8 +7,6 @@ classes are the closure of the links.
 
 from __future__ import annotations
 
-from skyloom.llm.quality_rules import COMMON_WORDS, MAX_CHARS, MAX_COMMON, MIN_WORDS_CHARS, MIN_WORDS_COMMON, SHORT_CHARS, SHORT_COMMON
-
 _BLANKS = r"[ \t-\r]+"
 #: White space of Unicode, as str.split() sees it.
 _UNICODE_BLANKS = r"[\t-\r \x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -84,11 +82,10 @@ from docs d join texts t using (t) join classes c on c.id = t.id left join sizes
 
 
 def _quality_rules() -> str:
-    listed = ", ".join(f"('{lang}', {i}, '{w}')" for lang, words in COMMON_WORDS.items() for i, w in enumerate(words))
-    langs = ", ".join(f"'{lang}'" for lang in COMMON_WORDS)
     classes = (r"[^\p{Ll}]+", r"[^\p{Lu}]+", r"[^\p{Nd}]+", r"[^.,;:!?''\"()-]+", r"[^#*$%&|<>@=/\\{}\[\]_^~+]+")
     lengths = ", ".join(f"length(regexp_replace(t, '{c}', '', 'g'))" for c in classes)
     part = "(case when {0} > 0 then {0} * log2(2 * {0} / ({0} + {1})) / 2 else 0 end)"
+    scriptless = ", ".join(f"length(regexp_replace(t, '{c}', '', 'g'))" for c in (r"[^\p{L}\p{M}]+", r"[^\p{Nd}]+", r"[^\p{P}]+"))
     distance = f"sqrt(greatest(0, sum({part.format('p', 'q')} + {part.format('q', 'p')})))"
     return f"""
 with docs as (select row_number() over () as r, doc_id, lang, coalesce(text, '') as t from documents),
@@ -101,30 +98,33 @@ listed as (select r, list_filter(string_split(t, chr(10)), lambda l: regexp_matc
 base as (
     select d.r, d.doc_id, d.lang, len(w)::bigint as n_words, length(regexp_replace(t, '{_BLANKS}', '', 'g'))::bigint as word_chars,
         (length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')))::bigint as n_symbols, (len(l) - len(list_distinct(l)))::bigint as n_dup_lines,
-        coalesce(n_repeat_words, 0)::bigint as n_repeat_words, length(t) as chars, [{lengths}] as c
+        coalesce(n_repeat_words, 0)::bigint as n_repeat_words, length(t) as chars, [{lengths}] as c, [{scriptless}] as v
     from docs d join tokens using (r) join listed using (r) left join repeated using (r)),
 judged as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from base),
+known as (select lang from documents where lang is not null group by lang having count(*) >= 20),
+frequent as (select lang, word, count(*) as n from (select distinct r, lang, lower(word) as word from placed join docs using (r)) join known using (lang) group by all),
+common as (select lang, word, row_number() over (partition by lang order by n desc, word) - 1 as k from frequent qualify k < 20),
 class_rows as (
-    select r, lang, base_failed, unnest(range(6)) as k, unnest(list_append(c, greatest(0, chars - list_sum(c)))) as c, chars as total from judged),
-class_refs as (select lang as ref, k, sum(c) / greatest(1, sum(sum(c)) over (partition by lang)) as q from class_rows where not base_failed and lang in ({langs}) group by lang, k),
-class_far as (
-    select r, min(js) as js from (
-        select r, ref, {distance} as js from (select r, ref, c / greatest(1, total)::double as p, q from class_rows join class_refs using (k)) group by r, ref) group by r),
-common(ref, k, word) as (values {listed}),
-found as (select p.r, c.ref, c.k, count(*) as c from placed p join common c on lower(p.word) = c.word group by all),
-grid as (select j.r, j.lang, j.base_failed, j.n_words, g.ref, g.k, coalesce(f.c, 0) as c from judged j cross join common g left join found f on f.r = j.r and f.ref = g.ref and f.k = g.k),
+    select r, lang, base_failed, unnest(range(6)) as k, unnest(list_append(c, greatest(0, chars - list_sum(c)))) as c, chars as total from judged join known using (lang)),
+class_refs as (select lang, k, sum(c) / greatest(1, sum(sum(c)) over (partition by lang)) as q from class_rows where not base_failed group by lang, k),
+class_far as (select r, {distance} as js from (select r, c / greatest(1, total)::double as p, q from class_rows join class_refs using (lang, k)) group by r),
+visible_rows as (
+    select r, unnest(list_append(v, greatest(0, word_chars - list_sum(v)))) / greatest(1, word_chars)::double as p, unnest([0.955, 0.005, 0.035, 0.005])::double as q
+    from judged where lang is null or lang not in (select lang from known)),
+visible_far as (select r, {distance} as js from visible_rows group by r),
+found as (select r, k, count(*) as c from placed join docs using (r) join common using (lang) where lower(placed.word) = common.word group by all),
+grid as (
+    select j.r, j.lang, j.base_failed, j.n_words, g.k, coalesce(f.c, 0) as c
+    from judged j join (select lang, unnest(range(20)) as k from known) g using (lang) left join found f on f.r = j.r and f.k = g.k),
 word_rows as (
-    select r, lang, base_failed, n_words, ref, k, c from grid
-    union all select r, any_value(lang), any_value(base_failed), any_value(n_words), ref, -1, greatest(0, any_value(n_words) - sum(c)) from grid group by r, ref),
-word_refs as (select ref, k, sum(c) / greatest(1, sum(sum(c)) over (partition by ref)) as q from word_rows where lang = ref and not base_failed group by ref, k),
-word_far as (
-    select r, min(js) as js from (
-        select r, ref, {distance} as js from (select r, ref, c / greatest(1, n_words)::double as p, q from word_rows join word_refs using (ref, k)) group by r, ref) group by r)
+    select * from grid union all select r, any_value(lang), any_value(base_failed), any_value(n_words), 20, greatest(0, any_value(n_words) - sum(c)) from grid group by r),
+word_refs as (select lang, k, sum(c) / greatest(1, sum(sum(c)) over (partition by lang)) as q from word_rows where not base_failed group by lang, k),
+word_far as (select r, {distance} as js from (select r, c / greatest(1, n_words)::double as p, q from word_rows join word_refs using (lang, k)) group by r)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     not base_failed
-    and not (n_words >= {MIN_WORDS_CHARS} and coalesce(a.js, 0) > {MAX_CHARS} + {SHORT_CHARS}::double / greatest(n_words, 1))
-    and not (n_words >= {MIN_WORDS_COMMON} and coalesce(b.js, 0) > {MAX_COMMON} + {SHORT_COMMON}::double / greatest(n_words, 1)) as kept
-from judged left join class_far a using (r) left join word_far b using (r)
+    and not (n_words >= 20 and coalesce(a.js, v.js, 0) > 0.25 + 5.0::double / greatest(n_words, 1))
+    and not (n_words >= 60 and coalesce(b.js, 0) > 0.29 + 3.0::double / greatest(n_words, 1)) as kept
+from judged left join class_far a using (r) left join visible_far v using (r) left join word_far b using (r)
 """
 
 

@@ -2,20 +2,24 @@
 
 Base rules count words, symbols, repeated lines and words in repeated windows.
 The method compares each document's histogram of character classes and its
-histogram of common words to language references by Jensen-Shannon distance.
-References are summed over all documents of a language that pass the base rules;
-a document is judged by its nearest reference, and documents with fewer words
-than a guard are not judged by histograms.
-
-Defined results: a null or empty text has no words and fails the base rules;
-where no language has a reference (an empty table, or none with the known
-languages), every document that passes the base rules is kept. Only DataFrame
-functions are used.
+histogram of common words to the references of its language by Jensen-Shannon
+distance. Every language of the table with MIN_DOCS documents has references: its
+COMMON words that are in the most documents, and the histograms of its documents
+that pass the base rules. Documents with fewer words than a guard are not judged
+by histograms.
+
+A document without a language, or of one with fewer documents, is of an unknown
+language: only the shares of letters (of any script), digits, punctuation and
+symbols among its visible characters are compared, with those of prose.
+
+Defined results: a null or empty text has no words and fails the base rules; an
+empty table has no references; repeated rows count each. Words that are in equally
+many documents are taken in their byte order. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import text_of
@@ -29,30 +33,44 @@ MIN_WORDS_COMMON = 60
 MAX_CHARS, SHORT_CHARS = 0.25, 5.0
 MAX_COMMON, SHORT_COMMON = 0.29, 3.0
 WINDOW = 8
-
-# Frequent words of each known language.
-COMMON_WORDS = {
-    "en": "the of and to in is that it for was on are as with be by this from at which".split(),
-    "fr": "de la le et les des un une du que est en pour qui dans par sur pas au avec".split(),
-    "de": "der die und den das von zu mit ist des auf ein eine dem nicht für sich im auch als".split(),
-    "es": "de la que el en y los se del las por un para con no una su al lo es".split(),
-}
-_ALL_WORDS = sorted({w for words in COMMON_WORDS.values() for w in words})
+#: Common words of a language, and documents that it needs for references.
+COMMON, MIN_DOCS = 20, 20
+#: Languages with references at most: their lists are broadcast.
+MAX_LANGUAGES = 1_000
 
 # Character classes, as Java patterns; what is left over is a class of its own.
 _CLASSES = {"lower": r"[^\p{Ll}]+", "upper": r"[^\p{Lu}]+", "digit": r"[^\p{Nd}]+", "stop": r"[^.,;:!?'\"()-]+", "symbol": r"[^#*$%&|<>@=/\\{}\[\]_^~+]+"}
+# Of visible characters in any script, and their shares in prose; the rest are symbols.
+_SCRIPTLESS = {r"[^\p{L}\p{M}]+": 0.955, r"[^\p{Nd}]+": 0.005, r"[^\p{P}]+": 0.035}
+#: One letter for each common word.
+_CODES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"[:COMMON]
 
 _SPACES = r"[ \t-\r]+"
 
 
-def _code(word: str) -> str:
-    return chr(0x100 + _ALL_WORDS.index(word))
-
+def common_words(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """(lang, list): the words of each language of MIN_DOCS documents that are in most of them.
 
-def measure(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """keep and the counts of each whole text."""
+    Words are counted by language and word; then each task sends its best COMMON
+    words of a language, so that no language is gathered in one place.
+    """
+    sizes = df.groupBy(df[lang_col].alias("lang")).count().where(F.col("lang").isNotNull() & (F.col("count") >= MIN_DOCS))
+    known = [r.lang for r in sizes.limit(MAX_LANGUAGES + 1).collect()]
+    if len(known) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} languages")
+    rows = df.where(df[lang_col].isin(known)) if known else df.limit(0)
+    words = rows.select(df[lang_col].alias("lang"), F.explode(F.array_distinct(F.split(F.lower(text_of(df, text_col)), _SPACES))).alias("word"))
+    counts = words.where("word <> ''").groupBy("lang", "word").count()
+    best = counts.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("place") <= COMMON)
+    return best.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "word"))), lambda x: x["word"]).alias("list"))
+
+
+def measure(df: DataFrame, text_col: str, keep: list[str], lists: DataFrame) -> DataFrame:
+    """keep and the counts of each whole text; lists are the common words by language (column __lang of df)."""
     text = text_of(df, text_col)
-    tokens = df.select(*keep, text.alias("__text"), F.filter(F.split(text, _SPACES), lambda w: w != "").alias("__words"))
+    plain = df.select(*keep, text.alias("__text"), F.filter(F.split(text, _SPACES), lambda w: w != "").alias("__words"))
+    named = lists.select(F.col("lang").alias("__lang"), F.col("list").alias("__list"))
+    tokens = plain.join(F.broadcast(named), "__lang", "left").select(*plain.columns, "__list")
     words = F.col("__words")
     hashed = tokens.select("*", F.transform(words, lambda w: F.xxhash64(w)).alias("__hashes"), F.size(words).alias("__n"))
     # one window for each word that has seven after it
@@ -76,12 +94,13 @@ def measure(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     )
     lines = F.filter(F.split("__text", "\n"), lambda line: line.rlike(r"[^ \t-\r]"))
     with_lines = repeated.select("*", lines.alias("__lines"), F.coalesce(F.when(F.col("__again"), covered), F.lit(0)).alias("__covered"))
-    common = F.filter(F.transform(words, lambda w: F.lower(w)), lambda w: w.isin(_ALL_WORDS))
-    codes = F.array_join(F.transform(common, lambda w: F.element_at(F.create_map(*(F.lit(x) for word in _ALL_WORDS for x in (word, _code(word)))), w)), "")
-    coded = with_lines.select("*", codes.alias("__codes"), F.size("__lines").alias("__n_lines"))
+    places = F.filter(F.transform(F.split(F.lower("__text"), _SPACES), lambda w: F.array_position("__list", w)), lambda p: p > 0)
+    codes = F.array_join(F.transform(places, lambda p: F.substring(F.lit(_CODES), p.cast("int"), F.lit(1))), "")
+    coded = with_lines.select("*", F.when(F.col("__list").isNotNull(), codes).alias("__codes"), F.size("__lines").alias("__n_lines"))
     body = F.regexp_replace("__text", _SPACES, "")
     classes = {name: F.length(F.regexp_replace("__text", pattern, "")) for name, pattern in _CLASSES.items()}
-    counts = {w: F.length("__codes") - F.length(F.replace("__codes", F.lit(_code(w)), F.lit(""))) for w in _ALL_WORDS}
+    counts = [F.length("__codes") - F.length(F.replace("__codes", F.lit(c), F.lit(""))) for c in _CODES]
+    scriptless = F.array(*(F.length(F.regexp_replace("__text", pattern, "")) for pattern in _SCRIPTLESS))
     return coded.select(
         *keep,
         F.col("__n").cast("long").alias("n_words"),
@@ -91,7 +110,8 @@ def measure(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
         F.col("__covered").cast("long").alias("n_repeat_words"),
         F.length("__text").alias("__chars"),
         F.array(*classes.values()).alias("__classes"),
-        F.array(*counts.values()).alias("__common"),
+        F.when(F.col("__list").isNotNull(), F.array(*counts)).alias("__common"),
+        F.when(F.col("__list").isNull(), scriptless).alias("__scriptless"),
     )
 
 
@@ -100,65 +120,55 @@ def _with_rest(counts: Column, total: Column) -> Column:
     return F.concat(counts, F.array(F.greatest(F.lit(0.0), total - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x))))
 
 
-def _shares(counts: list[float]) -> list[float]:
-    total = sum(counts) or 1.0
-    return [c / total for c in counts]
-
-
-def _distance(counts: Column, total: Column, reference: list[float]) -> Column:
+def _distance(counts: Column, total: Column, reference: Column) -> Column:
     """Jensen-Shannon distance (base 2) between a histogram of total and a reference."""
-    q = F.array(*map(F.lit, reference))
     p = F.transform(counts, lambda c: F.when(total > 0, c / total).otherwise(F.lit(0.0)))
 
     def part(a: Column, b: Column) -> Column:
         return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0)) / 2
 
-    parts = F.zip_with(p, q, lambda a, b: part(a, b) + part(b, a))
+    parts = F.zip_with(p, reference, lambda a, b: part(a, b) + part(b, a))
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)))
 
 
 def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None) -> DataFrame:
-    """keep (all columns if None) with the counts, base_failed, both distances and kept.
+    """keep (all columns if None) with the counts, base_failed, both distances (null where not compared) and kept.
 
     The counts of a document are written once to the shared folder (they are a
     few hundred bytes a row, besides what is kept) and read for the references and
-    for the verdicts; the references are one row for each known language.
+    for the verdicts; the references are one row for each language.
     """
     keep = df.columns if keep is None else keep
     table = df.withColumn("__lang", df[lang_col])
-    counts = materialize(measure(table, text_col, [*keep, "__lang"]))
+    lists = materialize(common_words(df, text_col, lang_col))
+    counts = materialize(measure(table, text_col, [*keep, "__lang"], lists))
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    n_classes, n_common = len(_CLASSES), len(_ALL_WORDS)
-    sums = (
-        counts.where(~base_failed & F.col("__lang").isin(list(COMMON_WORDS)))
-        .groupBy("__lang")
-        .agg(
-            F.sum("__chars").alias("chars"),
-            F.sum("n_words").alias("words"),
-            *(F.sum(F.col("__classes")[i]).alias(f"c{i}") for i in range(n_classes)),
-            *(F.sum(F.col("__common")[i]).alias(f"w{i}") for i in range(n_common)),
-        )
-        .collect()
-    )
-    chars, common = [], []
-    for row in sums:
-        seen = [float(row[f"c{i}"]) for i in range(n_classes)]
-        chars.append(_shares([*seen, max(0.0, row["chars"] - sum(seen))]))
-        own = [float(row[f"w{_ALL_WORDS.index(w)}"]) for w in COMMON_WORDS[row["__lang"]]]
-        common.append((row["__lang"], _shares([*own, max(0.0, row["words"] - sum(own))])))
-    doubles = counts.withColumns({"__classes": F.col("__classes").cast("array<double>"), "__common": F.col("__common").cast("array<double>")})
     n_chars, n_words = F.col("__chars").cast("double"), F.col("n_words").cast("double")
-    classes = doubles.withColumn("__classes", _with_rest(F.col("__classes"), n_chars))
-    for lang, _ in common:
-        own = F.array(*(F.col("__common")[_ALL_WORDS.index(w)] for w in COMMON_WORDS[lang]))
-        classes = classes.withColumn(f"__w_{lang}", _with_rest(own, n_words))
-    to_chars = [_distance(F.col("__classes"), n_chars, r) for r in chars]
-    to_common = [_distance(F.col(f"__w_{lang}"), n_words, r) for lang, r in common]
-    nearest = lambda found: F.lit(0.0) if not found else found[0] if len(found) == 1 else F.least(*found)
-    judged = classes.withColumns({"js_chars": nearest(to_chars), "js_common": nearest(to_common)})
-    far_chars = (F.col("n_words") >= MIN_WORDS_CHARS) & (F.col("js_chars") > MAX_CHARS + SHORT_CHARS / F.greatest(n_words, F.lit(1.0)))
-    far_common = (F.col("n_words") >= MIN_WORDS_COMMON) & (F.col("js_common") > MAX_COMMON + SHORT_COMMON / F.greatest(n_words, F.lit(1.0)))
-    far = far_chars | far_common
+    doubles = counts.withColumns({c: F.col(c).cast("array<double>") for c in ("__classes", "__common", "__scriptless")})
+    whole = doubles.withColumns({"__classes": _with_rest(F.col("__classes"), n_chars), "__common": _with_rest(F.col("__common"), n_words)})
+    sums = [*(F.sum(F.col("__classes")[i]).alias(f"c{i}") for i in range(len(_CLASSES) + 1)), *(F.sum(F.col("__common")[i]).alias(f"w{i}") for i in range(COMMON + 1))]
+    totals = whole.where(~base_failed & F.col("__common").isNotNull()).groupBy("__lang").agg(*sums)
+
+    def shares(prefix: str, n: int) -> Column:
+        found = F.array(*(F.col(f"{prefix}{i}") for i in range(n)))
+        return F.transform(found, lambda c: c / F.greatest(F.lit(1.0), F.aggregate(found, F.lit(0.0), lambda a, x: a + x)))
+
+    references = totals.select("__lang", shares("c", len(_CLASSES) + 1).alias("__ref_classes"), shares("w", COMMON + 1).alias("__ref_common"))
+    judged = whole.join(F.broadcast(references), "__lang", "left")
+    known = F.col("__ref_classes").isNotNull()
+    visible = F.col("word_chars").cast("double")
+    prose = F.array(*map(F.lit, _SCRIPTLESS.values()), F.lit(1 - sum(_SCRIPTLESS.values())))
+    unknown = F.when(F.col("__scriptless").isNotNull(), _distance(_with_rest(F.col("__scriptless"), visible), visible, prose))
+    judged = judged.withColumns(
+        {
+            "js_chars": F.when(known, _distance(F.col("__classes"), n_chars, F.col("__ref_classes"))).otherwise(unknown),
+            "js_common": F.when(known, _distance(F.col("__common"), n_words, F.col("__ref_common"))),
+        }
+    )
+    slack = lambda limit, short: F.lit(limit) + short / F.greatest(n_words, F.lit(1.0))
+    far_chars = (F.col("n_words") >= MIN_WORDS_CHARS) & (F.col("js_chars") > slack(MAX_CHARS, SHORT_CHARS))
+    far_common = (F.col("n_words") >= MIN_WORDS_COMMON) & (F.col("js_common") > slack(MAX_COMMON, SHORT_COMMON))
+    far = F.coalesce(far_chars, F.lit(False)) | F.coalesce(far_common, F.lit(False))
     return judged.withColumn("base_failed", base_failed).select(
         *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "js_chars", "js_common", "base_failed", (~F.col("base_failed") & ~far).alias("kept")
     )
