@@ -7,9 +7,12 @@ its similarity reaches the threshold falls below a tolerance. The pairs that sta
 tie documents into families; within a family every pair is then verified exactly
 on the shingles themselves.
 
-Large buckets and families are cut into blocks, and each pair of blocks is one
-group of bounded size, so no key brings an unbounded group into one task; pairs
-are counted inside the tasks and never become rows. With 32 bands of 4 values, a
+Large buckets and families are cut into blocks of bounded rows and bytes, and a
+group is one pair of blocks, so no key brings an unbounded group into one task;
+pairs are counted inside the tasks and never become rows. Members of a bucket
+first meet within their block alone, which ties most copies together; then only
+buckets in which several families are left are compared across blocks, and there
+the members outside the largest family with all others. With 32 bands of 4 values, a
 pair at the threshold of 0.8 misses all bands with probability 5e-8, and pruning
 drops it with probability of the order of the tolerance.
 
@@ -41,8 +44,9 @@ HASHES, BAND = 128, 4
 #: Values compared at a time, and the probability below which a pair is dropped.
 STRIDE = 16
 TOLERANCE = 1e-7
-#: Members of a block, about.
+#: Members of a block, about, and bytes of their shingle sets.
 BLOCK = 256
+BLOCK_BYTES = 32 << 20
 #: Family members up to which their keys are broadcast (32 bytes each).
 BROADCAST_ROWS = 1_000_000
 
@@ -115,20 +119,24 @@ def survivors(signatures: np.ndarray, i: np.ndarray, j: np.ndarray, limits: list
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Tables of about `rows` rows that hold whole groups (column g), and the starts of their groups."""
+    """Tables of about `rows` rows, or BLOCK_BYTES, that hold whole groups (column g), and the starts of their groups."""
     held: list[pa.RecordBatch] = []
-    n = 0
+    n = size = 0
     for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            n += batch.num_rows
-        if n >= rows:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            held.append(part)
+            n += part.num_rows
+            size += part.nbytes
+            if n < rows and size < BLOCK_BYTES:
+                continue
             table = pa.Table.from_batches(held).combine_chunks()
             g = table.column("g").to_numpy()
             cut = int(_starts(g)[-2])  # where the last group starts
             if cut:
                 yield table.slice(0, cut).combine_chunks(), _starts(g[:cut])
-                held, n = table.slice(cut).to_batches(), len(g) - cut
+                held = table.slice(cut).to_batches()
+                n, size = len(g) - cut, sum(b.nbytes for b in held)
     if held:
         table = pa.Table.from_batches(held).combine_chunks()
         yield table, _starts(table.column("g").to_numpy())
@@ -172,15 +180,34 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
-def _blocked(members: DataFrame, key: str, size: str, width: int) -> DataFrame:
+def _blocked(members: DataFrame, key: str, blocks: Column) -> DataFrame:
     """members with a row for each pair of blocks that they are in: block, lo, hi, g (a key of the group)."""
-    blocks = F.ceil(F.col(size) / width).cast("int")
-    dealt = members.withColumn("__blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("__blocks")).cast("int"))
+    dealt = members.withColumn("__blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("__blocks")).cast("int"))
     paired = dealt.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
     sides = paired.withColumns({"lo": F.least("block", "__other"), "hi": F.greatest("block", "__other")}).drop("__other", "__blocks")
     return sides.withColumn("g", F.xxhash64(key, "lo", "hi"))
 
 
+def _across(dealt: DataFrame, tied: DataFrame, width: int) -> DataFrame:
+    """Members of buckets with several blocks and several families, by pairs of blocks: rid, root, block, lo, hi, g.
+
+    The largest family of a bucket has blocks of its own, which are not paired with each other.
+    """
+    rooted = dealt.join(tied.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    families = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    open_ = families.groupBy("bucket").agg(F.sum("n").alias("m"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("first")).where((F.col("m") > width) & (F.col("most") < F.col("m")))
+    members = rooted.join(open_, "bucket")
+    large, rest = F.ceil(F.col("most") / width), F.ceil((F.col("m") - F.col("most")) / width)
+    own = F.col("root") == F.col("first")
+    placed = members.withColumns({"__large": large.cast("int"), "__rest": rest.cast("int"), "__own": own})
+    spread = F.xxhash64("rid")
+    block = F.when(F.col("__own"), F.pmod(spread, F.col("__large"))).otherwise(F.col("__large") + F.pmod(spread, F.col("__rest"))).cast("int")
+    first = F.when(F.col("__own"), F.col("__large")).otherwise(F.lit(0))
+    paired = placed.withColumn("block", block).withColumn("__other", F.explode(F.sequence(first, F.col("__large") + F.col("__rest") - 1)))
+    sides = paired.withColumns({"lo": F.least("block", "__other"), "hi": F.greatest("block", "__other")})
+    return sides.select("rid", "root", "block", "lo", "hi", F.xxhash64("bucket", "lo", "hi", F.lit(1)).alias("g"))
+
+
 def _families(groups: DataFrame, threshold: float, tolerance: float, width: int) -> DataFrame:
     """(node, root) of documents tied by pairs that pruning lets through. groups: rid, sig."""
 
@@ -194,27 +221,42 @@ def _families(groups: DataFrame, threshold: float, tolerance: float, width: int)
 
     dealt = groups.select("rid", "sig").mapInArrow(bands, "bucket long, rid long")
     sizes = dealt.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    members = _blocked(dealt.join(sizes, "bucket"), "bucket", "m", width).select("g", "rid", "block", "lo", "hi")
+    shared = dealt.join(sizes, "bucket")
     limits = least_matches(threshold, tolerance)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in _whole_groups(batches, 8192):
-            rid, block, lo, hi = (table.column(c).to_numpy() for c in ("rid", "block", "lo", "hi"))
+            rid, root, block, lo, hi = (table.column(c).to_numpy() for c in ("rid", "root", "block", "lo", "hi"))
             signatures = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
-            left, right = [], []
+            left, right = [np.zeros(0, int)], [np.zeros(0, int)]
             for i, j in _pairs_of(starts, block, lo, hi):
+                apart = root[i] != root[j]
+                i, j = i[apart], j[apart]
                 for at in range(0, len(i), 100_000):
                     a, b = survivors(signatures, i[at : at + 100_000], j[at : at + 100_000], limits)
                     left.append(a)
                     right.append(b)
-            label = _forest(len(rid), np.concatenate([*left, np.zeros(0, int)]), np.concatenate([*right, np.zeros(0, int)]))
+            label = _forest(len(rid), np.concatenate(left), np.concatenate(right))
             tied = np.flatnonzero(label != np.arange(len(rid)))
             ends = np.unique(np.stack([rid[label[tied]], rid[tied]], 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], schema=schema)
 
-    with_values = members.join(groups.select("rid", "sig"), "rid").repartition("g").sortWithinPartitions("g", "lo", "hi")
-    return components(with_values.select("g", "rid", "block", "lo", "hi", "sig").mapInArrow(compare, "a long, b long"))
+    def met(members: DataFrame) -> DataFrame:
+        """Edges between members of the same group."""
+        valued = members.join(groups.select("rid", "sig"), "rid").repartition("g").sortWithinPartitions("g", "lo", "hi")
+        return valued.select("g", "rid", "root", "block", "lo", "hi", "sig").mapInArrow(compare, "a long, b long")
+
+    block = F.pmod(F.xxhash64("rid"), F.ceil(F.col("m") / width)).cast("int")
+    within = shared.select("rid", F.col("rid").alias("root"), block.alias("block"), block.alias("lo"), block.alias("hi"), F.xxhash64("bucket", block).alias("g"))
+    near = components(met(within))
+    if not sizes.where(F.col("m") > width).limit(1).count():
+        return near
+    near = materialize(near)
+    whole = dealt.join(sizes.where(F.col("m") > width), "bucket").select("bucket", "rid")
+    # both ends of an edge stand for their families
+    far = met(_across(whole, near, width))
+    return components(near.select(F.col("node").alias("a"), F.col("root").alias("b")).union(far))
 
 
 def _linked(rows: list[np.ndarray], pairs: Iterator[tuple[np.ndarray, np.ndarray]], threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -255,28 +297,28 @@ def _overlaps(rows: list[np.ndarray]) -> np.ndarray:
     return common
 
 
-def _verified(texts: DataFrame, threshold: float, words: int, width: int) -> DataFrame:
-    """(rid, links, other, multi) from texts(rid, family, m, n, text): links of each block pair, and ties."""
+def _verified(texts: DataFrame, threshold: float, words: int) -> DataFrame:
+    """(rid, links, other, multi) from texts(rid, family, m, n, blocks, text): links of each block pair, and ties."""
 
     @F.arrow_udf(T.BinaryType())
     def sets(column: pa.Array) -> pa.Array:
         return pa.array([shingles(t, words).tobytes() for t in column.to_pylist()], pa.binary())
 
-    members = texts.select("rid", "family", "m", "n", sets("text").alias("set"))
-    dealt = _blocked(members, "family", "m", width).repartition("g").sortWithinPartitions("g", "rid")
+    members = texts.select("rid", "family", "m", "n", "blocks", sets("text").alias("set"))
+    dealt = _blocked(members, "family", F.col("blocks")).repartition("g").sortWithinPartitions("g", "rid")
     schema = pa.schema([("rid", pa.int64()), ("links", pa.int64()), ("other", pa.int64()), ("multi", pa.bool_())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in _whole_groups(batches, 512):
-            rid, block, lo, hi, n, m = (table.column(c).to_numpy() for c in ("rid", "block", "lo", "hi", "n", "m"))
+            rid, block, lo, hi, n, blocks = (table.column(c).to_numpy() for c in ("rid", "block", "lo", "hi", "n", "blocks"))
             rows = [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
             i, j = _linked(rows, _pairs_of(starts, block, lo, hi), threshold)
             links = np.bincount(i, n[j], len(rid)) + np.bincount(j, n[i], len(rid))
             label = _forest(len(rid), i, j)
             keep = np.flatnonzero(links > 0)
-            yield pa.RecordBatch.from_arrays([pa.array(rid[keep]), pa.array(links[keep].astype(np.int64)), pa.array(rid[label[keep]]), pa.array(m[keep] > width)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(rid[keep]), pa.array(links[keep].astype(np.int64)), pa.array(rid[label[keep]]), pa.array(blocks[keep] > 1)], schema=schema)
 
-    return dealt.select("g", "rid", "block", "lo", "hi", "n", "m", "set").mapInArrow(verify, "rid long, links long, other long, multi boolean")
+    return dealt.select("g", "rid", "block", "lo", "hi", "n", "blocks", "set").mapInArrow(verify, "rid long, links long, other long, multi boolean")
 
 
 def text_keys(text: Column) -> dict[str, Column]:
@@ -286,28 +328,30 @@ def text_keys(text: Column) -> dict[str, Column]:
 
 def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS, tolerance: float = TOLERANCE, width: int = BLOCK) -> DataFrame:
     """One row a document: id, __k1, __k2 (its text's keys), class_id, n_links, keeper (the row that stays, one a class)."""
-    spark = df.sparkSession
     docs = df.select(df[id_col].alias("id"), text_of(df, text_col).alias("text"))
 
     @F.arrow_udf(T.BinaryType())
     def values(texts: pa.Array) -> pa.Array:
         return pa.array([signature(s).tobytes() if len(s := shingles(t, words)) else None for t in texts.to_pylist()], pa.binary())
 
-    marked = materialize(docs.select("id", *(c.alias(k) for k, c in text_keys(F.col("text")).items()), values("text").alias("sig")))
-    groups = marked.where("sig is not null").groupBy("__k1", "__k2").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.first("sig").alias("sig"))
+    marked = materialize(docs.select("id", *(c.alias(k) for k, c in text_keys(F.col("text")).items()), F.octet_length("text").cast("long").alias("size"), values("text").alias("sig")))
+    groups = marked.where("sig is not null").groupBy("__k1", "__k2").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.first("size").alias("size"), F.first("sig").alias("sig"))
     groups = materialize(groups.withColumn("rid", F.monotonically_increasing_id()))
     tied = _families(groups, threshold, tolerance, width)
     roots = tied.select(F.col("root").alias("node"), "root").distinct()
     families = materialize(tied.union(roots).select(F.col("node").alias("rid"), F.col("root").alias("family")))
-    sizes = families.groupBy("family").agg(F.count("*").alias("m"))
-    need = families.join(sizes, "family").join(groups.select("rid", "__k1", "__k2", "n", "first"), "rid")
+    known = families.join(groups.select("rid", "__k1", "__k2", "n", "first", "size"), "rid")
+    # a shingle set has about one and a half bytes for each of its text
+    blocks = F.ceil(F.greatest(F.count("*") / width, F.sum("size") * 1.5 / BLOCK_BYTES))
+    sizes = known.groupBy("family").agg(F.count("*").alias("m"), blocks.cast("int").alias("blocks"))
+    need = known.drop("size").join(sizes, "family")
     need = materialize(need)
     wanted = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
     keyed = docs.select("id", "text", *(c.alias(k) for k, c in text_keys(F.col("text")).items()))
     texts = keyed.join(wanted, (keyed["__k1"] == wanted["__k1"]) & (keyed["__k2"] == wanted["__k2"]) & keyed["id"].eqNullSafe(wanted["first"]))
     # rows that repeat their id and text are one row here: their number is in n
-    once = texts.select("rid", "family", "m", "n", "text").dropDuplicates(["rid"])
-    found = materialize(_verified(once, threshold, words, width))
+    once = texts.select("rid", "family", "m", "n", "blocks", "text").dropDuplicates(["rid"])
+    found = materialize(_verified(once, threshold, words))
     links = found.groupBy("rid").agg(F.sum("links").alias("links"))
     whole = found.where("not multi and rid <> other").select(F.col("rid").alias("node"), F.col("other").alias("root"))
     parts = components(found.where("multi and rid <> other").select(F.col("rid").alias("a"), F.col("other").alias("b")))
