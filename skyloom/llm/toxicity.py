@@ -4,12 +4,13 @@ A lexicon joins known insults with terms learned from the training rows: words
 and word beginnings that are far commoner in toxic than in other texts. Features
 are lexicon densities, closeness to second-person words, shares of capitals and
 punctuation, and rates of obfuscated words. Trees are fitted on most training
-rows; isotonic regression on the rest maps their probabilities to frequencies.
-Only texts are inputs of a score.
+rows; isotonic regression on the rest, which neither trees nor learned terms have
+seen, maps their probabilities to frequencies. Only texts are inputs of a score.
 
 Fitting reads at most `fit_rows` labelled rows, chosen by a hash of doc_id, and
-never a held-out row (crc32 of doc_id as text, mod 5, is 0). Scoring reads every
-whole text.
+never a held-out row (crc32 of doc_id as text, mod 5, is 0). The model has at most
+MAX_TERMS learned terms, the best of MAX_CANDIDATES that are in the most toxic
+rows of the fit. Scoring reads every whole text.
 
 Defined results: null and empty texts are scored with all features 0; null
 labels are left out of the fit; a doc_id that is repeated in labels counts once
@@ -40,6 +41,7 @@ FIT_ROWS = 12_000
 #: Learned terms at most; each must be in so many toxic texts and so many times commoner there, and chance must
 #: give such counts with a probability of exp(-EVIDENCE) at most, as many thousand terms are tried.
 MAX_TERMS = 2_000
+MAX_CANDIDATES = 100_000
 LEAST_TEXTS = 4
 LEAST_SHARE = 0.004
 RATIO = 25.0
@@ -100,11 +102,10 @@ def features(text: str, lexicon: tuple[str, ...]) -> list[float]:
     for end, (term, size) in _automaton(lexicon).iter(flat):
         starts[end - size + 1] = term
     insults, people = set(INSULTS), set(SECOND_PERSON)
-    near = leet = 0
-    if starts:
-        for at in starts:
-            around = flat[max(0, at - 60) : at].split()[-NEAR:] + flat[at : at + 60].split()[1 : 1 + NEAR]
-            near += not people.isdisjoint(around)
+    leet = 0
+    # a match starts at the blank before its word
+    place = np.searchsorted(np.cumsum([0] + [len(w) + 1 for w in words]), sorted(starts)).tolist() if starts else []
+    near = sum(not people.isdisjoint(words[max(0, i - NEAR) : i] + words[i + 1 : i + 1 + NEAR]) for i in place)
     odd = _OBFUSCATED.findall(text)
     if odd:
         plain = re.sub(r"(?<=\w)[.*\-_](?=\w)", "", lowered).translate(_LEET)
@@ -150,7 +151,7 @@ def learn_lexicon(rows: DataFrame, n_toxic: int, n_clean: int) -> tuple[str, ...
     schema = "term string, clean long, toxic long"
     common = rows.where("toxic = 1").mapInArrow(_count_terms(None), schema).groupBy("term").agg(F.sum("toxic").alias("n")).where(F.col("n") >= least)
     # each toxic text of bounded share adds few terms of that share; the longest list is cut by frequency
-    candidates = frozenset(r.term for r in common.orderBy(F.desc("n"), "term").limit(50 * MAX_TERMS).collect())
+    candidates = frozenset(r.term for r in common.orderBy(F.desc("n"), "term").limit(MAX_CANDIDATES).collect())
     counts = rows.mapInArrow(_count_terms(candidates), schema).groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     ratio = (F.col("toxic") / n_toxic) / ((F.col("clean") + 0.5) / n_clean)
     # Chernoff's bound on the chance that so many of a term's texts are toxic
@@ -189,6 +190,11 @@ def _vectors(df: DataFrame, text: Column, lexicon: tuple[str, ...], out: str) ->
     return df.withColumn(out, array_to_vector(dense(text)))
 
 
+def _checks(doc_id: Column) -> Column:
+    """The rows that calibrate: an eighth of those that are not held out."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 10 == 1
+
+
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Learn from docs(doc_id, text) and labels(doc_id, toxic) without held-out rows."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -200,8 +206,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     if not toxic or not clean:
         return Model(tuple(INSULTS), None, None, toxic / max(1, toxic + clean))
-    lexicon = learn_lexicon(rows.select("text", "toxic"), toxic, clean)
-    vectors = _vectors(rows, F.col("text"), lexicon, "x").select("x", F.col("toxic").cast("double").alias("label"), (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1).alias("check"))
+    learning = rows.where(~_checks(F.col("doc_id")))
+    seen = {r.toxic: r["count"] for r in learning.groupBy("toxic").count().collect()}
+    lexicon = learn_lexicon(learning.select("text", "toxic"), seen[1], seen[0]) if len(seen) == 2 else tuple(INSULTS)
+    vectors = _vectors(rows, F.col("text"), lexicon, "x").select("x", F.col("toxic").cast("double").alias("label"), _checks(F.col("doc_id")).alias("check"))
     vectors = materialize(vectors.coalesce(4)).cache()
     fitted = GBTClassifier(featuresCol="x", labelCol="label", maxIter=15, maxDepth=3, stepSize=0.3, minInstancesPerNode=4, seed=7)
     trees = fitted.fit(vectors.where(~F.col("check")))
