@@ -9,6 +9,10 @@ all documents estimates how reliable each labeler is, and its posteriors train a
 logistic span classifier. Candidates that it accepts are added; base spans
 always stay.
 
+Texts are read once: detect() writes each document's spans and their votes beside
+it, from which the fit and the verdicts follow. fit() and find() do the two apart,
+for a model that judges other documents.
+
 Everything that touches documents is DataFrame functions. What the driver sees
 is one count for each pattern of votes and features, at most
 4 x 3^5 x 2^5 rows.
@@ -27,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import text_of
+from skyloom.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 #: Characters before a span that labelers read.
@@ -207,7 +212,23 @@ def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray, steps: int = 300
 
 def fit(df: DataFrame, text_col: str = "text", threshold: float = 0.5) -> Model:
     """Estimate labelers and train the span classifier over all spans of all documents."""
-    spans = _candidates(df.select(text_of(df, text_col).alias("text")), F.col("text"), failed=True).select(F.explode(F.concat("__base", "__wide", "__failed")).alias("s"))
+    return _fit(_candidates(df.select(text_of(df, text_col).alias("text")), F.col("text"), failed=True), threshold)
+
+
+def find(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """Add base and spans: arrays of (start, kind, end), by start and kind; other columns pass through."""
+    return _find(_candidates(df, text_of(df, text_col)), model)
+
+
+def detect(df: DataFrame, text_col: str = "text", threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
+    """find() with a model fitted on the same documents, and the columns to keep (None: all); candidates are computed once and written with these."""
+    kept = df.columns if keep is None else keep
+    found = materialize(_candidates(df, text_of(df, text_col), failed=True).select(*kept, "__base", "__wide", "__failed"))
+    return _find(found, _fit(found, threshold)).drop("__failed")
+
+
+def _fit(found: DataFrame, threshold: float) -> Model:
+    spans = found.select(F.explode(F.concat("__base", "__wide", "__failed")).alias("s"))
     rows = spans.groupBy(F.col("s.key").alias("key")).count().orderBy("key").collect()
     if not rows:
         return Model([], np.full(5, 0.8), {})
@@ -222,9 +243,7 @@ def fit(df: DataFrame, text_col: str = "text", threshold: float = 0.5) -> Model:
     return Model([k for k, value in zip(keys, p, strict=True) if value >= threshold], right, dict(zip(keys, p.tolist(), strict=True)))
 
 
-def find(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Add base and spans: arrays of (start, kind, end), by start and kind; other columns pass through."""
-    found = _candidates(df, text_of(df, text_col))
+def _find(found: DataFrame, model: Model) -> DataFrame:
     # patterns of base spans need no verdict; the list holds wide ones only
     accepted = [k for k in model.accepted if not k.split("|")[1].startswith("+")]
     added = F.filter("__wide", lambda w: w["key"].isin(accepted)) if accepted else F.slice("__wide", 1, 0)
