@@ -1,4 +1,8 @@
-"""The training-data pipeline: five stages over documents, each written as Parquet and read again."""
+"""The training-data pipeline: five stages over documents, each written as Parquet and read again.
+
+All stages take null and empty texts, repeated rows, null ids, empty tables and
+further columns, whatever their names; columns come out as they went in.
+"""
 
 from __future__ import annotations
 
@@ -10,34 +14,54 @@ from skyloom.session import materialize, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the co-trained views keep."""
+    """The documents that the co-trained views keep.
+
+    Null texts count as empty and are judged like all others; repeated rows have
+    the same score, so all stay or none; without labels of both kinds all stay.
+    """
     model = cotraining.fit(docs, table(spark, sf_dir, "labels"))
     return cotraining.score(docs, model).where("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: that with the least id.
+
+    Rows that repeat an id and text are one row. Null, empty and blank texts are
+    copies of nothing: each id keeps them.
+    """
     return ngram_join.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with each span of personal data replaced by its kind in brackets."""
-    found = pii.find(docs, pii.fit(docs))
-    clean = found.withColumn("text", F.when(docs["text"].isNotNull(), pii.redact(F.col("text"), F.col("spans"))))
+    """The documents with each span of personal data replaced by its kind in brackets, and n_chars to match.
+
+    A null text stays null, an empty one empty; repeated rows stay equal.
+    """
+    found = pii.detect(docs)
+    clean = found.withColumn("text", F.when(F.col("text").isNotNull(), pii.redact(F.col("text"), F.col("spans"))))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents, repeated by the rates that bring the languages to their target tokens."""
+    """The documents, repeated by the rates that bring the languages to their target tokens.
+
+    Texts without words have rate 1; rows without a language get the rate of what
+    their text looks like; repeated rows are repeated alike. No document goes.
+    """
     return mixing.repeat(mixing.apply(docs, mixing.fit(docs))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the ids of their texts."""
+    """The documents with the ids of their texts, their number, and whether they decode to the text's bytes.
+
+    A null or empty text has no ids, and they decode to no bytes.
+    """
     import public_tokenizers
 
-    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.decode(bpe.encode(docs, *ranks), *ranks)
+    whole = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return encoded.withColumns({"n_tokens": F.size("ids").cast("long"), "round_trip": whole}).drop("decoded")
 
 
 STAGES = [
