@@ -13,6 +13,11 @@ from skyloom.llm import bpe, cotraining, mixing, ngram_join, pii
 from skyloom.session import materialize, table
 
 
+def _apart(docs: DataFrame, *names: str) -> DataFrame:
+    """The columns that an operator reads, and each row whole as __row, where no name can clash."""
+    return docs.select(F.struct(*docs.columns).alias("__row"), *names)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the co-trained views keep.
 
@@ -20,7 +25,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     the same score, so all stay or none; without labels of both kinds all stay.
     """
     model = cotraining.fit(docs, table(spark, sf_dir, "labels"))
-    return cotraining.score(docs, model).where("kept").select(*docs.columns)
+    return cotraining.score(_apart(docs, "text", "lang", "source", "n_chars"), model).where("kept").select("__row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +42,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A null text stays null, an empty one empty; repeated rows stay equal.
     """
-    found = pii.detect(docs)
-    clean = found.withColumn("text", F.when(F.col("text").isNotNull(), pii.redact(F.col("text"), F.col("spans"))))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    found = pii.detect(_apart(docs, "text"), keep=["__row"])
+    text = F.col("__row.text")
+    clean = found.select("__row", F.when(text.isNotNull(), pii.redact(text, F.col("spans"))).alias("clean"))
+    return clean.select(F.col("__row").withField("text", F.col("clean")).withField("n_chars", F.length("clean").cast("long")).alias("__row")).select("__row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,20 +54,21 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts without words have rate 1; rows without a language get the rate of what
     their text looks like; repeated rows are repeated alike. No document goes.
     """
-    return mixing.repeat(mixing.apply(docs, mixing.fit(docs))).select(*docs.columns)
+    return mixing.repeat(mixing.apply(_apart(docs, "doc_id", "text"), mixing.fit(docs))).select("__row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the ids of their texts, their number, and whether they decode to the text's bytes.
 
-    A null or empty text has no ids, and they decode to no bytes.
+    A null or empty text has no ids, and they decode to no bytes. Columns named ids,
+    n_tokens or round_trip are replaced.
     """
     import public_tokenizers
 
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = bpe.decode(bpe.encode(docs, *ranks), *ranks)
-    whole = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return encoded.withColumns({"n_tokens": F.size("ids").cast("long"), "round_trip": whole}).drop("decoded")
+    encoded = bpe.decode(bpe.encode(docs, *ranks), *ranks, bytes_col="__decoded")
+    whole = F.col("__decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return encoded.withColumns({"n_tokens": F.size("ids").cast("long"), "round_trip": whole}).drop("__decoded")
 
 
 STAGES = [
