@@ -94,7 +94,7 @@ def measure(df: DataFrame, text_col: str, keep: list[str], lists: DataFrame) ->
     )
     lines = F.filter(F.split("__text", "\n"), lambda line: line.rlike(r"[^ \t-\r]"))
     with_lines = repeated.select("*", lines.alias("__lines"), F.coalesce(F.when(F.col("__again"), covered), F.lit(0)).alias("__covered"))
-    places = F.filter(F.transform(F.split(F.lower("__text"), _SPACES), lambda w: F.array_position("__list", w)), lambda p: p > 0)
+    places = F.filter(F.transform(words, lambda w: F.array_position("__list", F.lower(w))), lambda p: p > 0)
     codes = F.array_join(F.transform(places, lambda p: F.substring(F.lit(_CODES), p.cast("int"), F.lit(1))), "")
     coded = with_lines.select("*", F.when(F.col("__list").isNotNull(), codes).alias("__codes"), F.size("__lines").alias("__n_lines"))
     body = F.regexp_replace("__text", _SPACES, "")
