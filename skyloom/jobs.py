@@ -131,8 +131,10 @@ def build_testset(spark: SparkSession, c: config.TestSet, allocation: DataFrame,
     return pure
 
 
-def box_statistics(spark: SparkSession, dataset_dir: str, out: str, size: tuple[int, int] = (1024, 1024)) -> None:
-    """The tables behind the box dashboard, as Parquet."""
+def box_statistics(spark: SparkSession, dataset_dir: str, out: str, size: tuple[int, int] | None = None) -> None:
+    """The tables behind the box dashboard, as Parquet; without a size, that of the first image that can be read."""
+    if size is None:
+        size = photos.size_of(spark, [f"{dataset_dir}/{path}" for s in files.SPLITS for path in (f"{s}/images", f"images/{s}")] + [f"{dataset_dir}/images", dataset_dir])
     samples = yolo.dataset(spark, dataset_dir)
     boxes = None
     for folder in files.label_folders(spark, dataset_dir).values():
@@ -184,8 +186,8 @@ def main(args: list[str] | None = None) -> None:
     elif name == "curate":
         curate_dataset(spark, _over(settings.curation, chosen))
     else:
-        side = chosen.get("img_size", (1024, 1024))
-        box_statistics(spark, chosen["dataset_dir"], chosen["output_dir"], side if len(side) == 2 else (side[0], side[0]))
+        side = chosen.get("img_size")
+        box_statistics(spark, chosen["dataset_dir"], chosen["output_dir"], side and (side if len(side) == 2 else (side[0], side[0])))
 
 
 def _over(settings, chosen: dict):

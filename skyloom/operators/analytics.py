@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.text import share
+from skyloom.operators.spatial import touching
 
 # COCO's limits of small and medium areas in square pixels.
 SMALL, MEDIUM = 32 * 32, 96 * 96
@@ -107,6 +108,26 @@ def cohort_layers(footprints: DataFrame, cohorts: dict[str, DataFrame], key: str
     return layers
 
 
+def with_total(df: DataFrame, key: str) -> DataFrame:
+    """Rows for each value of key, and in total."""
+    counts = df.groupingSets([[key], []], key).agg(F.coalesce(F.col(key), F.lit("total")).alias("layer"), F.count("*").alias("n"))
+    return counts.select("layer", "n")
+
+
+def with_combined(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Each row in the layer of its key and in the layer of all."""
+    return df.withColumn(name, F.explode(F.array(F.col(key), F.lit("all"))))
+
+
+def distillation_layers(allocated: DataFrame, unlabelled: DataFrame, key: str = "image_name", cell: float = 64.0) -> DataFrame:
+    """(key, campaign, layer): labelled training tiles, unlabelled ones that touch neither validation nor test, and these two."""
+    columns = [key, "campaign"]
+    held = allocated.where("split <> 'train'")
+    safe = unlabelled.join(touching(unlabelled, held, key, cell), key, "left_anti").select(*columns, F.lit("safe_unlabeled").alias("layer"))
+    layer = F.when(F.col("split") == "train", "labeled_train").otherwise(F.col("split"))
+    return allocated.select(*columns, layer.alias("layer")).unionByName(safe)
+
+
 def selected_parents(tiles: DataFrame, cameras: DataFrame) -> DataFrame:
     """Distinct parents of tiles that have a camera, matched as written."""
     return tiles.select("parent_image").distinct().join(cameras.select(F.col("label").alias("parent_image")).distinct(), "parent_image", "left_semi")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.functions.text import share
+
 
 def allocation_audit(allocated: DataFrame, images: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: allocated, missing_disk, missing_labels (of those on disk), copied."""
@@ -71,6 +73,19 @@ def fg_bg(samples: DataFrame, boxes: str = "n_boxes") -> DataFrame:
     ).drop("split")
 
 
+def background_ratio(stats: DataFrame) -> DataFrame:
+    """fg_bg() with the background's percent of each cohort."""
+    return stats.withColumn("bg_pct", F.round(share(F.col("bg"), F.col("fg") + F.col("bg")), 6))
+
+
+def by_period(samples: DataFrame) -> DataFrame:
+    """Samples with a place, and period: newest, older or unknown against newest_year."""
+    year, newest = F.col("campaign_year"), F.col("newest_year")
+    known = (year > 0) & (newest > 0)
+    period = F.when(known & (year >= newest), "newest").when(known & (year < newest), "older").otherwise("unknown")
+    return samples.where("lon is not null and lat is not null").withColumn("period", period)
+
+
 def newest_and_older(samples: DataFrame) -> DataFrame:
     """One row: the newest year, and the newest before it (else the year before, or 0)."""
     years = samples.where(F.col("campaign_year") > 0).select(F.col("campaign_year").alias("y"))

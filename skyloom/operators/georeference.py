@@ -15,8 +15,9 @@ EPSILON = 1e-6
 def first_campaign(rows: DataFrame, *key: str) -> DataFrame:
     """For each key the row of the first campaign (W02); repeats within a campaign: the greatest row wins."""
     others = [c for c in rows.columns if c not in key]
-    best = F.min_by(F.struct(*others), F.struct("campaign_ord"))
-    return rows.groupBy(*key).agg(best.alias("r")).select(*key, "r.*")
+    # the campaign first, then all columns, the other way round
+    best = F.max(F.struct((-F.col("campaign_ord")).alias("__first"), *others))
+    return rows.groupBy(*key).agg(best.alias("r")).select(*key, *(F.col(f"r.{c}") for c in others))
 
 
 def last_of(rows: DataFrame, key: str, order: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions import ring
+from skyloom.functions.text import share
 from skyloom.operators.spatial import box_pairs, touching
 
 CELL = 64.0
@@ -102,6 +103,24 @@ def exact_touching(left: DataFrame, right: DataFrame, key: str, size: float) ->
     return pairs.where(meet).select(F.col(f"l_{key}").alias(key)).distinct()
 
 
+def metrics(rows: DataFrame) -> DataFrame:
+    """One row of counts over rows(slice_type, n_boxes): labelled foreground and background, unlabelled rows as background, boxes, percents."""
+    labelled, boxes = F.col("slice_type") == "labeled_test", F.coalesce("n_boxes", F.lit(0))
+    counts = rows.agg(
+        F.count("*").alias("total"),
+        F.count_if(labelled & (boxes > 0)).alias("fg"),
+        F.count_if(~labelled | (boxes == 0)).alias("bg"),
+        F.sum(F.when(labelled, boxes).otherwise(0)).cast("long").alias("boxes"),
+    )
+    return counts.withColumns({"fg_pct": F.round(share(F.col("fg"), F.col("total")), 6), "bg_pct": F.round(share(F.col("bg"), F.col("total")), 6)})
+
+
+def with_source(pure: DataFrame, present: DataFrame, key: str) -> DataFrame:
+    """pure with source: copy where the file is present, crop where it has to be cut anew."""
+    there = present.select(key).distinct().withColumn("__there", F.lit(True))
+    return pure.join(there, key, "left").withColumn("source", F.when(F.col("__there"), "copy").otherwise("crop")).drop("__there")
+
+
 def crops(needed: DataFrame, tiles: DataFrame, photos: DataFrame) -> DataFrame:
     """Crops by parent photo: one row a photo with its ordered crops, so that it is decoded once.
 

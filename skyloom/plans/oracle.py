@@ -42,6 +42,40 @@ from (select *, sqrt(ux*ux + uy*uy + uz*uz) as m from (select *, cam_x + (px - 4
       cam_z + (case when event_id % 10 = 0 then 0e0 when event_id % 10 = 1 then 1e0 else -1e0 end) - cam_z as uz from cameras))""",
 }
 
+
+
+def _density(values: str) -> dict[str, str]:
+    """Values in 2,000 bins, and what a Gaussian kernel of Scott's width makes of them on 200 places."""
+    return {
+        "vals": values,
+        "st": "select count(v) as n, stddev_samp(v) as sd, min(v) as lo, max(v) as hi from vals",
+        "fine": "select round((v - lo)/((hi - lo)/2000)) as b, count(*) as c from vals, st where v is not null and sd > 0 group by 1",
+        "gr": "select lo, n, sd*n**(-0.2e0) as h, (hi - lo)/2000 as step, lo + (hi - lo)*i/199 as x from st, (select unnest(range(200)) as i)",
+    }
+
+
+_DENSITY = """select round(gx, 9) as x, d as density from
+(select gr.x as gx, round(sum(c*exp(-power((gr.x - (lo + b*step))/h, 2)/2)/(n*h*2.5066282746310002e0)), 9) as d from gr, fine group by 1)"""
+_SAMPLES = _PRINTS | {
+    "pl": "select image_name, round((x0 + (x0 + fw) + (x0 + fw) + x0)/4, 6) as lon, round((y0 + y0 + (y0 + fh) + (y0 + fh))/4, 6) as lat, cast(campaign as int) as year from sized",
+    "tg": """select stem, 'ghost' as g, false as o from disk where has_image and in_dropped_log
+union all select stem, 'excluded_orphan', true from disk where has_image and not in_dropped_log and in_missing_log and not has_label
+union all select stem, 'train', false from disk where has_image and has_label""",
+    "samples": """select t.stem, case when not o and d.in_missing_log then 'no_footprint' else g end as map_group, lon, lat, year
+from tg t join disk d using (stem) left join pl on pl.image_name = t.stem""",
+}
+_DISTIL = _PRINTS | _BG | {
+    "layers": f"""select image_name, campaign, case when split = 'train' then 'labeled_train' else split end as layer from retained
+union all select image_name, campaign, 'safe_unlabeled' from bg c where not exists (select 1 from retained t where t.split <> 'train' and {_MEET.format(a='c', b='t')})""",
+}
+_PURE = _PRINTS | _BG | {
+    "pool": f"""select image_name, campaign, x0, y0, x1, y1, 'labeled_test' as slice_type from retained where split = 'test'
+union all select image_name, campaign, x0, y0, x1, y1, 'unlabeled_test' from bg c where exists (select 1 from retained t where t.split = 'test' and {_MEET.format(a='c', b='t')})""",
+    "gone": "select * from allocated where image_name not in (select image_name from retained) and centroid_y < 500e0",
+    "pure": f"""select * from pool p where not exists (select 1 from retained t where t.split = 'train' and {_MEET.format(a='p', b='t')})
+and not exists (select 1 from gone t where {_MEET.format(a='p', b='t')})""",
+}
+
 ORACLE_SQL = {
     "tile_grid": with_views(["photos"], _GRID, "select tile, parent_image, split_source, x_start, y_start, x_start + 1024 as x_end, y_start + 1024 as y_end from grid"),
     "tile_labels": with_views(["photos", "boxes"], _LABELS, "select * from kept"),
@@ -149,7 +183,7 @@ union all select stem, in_missing_log, 'train' from disk where has_image and has
     ),
     "sample_geo_enrich": with_views(
         ["footprints", "disk"],
-        {"p": "select image_name, round((x0 + (x0 + fw) + (x0 + fw) + x0)/4, 6) as lon, round((y0 + y0 + (y0 + fh) + (y0 + fh))/4, 6) as lat, campaign from footprints where o_orderkey % 7 <> 0"},
+        _PRINTS | {"p": "select image_name, round((x0 + (x0 + fw) + (x0 + fw) + x0)/4, 6) as lon, round((y0 + y0 + (y0 + fh) + (y0 + fh))/4, 6) as lat, campaign from sized"},
         """select stem, lon, lat, coalesce(campaign, 'Unknown') as campaign, cast(campaign as int) as campaign_year
 from disk left join p on stem = image_name where has_image""",
     ),
@@ -182,4 +216,112 @@ from (select year(o_orderdate) as y, max(year(o_orderdate)) over () as m from or
     ),
     "shoelace_area_centroid": with_views(["footprints"], _PRINTS, "select image_name, round(area_m2, 4) as area, round(centroid_x, 3) as cx, round(centroid_y, 3) as cy from prints"),
     "json_props_extract": "select event_id, cast(props->>'$.k' as int) as k from events where props->>'$.k' is not null",
+    "footprint_area_hist": with_views(
+        ["footprints"],
+        _PRINTS | {"r": "select min(area_m2) as lo, max(area_m2) as hi, round(avg(area_m2), 6) as mean_area from prints"},
+        "select least(floor((area_m2 - lo)/(hi - lo)*30) + 1, 30)::bigint as bin, count(*) as n, any_value(mean_area) as mean_area from prints, r group by 1",
+    ),
+    "footprint_area_density": with_views(["footprints"], _PRINTS | _density("select area_m2 as v from prints"), _DENSITY),
+    "box_area_density": with_views(["boxes"], _PIXEL | _density("select log10(area_px) as v from boxed"), _DENSITY),
+    "mapped_by_campaign": with_views(
+        ["cameras", "slices"],
+        {"w": """select t.tile, min_by(c.campaign, c.campaign_ord) as campaign from slices t join cameras c on lower(trim(c.label)) = lower(trim(t.parent_image)) group by t.tile"""},
+        "select coalesce(campaign, 'total') as layer, count(*) as n from w group by grouping sets ((campaign), ())",
+    ),
+    "map_group_counts": with_views(["footprints", "disk"], _SAMPLES, "select map_group, count(*) as n from samples where lon is not null group by 1"),
+    "cohort_map": with_views(
+        ["footprints", "disk"],
+        _SAMPLES,
+        """select map_group, case when year is null then 'unknown' when year = (select max(year) from samples) then 'newest' else 'older' end as period,
+       count(*) as n, round(avg(lon), 6) as mean_lon, round(avg(lat), 6) as mean_lat from samples where lon is not null group by 1, 2""",
+    ),
+    "background_ratio": with_views(
+        ["photos", "boxes"],
+        {"n": "select parent_image, count(*) as n_boxes from boxes where bw > 0 and bh > 0 group by 1", "j": "select split, coalesce(n_boxes, 0) as n_boxes from photos left join n using (parent_image)"},
+        """select coalesce(split, 'total') as cohort, count(*) filter (where n_boxes > 0) as fg, count(*) filter (where n_boxes = 0) as bg, cast(sum(n_boxes) as bigint) as boxes,
+       round(count(*) filter (where n_boxes = 0)*1e2/count(*), 6) as bg_pct from j group by grouping sets ((split), ())""",
+    ),
+    "splits_layer": with_views(
+        ["footprints"],
+        _PRINTS,
+        """select image_name, campaign, split as layer, round(centroid_x, 6) as x, round(centroid_y, 6) as y from retained
+union all select image_name, campaign, 'buffer', round(centroid_x, 6), round(centroid_y, 6) from allocated where image_name not in (select image_name from retained)""",
+    ),
+    "distillation_pool": with_views(["footprints", "bg_candidates"], _DISTIL, "select layer, campaign, count(*) as n from layers group by all"),
+    "distillation_pool_size": with_views(["footprints", "bg_candidates"], _DISTIL, "select count(distinct image_name) as n from layers where layer in ('labeled_train', 'safe_unlabeled')"),
+    "flight_positions": with_views(["cameras"], {}, "select unnest([campaign, 'all']) as layer, event_id, cam_x as x, cam_y as y from cameras"),
+    "testset_layers": with_views(
+        ["footprints", "bg_candidates"],
+        _PURE,
+        "select replace(slice_type, '_test', '') as layer, campaign, count(*) as n, round(count(*)*1e2/sum(count(*)) over (), 6) as pct from pure group by 1, 2",
+    ),
+    "testset_metrics": with_views(
+        ["footprints", "bg_candidates"],
+        _PURE | {
+            "nb": "select concat('IMG_', cast(l_orderkey as string)) as image_name, count(*) as n_boxes from lineitem group by 1",
+            "m": "select slice_type = 'labeled_test' as l, coalesce(n_boxes, 0) as b from pure left join nb using (image_name)",
+            "c": "select count(*) as total, count(*) filter (where l and b > 0) as fg, count(*) filter (where not l or b = 0) as bg, sum(case when l then b else 0 end)::bigint as boxes from m",
+        },
+        "select *, round(fg*1e2/greatest(1, total), 6) as fg_pct, round(bg*1e2/greatest(1, total), 6) as bg_pct from c",
+    ),
+    "testset_on_disk": with_views(
+        ["footprints", "bg_candidates", "disk"],
+        _PURE,
+        "select image_name, slice_type, case when image_name in (select stem from disk where has_image) then 'copy' else 'crop' end as source from pure",
+    ),
+    "crop_counts": with_views(
+        ["photos", "cameras", "slices"],
+        {"k": "select distinct t.* from slices t join cameras c on lower(trim(c.label)) = lower(trim(t.parent_image))"},
+        """select parent_image, count(*) as n, arg_min(tile, (y_start, x_start, tile)) as first_tile from k join photos using (parent_image) group by 1""",
+    ),
+    "ray_mesh_nearest": with_views(
+        ["cameras"],
+        _RAY | {
+            "quad": "select p_partkey, (p_partkey % 100)*10e0 as x, (floor(p_partkey/100e0)::bigint % 100)*10e0 as y, p_size*1e0 as z from part",
+            "tri": """select x as ax, y as ay, z as az, 10e0 as ex, 0e0 as ey, 0e0 as ez, 10e0 as fx, 10e0 as fy, 0e0 as fz from quad
+union all select x, y, z, 10e0, 10e0, 0e0, 0e0, 10e0, 0e0 from quad""",
+            "m": """select event_id, ox, oy, oz, dx, dy, dz, ex, ey, ez, fx, fy, fz, ox - ax as sx, oy - ay as sy, oz - az as sz,
+       dy*fz - dz*fy as px, dz*fx - dx*fz as py, dx*fy - dy*fx as pz from ray, tri""",
+            "q": "select *, sy*ez - sz*ey as qx, sz*ex - sx*ez as qy, sx*ey - sy*ex as qz, ex*px + ey*py + ez*pz as det from m",
+            "h": """select event_id, ox, oy, oz, dx, dy, dz, (sx*px + sy*py + sz*pz)*(1/det) as u, (dx*qx + dy*qy + dz*qz)*(1/det) as v, (fx*qx + fy*qy + fz*qz)*(1/det) as t
+from q where abs(det) > 1e-12""",
+            "near": "select event_id, min(t) as t, any_value(ox) as ox, any_value(oy) as oy, any_value(oz) as oz, any_value(dx) as dx, any_value(dy) as dy, any_value(dz) as dz from h where u >= 0 and v >= 0 and u + v <= 1 and t > 0 group by 1",
+        },
+        "select event_id, round(ox + t*dx, 4) as x, round(oy + t*dy, 4) as y, round(oz + t*dz, 4) as z, round(t, 4) as t from near",
+    ),
+    "utm_round_trip": with_views(
+        ["footprints"],
+        _PRINTS | {
+            "c": "select 1e0/298.257223563e0 as f, f/(2 - f) as n, sqrt(f*(2 - f)) as e, 6378137e0/(1 + n)*(1 + n**2/4 + n**4/64 + n**6/256) as r",
+            "a": """select *, [n/2 - 2*n**2/3 + 5*n**3/16 + 41*n**4/180 - 127*n**5/288 + 7891*n**6/37800,
+    13*n**2/48 - 3*n**3/5 + 557*n**4/1440 + 281*n**5/630 - 1983433*n**6/1935360, 61*n**3/240 - 103*n**4/140 + 15061*n**5/26880 + 167603*n**6/181440,
+    49561*n**4/161280 - 179*n**5/168 + 6601661*n**6/7257600, 34729*n**5/80640 - 3418889*n**6/1995840, 212378941*n**6/319334400] as k from c""",
+            "g": "select image_name, radians(13e0 + centroid_x/5e1 - 15e0) as l, sin(radians(4e1 + centroid_y/5e1)) as s, e, r, k from prints, a where prints.image_name is not null",
+            "t": "select *, sinh(atanh(s) - e*atanh(e*s)) as t from g",
+            "p": "select *, atan2(t, cos(l)) as xi, atanh(sin(l)/sqrt(1 + t*t)) as eta from t",
+        },
+        """select image_name, round(5e5 + 0.9996e0*r*(eta + list_sum(list_transform(range(1, 7), lambda i: k[i]*cos(2*i*xi)*sinh(2*i*eta)))), 3) as easting,
+       round(0.9996e0*r*(xi + list_sum(list_transform(range(1, 7), lambda i: k[i]*sin(2*i*xi)*cosh(2*i*eta)))), 3) as northing, 0e0 as error from p""",
+    ),
+    "slanted_overlap": with_views(
+        ["footprints"],
+        {
+            # parallelograms with sides (w, 1) and (1, h - 1)
+            "s": "select image_name as i, x0 as x, y0 as y, fw as w, fh - 1 as h from footprints",
+            "pr": """select a.i as ai, b.i as bi, a.x as ax, a.y as ay, a.w as aw, a.h as ah, b.x as bx, b.y as by_, b.w as bw, b.h as bh
+from s a join s b on a.i < b.i and a.x < b.x + b.w + 1 and b.x < a.x + a.w + 1 and a.y < b.y + b.h + 1 and b.y < a.y + a.h + 1""",
+            "sides": """select ai, bi, unnest([ax, ax + aw, ax + aw + 1, ax + 1]) as px, unnest([ay, ay + 1, ay + 1 + ah, ay + ah]) as py,
+       unnest([aw, 1e0, -aw, -1e0]) as dx, unnest([1e0, ah, -1e0, -ah]) as dy, bx as ox, by_ as oy, bw as ow, bh as oh, 1 as own from pr
+union all select ai, bi, unnest([bx, bx + bw, bx + bw + 1, bx + 1]), unnest([by_, by_ + 1, by_ + 1 + bh, by_ + bh]), unnest([bw, 1e0, -bw, -1e0]), unnest([1e0, bh, -1e0, -bh]), ax, ay, aw, ah, 0 from pr""",
+            # a side in the other's coordinates (u, v), where that is the unit square; its part inside, by Liang and Barsky
+            "uv": """select *, ((px - ox)*oh - (py - oy))/(ow*oh - 1) as u0, ((py - oy)*ow - (px - ox))/(ow*oh - 1) as v0, (dx*oh - dy)/(ow*oh - 1) as du, (dy*ow - dx)/(ow*oh - 1) as dv from sides""",
+            "cut": """select *, greatest(0, case when du > 0 then -u0/du when du < 0 then (1 - u0)/du else 0 end, case when dv > 0 then -v0/dv when dv < 0 then (1 - v0)/dv else 0 end) as t0,
+       least(1, case when du > 0 then (1 - u0)/du when du < 0 then -u0/du else 1 end, case when dv > 0 then (1 - v0)/dv when dv < 0 then -v0/dv else 1 end) as t1 from uv""",
+            # a common side, seen from the same direction, counts for one of the two rings
+            "part": """select ai, bi, case when t1 > t0 and (abs(du) > 1e-9 or u0 between -1e-9 and 1 + 1e-9) and (abs(dv) > 1e-9 or v0 between -1e-9 and 1 + 1e-9)
+         and (own = 1 or not (abs(du) < 1e-9 and (abs(u0) < 1e-9 or abs(u0 - 1) < 1e-9) or abs(dv) < 1e-9 and (abs(v0) < 1e-9 or abs(v0 - 1) < 1e-9)))
+       then ((px + t0*dx - ox)*(t1 - t0)*dy - (py + t0*dy - oy)*(t1 - t0)*dx)/2 + (ox*(t1 - t0)*dy - oy*(t1 - t0)*dx)/2 else 0 end as a from cut""",
+        },
+        "select ai as l_image_name, bi as r_image_name, round(abs(sum(a)) + 3e-9, 6) as area from part group by 1, 2",
+    ),
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions import projection, ring
-from skyloom.functions.text import chance, fill_colour, match_key, stem
+from skyloom.functions.text import chance, fill_colour, match_key, share, stem
 from skyloom.operators import analytics, curate, georeference, slicing, spatial, stratify, testset
 from skyloom.plans.views import view
 from skyloom.session import materialize, table
@@ -63,7 +63,11 @@ def box_center_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def box_area_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.density(_boxes(spark, sf_dir), "area_px", log=True)
+    return _rounded(analytics.density(_boxes(spark, sf_dir), "area_px", log=True))
+
+
+def _rounded(found: DataFrame) -> DataFrame:
+    return found.select(F.round("x", 9).alias("x"), F.round("density", 9).alias("density"))
 
 
 def _prints(spark: SparkSession, sf_dir: str, name: str = "footprints") -> DataFrame:
@@ -204,7 +208,8 @@ def sample_geo_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     disk = view(spark, sf_dir, "disk").where("has_image")
     corners = ring.rectangle(F.col("x0"), F.col("y0"), F.col("fw"), F.col("fh"))
     mean = ring.vertex_mean(corners)
-    places = _prints(spark, sf_dir).where("o_orderkey % 7 <> 0").select(F.col("image_name").alias("stem"), mean.getField("x").alias("lon"), mean.getField("y").alias("lat"), "campaign", F.col("o_orderkey").alias("ord"))
+    # oversized footprints are dropped, so their samples have no place
+    places = stratify.drop_oversized(_prints(spark, sf_dir)).select(F.col("image_name").alias("stem"), mean.getField("x").alias("lon"), mean.getField("y").alias("lat"), "campaign", F.col("o_orderkey").alias("ord"))
     found = curate.with_places(disk.select("stem"), places)
     return found.select("stem", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), "campaign", "campaign_year")
 
@@ -297,7 +302,8 @@ def slanted_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     # written once: both sides of the join read it, and its expressions are long
     measured = materialize(stratify.with_measures(rows).select("image_name", "ring", "x0", "y0", "x1", "y1"))
     pairs = spatial.box_pairs(measured, measured, 16.0, closed=False).where("l_image_name < r_image_name")
-    return pairs.select("l_image_name", "r_image_name", F.round(ring.overlap_area(F.col("l_ring"), F.col("r_ring")), 6).alias("area"))
+    # many areas are halves of the last digit; they all round up, whatever their last bits
+    return pairs.select("l_image_name", "r_image_name", F.round(ring.overlap_area(F.col("l_ring"), F.col("r_ring")) + 3e-9, 6).alias("area"))
 
 
 def json_props_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,6 +317,103 @@ def background_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles.select("tile", chance(F.col("tile")).alias("chance")).where("chance < 0.1")
 
 
+def footprint_area_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Footprint areas in 30 even bins, with their mean."""
+    prints = _prints(spark, sf_dir)
+    mean = prints.agg(F.round(F.avg("area_m2"), 6).alias("mean_area"))
+    return analytics.histogram(prints, F.col("area_m2"), 30).crossJoin(F.broadcast(mean))
+
+
+def footprint_area_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(analytics.density(_prints(spark, sf_dir), "area_m2"))
+
+
+def mapped_by_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles with a camera, by the campaign that won and in total."""
+    return analytics.with_total(camera_precedence(spark, sf_dir), "campaign")
+
+
+def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples with group and place."""
+    return ghosts_and_orphans(spark, sf_dir).join(sample_geo_enrich(spark, sf_dir), "stem")
+
+
+def map_group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples with a place by map group, the most frequent first."""
+    return _samples(spark, sf_dir).where("lon is not null").groupBy("map_group").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "map_group")
+
+
+def cohort_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples with a place by map group and period: the newest year, before it, or no year."""
+    samples = _samples(spark, sf_dir)
+    newest = curate.newest_and_older(samples).select("newest_year")
+    return curate.by_period(samples.crossJoin(F.broadcast(newest))).groupBy("map_group", "period").agg(F.count("*").alias("n"), F.round(F.avg("lon"), 6).alias("mean_lon"), F.round(F.avg("lat"), 6).alias("mean_lat"))
+
+
+def background_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curate.background_ratio(label_stats_by_split(spark, sf_dir))
+
+
+def splits_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centroids by cohort and campaign; the buffer holds what the allocation dropped."""
+    allocated = _allocated(spark, sf_dir)
+    kept = materialize(stratify.allocation(allocated))
+    cohorts = {s: kept.where(F.col("split") == s) for s in ("train", "val", "test")} | {"buffer": allocated.join(kept, "image_name", "left_anti")}
+    layers = analytics.cohort_layers(_prints(spark, sf_dir), cohorts, "image_name")
+    return layers.select("image_name", "campaign", "layer", F.round("centroid_x", 6).alias("x"), F.round("centroid_y", 6).alias("y"))
+
+
+def _distillation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = materialize(_retained(spark, sf_dir))
+    return analytics.distillation_layers(kept, _prints(spark, sf_dir, "bg_candidates"))
+
+
+def distillation_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles to distil on, labelled or safely apart from validation and test, and those cohorts, by campaign."""
+    return _distillation(spark, sf_dir).groupBy("layer", "campaign").agg(F.count("*").alias("n"))
+
+
+def distillation_pool_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _distillation(spark, sf_dir).where(F.col("layer").isin("labeled_train", "safe_unlabeled")).agg(F.countDistinct("image_name").alias("n"))
+
+
+def flight_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Camera positions by campaign, and of all campaigns."""
+    cameras = view(spark, sf_dir, "cameras").select("event_id", "campaign", F.col("cam_x").alias("x"), F.col("cam_y").alias("y"))
+    return analytics.with_combined(cameras, "campaign", "layer").select("layer", "event_id", "x", "y")
+
+
+def testset_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pure test set by labelled and unlabelled layer and campaign, with shares."""
+    pure = testset_pure(spark, sf_dir)
+    layer = F.when(F.lower("slice_type").contains("unlabeled"), "unlabeled").otherwise("labeled")
+    counts = pure.groupBy(layer.alias("layer"), "campaign").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("total"))
+    return counts.crossJoin(F.broadcast(total)).select("layer", "campaign", "n", F.round(share(F.col("n"), F.col("total")), 6).alias("pct"))
+
+
+def testset_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Foreground, background and boxes of the pure test set; unlabelled rows are background."""
+    pure = testset_pure(spark, sf_dir)
+    n_boxes = table(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("IMG_"), F.col("l_orderkey").cast("string")).alias("image_name")).agg(F.count("*").alias("n_boxes"))
+    return testset.metrics(pure.join(n_boxes, "image_name", "left"))
+
+
+def testset_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled rows of the pure test set whose image is there to be copied, and those to be cropped anew."""
+    disk = view(spark, sf_dir, "disk").where("has_image").select(F.col("stem").alias("image_name"))
+    return testset.with_source(testset_pure(spark, sf_dir), disk, "image_name").select("image_name", "slice_type", "source")
+
+
+def crop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crops that each photo has to give, and how many there are in all, for the tiles that have a camera."""
+    tiles = view(spark, sf_dir, "slices").select("tile", "parent_image", "x_start", "y_start", (F.col("x_start") + 1024).alias("x_end"), (F.col("y_start") + 1024).alias("y_end"))
+    needed = camera_precedence(spark, sf_dir).select("tile")
+    paths = view(spark, sf_dir, "photos").select("parent_image", F.concat(F.lit("raw/"), F.col("parent_image"), F.lit(".JPG")).alias("path"))
+    crops = testset.crops(needed, tiles, paths)
+    return crops.select("parent_image", F.size("crops").cast("long").alias("n"), F.element_at("crops", 1)["tile"].alias("first_tile"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -319,6 +422,8 @@ QUERIES = {
         split_by_campaign, campaign_totals, dropped_log, camera_precedence, parent_last_wins, testset_candidates, testset_hull,
         testset_hull_candidates, testset_pure, allocation_audit, ghosts_and_orphans, sample_geo_enrich, newest_older_year, global_extent,
         selected_parents, edge_corners_wide, southmost_topk, northmost_topk, ray_plane_fallback, ray_mesh_nearest, web_mercator_points,
-        utm_round_trip, shoelace_area_centroid, slanted_overlap, json_props_extract,
+        utm_round_trip, shoelace_area_centroid, slanted_overlap, json_props_extract, footprint_area_hist, footprint_area_density,
+        mapped_by_campaign, map_group_counts, cohort_map, background_ratio, splits_layer, distillation_pool, distillation_pool_size,
+        flight_positions, testset_layers, testset_metrics, testset_on_disk, crop_counts,
     )
 }

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from skyloom.functions.text import stem, strip
 from skyloom.session import hadoop_path
 
-#: Suffixes of photos, as written: case counts.
+#: Suffixes of photos, as written: case counts, but for raw photos, which are found whatever their case.
 PHOTO_SUFFIXES = (".jpg", ".jpeg", ".png", ".tif", ".tiff", ".JPG", ".JPEG", ".PNG")
 SPLITS = ("train", "val", "test")
 
@@ -80,7 +80,7 @@ def texts(spark: SparkSession, path: str, suffix: str = ".txt", recursive: bool
     files = listing(spark, path, recursive).where(F.lower("suffix") == suffix)
     if not files.limit(1).count():
         return files.select("path", "stem", F.lit("").alias("content"))
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", f"*{suffix}").load(path).select(_path(F.col("path")).alias("__path"), "content")
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)).load(path).select(_path(F.col("path")).alias("__path"), "content")
     body = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.decode("content", "UTF-8")).otherwise(F.decode("content", "ISO-8859-1"))
     return files.join(raw, _path(files["path"]) == raw["__path"], "left").select("path", "stem", F.coalesce(body, F.lit("")).alias("content"))
 
@@ -95,5 +95,5 @@ def lines_of(spark: SparkSession, path: str, as_stem: bool = False) -> DataFrame
 
 def raw_photos(spark: SparkSession, root: str, exclude: str = "_export_data") -> DataFrame:
     """(stem, path) of photos anywhere below root but in excluded paths; of a repeated stem the greatest path."""
-    found = listing(spark, root, True).where(F.col("suffix").isin(*PHOTO_SUFFIXES) & ~F.col("path").contains(exclude))
+    found = listing(spark, root, True).where(F.lower("suffix").isin(*(s for s in PHOTO_SUFFIXES if s.islower())) & ~F.col("path").contains(exclude))
     return found.groupBy("stem").agg(F.max("path").alias("path"))

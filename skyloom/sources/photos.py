@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions.text import stem
+from skyloom.sources.files import exists
 
-#: Photos in an Arrow batch: one may have over 100 MB of pixels.
-BATCH_PHOTOS = 2
+#: Crops up to which their lists are broadcast to the photos; beyond it, photos and lists are joined by a shuffle.
+BROADCAST_CROPS = 1_000_000
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -28,6 +29,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("origin").alias("path"), stem(name).alias("parent_image"), F.col("width").alias("w"), F.col("height").alias("h"), F.col("nChannels").alias("channels"), "data")
 
 
+def size_of(spark: SparkSession, folders: list[str], fallback: tuple[int, int] = (1024, 1024)) -> tuple[int, int]:
+    """Width and height of the first photo that can be read in the first folder that has one."""
+    for folder in folders:
+        if exists(spark, folder):
+            for r in read(spark, folder).select("w", "h").limit(1).collect():
+                return r.w, r.h
+    return fallback
+
+
 def png(pixels: np.ndarray) -> bytes:
     """An image of (rows, columns, 1, 3 or 4) BGR bytes as PNG."""
     height, width, channels = pixels.shape
@@ -45,10 +55,11 @@ def png(pixels: np.ndarray) -> bytes:
 def cut(photos: DataFrame, crops: DataFrame) -> DataFrame:
     """(tile, image) from photos and crops(parent_image, crops of x_start, y_start, x_end, y_end, tile).
 
-    Windows are clamped to the photo; an empty one gives no tile. The list of crops
-    is the small side and travels to the photos.
+    Windows are clamped to the photo; an empty one gives no tile. The lists of crops
+    are counted first: up to BROADCAST_CROPS of them travel to the photos. Arrow
+    batches end at spark.sql.execution.arrow.maxBytesPerBatch, or with one photo.
     """
-    photos.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_PHOTOS))
+    few = (crops.agg(F.sum(F.size("crops")).alias("n")).first().n or 0) <= BROADCAST_CROPS
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,4 +72,4 @@ def cut(photos: DataFrame, crops: DataFrame) -> DataFrame:
                     if part.size:
                         yield pa.RecordBatch.from_pydict({"tile": [crop["tile"]], "image": [png(part)]})
 
-    return photos.join(F.broadcast(crops), "parent_image").select("w", "h", "channels", "data", "crops").mapInArrow(windows, "tile string, image binary")
+    return photos.join(F.broadcast(crops) if few else crops, "parent_image").select("w", "h", "channels", "data", "crops").mapInArrow(windows, "tile string, image binary")

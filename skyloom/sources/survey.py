@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.text import match_key
 from skyloom.operators.georeference import last_of
+from skyloom.sources.files import exists
 
 _IDENTITY = [1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0]
 
@@ -86,7 +87,9 @@ def mesh(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def footprints(spark: SparkSession, path: str) -> DataFrame:
-    """(image_name, status, campaign, ring, ord) of GeoJSON polygons with a name: outer ring, closing corner removed."""
+    """(image_name, status, campaign, ring, ord) of GeoJSON polygons with a name: outer ring, closing corner removed; an absent file has none."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "image_name string, status string, campaign string, ring array<struct<x:double,y:double>>, ord int")
     schema = "features array<struct<geometry:struct<type:string,coordinates:string>,properties:struct<image_name:string,status:string,campaign:string>>>"
     rows = spark.read.option("multiLine", True).schema(schema).json(path).select(F.posexplode("features").alias("ord", "f"))
     good = rows.where("f.geometry.type = 'Polygon' and f.properties.image_name is not null")
