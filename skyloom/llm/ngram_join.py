@@ -221,7 +221,8 @@ def _families(groups: DataFrame, threshold: float, tolerance: float, width: int)
 
     dealt = groups.select("rid", "sig").mapInArrow(bands, "bucket long, rid long")
     sizes = dealt.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    shared = dealt.join(sizes, "bucket")
+    # few members share a bucket: written, so that the bands are dealt once
+    shared = materialize(dealt.join(sizes, "bucket"))
     limits = least_matches(threshold, tolerance)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -250,10 +251,10 @@ def _families(groups: DataFrame, threshold: float, tolerance: float, width: int)
     block = F.pmod(F.xxhash64("rid"), F.ceil(F.col("m") / width)).cast("int")
     within = shared.select("rid", F.col("rid").alias("root"), block.alias("block"), block.alias("lo"), block.alias("hi"), F.xxhash64("bucket", block).alias("g"))
     near = components(met(within))
-    if not sizes.where(F.col("m") > width).limit(1).count():
+    whole = shared.where(F.col("m") > width).select("bucket", "rid")
+    if not whole.limit(1).count():
         return near
     near = materialize(near)
-    whole = dealt.join(sizes.where(F.col("m") > width), "bucket").select("bucket", "rid")
     # both ends of an edge stand for their families
     far = met(_across(whole, near, width))
     return components(near.select(F.col("node").alias("a"), F.col("root").alias("b")).union(far))
