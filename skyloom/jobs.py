@@ -16,7 +16,7 @@ from skyloom.sources import files, photos, sinks, survey, yolo
 
 
 def slice_photos(spark: SparkSession, c: config.Slicing) -> DataFrame:
-    """Cut photos to tiles; writes tiles and labels as Parquet, label files and slice_metadata.json, and returns the tiles."""
+    """Cut photos to tiles; writes tiles and labels as Parquet, image and label files and slice_metadata.json, and returns the tiles."""
     listed = files.photos(spark, c.input_dir).select(F.col("stem").alias("parent_image"), "split", "path")
     base = f"{c.input_dir}/images" if files.exists(spark, f"{c.input_dir}/images") else c.input_dir
     splits = [s for s in files.SPLITS if files.exists(spark, f"{base}/{s}")] or [""]
@@ -42,7 +42,9 @@ def slice_photos(spark: SparkSession, c: config.Slicing) -> DataFrame:
     for split in splits:
         sinks.label_files(spark, kept.where(F.col("split_source") == split), f"{c.output_dir}/labels/{split}" if split else f"{c.output_dir}/labels")
         crops = kept.where(F.col("split_source") == split).groupBy("parent_image").agg(F.collect_list(F.struct("x_start", "y_start", "x_end", "y_end", "tile")).alias("crops"))
-        photos.cut(pixels.where(F.col("split") == split), crops).write.mode("overwrite").parquet(f"{c.output_dir}/tile_images/split={split or 'all'}")
+        images = f"{c.output_dir}/tile_images/split={split or 'all'}"
+        photos.cut(pixels.where(F.col("split") == split), crops).write.mode("overwrite").parquet(images)
+        sinks.image_files(spark, spark.read.parquet(images), f"{c.output_dir}/images/{split}" if split else f"{c.output_dir}/images", ".png")
     sinks.write_text(spark, f"{c.output_dir}/slice_metadata.json", sinks.slice_metadata(kept).first().value)
     return kept.drop("content")
 
@@ -87,7 +89,7 @@ def metric(prints: DataFrame, epsg: int) -> DataFrame:
 
 
 def stratify_dataset(spark: SparkSession, c: config.Stratification) -> DataFrame:
-    """Cohorts without leaks; writes the allocation, its summary, the dropped names and data.yaml, and returns the allocation."""
+    """Cohorts without leaks; writes the allocation, its summary, the dropped names, data.yaml and the cohorts' files, and returns the allocation."""
     prints = materialize(metric(survey.footprints(spark, c.geojson_path), c.utm_epsg))
     sized = stratify.drop_oversized(prints, c.max_oversized_pct)
     allocated = materialize(stratify.spatial_split(sized, c.split_ratio))
@@ -97,9 +99,25 @@ def stratify_dataset(spark: SparkSession, c: config.Stratification) -> DataFrame
     dropped = allocated.join(kept.select("image_name"), "image_name", "left_anti")
     dropped.select("image_name").distinct().orderBy("image_name").coalesce(1).write.mode("overwrite").text(f"{c.output_dir}/dropped_images")
     sinks.write_text(spark, f"{c.output_dir}/data.yaml", sinks.data_yaml(c.output_dir, list(c.classes)))
+    if c.dataset_dir:
+        copy_cohorts(spark, c.dataset_dir, c.output_dir, kept).write.mode("overwrite").parquet(f"{c.output_dir}/copy_audit")
     return kept
 
 
+def copy_cohorts(spark: SparkSession, dataset_dir: str, output_dir: str, allocated: DataFrame) -> DataFrame:
+    """Copy the images and labels of allocated(image_name, split) to <split>/images and <split>/labels; one row of counts.
+
+    A tile without an image or without a label file is counted, not copied; failed counts files that could not be written.
+    """
+    wanted = allocated.select(stem(F.col("image_name")).alias("stem"), "split")
+    images = materialize(files.listing(spark, f"{dataset_dir}/images", True).where(F.col("suffix").isin(*files.PHOTO_SUFFIXES)).select("stem", "path"))
+    labels = materialize(files.listing(spark, f"{dataset_dir}/labels", True).where(F.lower("suffix") == ".txt").select("stem", "path"))
+    manifest = curate.copy_manifest(wanted, images, labels)
+    pairs = F.array(*(F.struct(F.col(f"{kind}_path").alias("source"), F.concat_ws("/", F.lit(output_dir), "split", F.lit(f"{kind}s"), F.regexp_extract(f"{kind}_path", "([^/]+)$", 1)).alias("target")) for kind in ("image", "label")))
+    done = materialize(sinks.copy_files(manifest.select(F.inline(pairs))))
+    return curate.allocation_audit(wanted, images, labels).crossJoin(done.agg(F.count_if(~F.col("copied")).alias("failed")))
+
+
 def curate_dataset(spark: SparkSession, c: config.Curation) -> DataFrame:
     """The samples of a split dataset with places and map groups, as a table; returns it."""
     loaded = yolo.dataset(spark, c.folder_path).withColumn("tags", F.array("split"))
@@ -124,13 +142,54 @@ def build_testset(spark: SparkSession, c: config.TestSet, allocation: DataFrame,
     test, train = allocation.where("split = 'test'"), allocation.where("split = 'train'")
     corners = test.select(F.explode("ring").alias("p")).select("p.x", "p.y")
     candidates = testset.candidates(unlabelled, test, testset.convex_hull(corners))
-    columns = ["image_name", "campaign", "ring", "x0", "y0", "x1", "y1"]
+    columns = ["image_name", "campaign", "ring", "x0", "y0", "x1", "y1", *(c for c in ("status", "lon_lat") if c in allocation.columns and c in unlabelled.columns)]
     pool = testset.combined(test.select(*columns), candidates.select(*columns))
-    pure = testset.isolated(pool, train, testset.south_buffer(dropped, south_limit))
+    pure = materialize(testset.isolated(pool, train, testset.south_buffer(dropped, south_limit)))
     pure.write.mode("overwrite").parquet(f"{c.output_dir}/testset")
     return pure
 
 
+def build_testset_files(spark: SparkSession, c: config.TestSet, classes: tuple[str, ...] = ("A. altissima",)) -> DataFrame:
+    """The test-set stage over the folders of export_dir; writes images, labels, data.yaml and GeoJSON, and returns the rows.
+
+    Images are copied, or cut from the raw photos where a tile was never written; all are named .jpg, whatever
+    their format (J22, K09). Tiles without labels get empty label files, those without metadata or photo get no files (J16).
+    """
+    cohorts, background = f"{c.export_dir}/sliced_split_dataset", f"{c.export_dir}/sliced_unlabeled"
+    labelled = metric(survey.footprints(spark, f"{c.export_dir}/sliced_dataset_edge_coordinates/image_footprints.geojson"), c.utm_epsg)
+    named = materialize(labelled.withColumn("stem", stem(F.col("image_name"))))
+    cohort = {s: named.join(files.listing(spark, f"{cohorts}/{s}/images").select("stem").distinct(), "stem", "left_semi").withColumn("split", F.lit(s)) for s in ("train", "test")}
+    log = files.first_existing(spark, f"{cohorts}/dropped_images.txt", f"{cohorts}/dropped_images") or f"{cohorts}/dropped_images.txt"
+    dropped = named.join(files.lines_of(spark, log, as_stem=True).distinct(), "stem", "left_semi")
+    candidates = materialize(metric(survey.footprints(spark, f"{background}/edge_coordinates/image_footprints.geojson"), c.utm_epsg))
+    pure = build_testset(spark, c, cohort["train"].unionByName(cohort["test"]), candidates, dropped)
+
+    rows = materialize(pure.groupBy(stem(F.col("image_name")).alias("stem")).agg(F.max(F.col("slice_type") == "labeled_test").alias("labelled")))
+    there = files.listing(spark, f"{background}/images").groupBy("stem").agg(F.max("path").alias("path"))
+    known = rows.where("labelled").join(testset.first_extension(files.listing(spark, f"{cohorts}/test/images")), "stem").unionByName(rows.where("not labelled").join(there, "stem"))
+    target = F.concat(F.lit(f"{c.output_dir}/images/"), F.col("stem"), F.lit(".jpg"))
+    materialize(sinks.copy_files(known.select(F.col("path").alias("source"), target.alias("target"))))
+
+    missing = rows.where("not labelled").join(there, "stem", "left_anti").select(F.col("stem").alias("tile"))
+    ready = rows.where("labelled").select("stem").union(known.select("stem"))
+    metadata = f"{background}/slice_metadata.json"
+    if missing.limit(1).count() and files.exists(spark, metadata):
+        raw = files.raw_photos(spark, c.raw_images_dir).withColumnRenamed("stem", "parent_image")
+        crops = materialize(testset.crops(missing, survey.slice_metadata(spark, metadata), raw))
+        # only the photos that have to give a tile are read; their paths pass through the driver, as in Spark's own file index
+        if paths := [r.path for r in crops.select("path").collect()]:
+            cut = materialize(photos.cut(photos.read(spark, paths), crops.select("parent_image", "crops")))
+            sinks.image_files(spark, cut, f"{c.output_dir}/images", ".jpg")
+            ready = ready.union(cut.select("tile"))
+    lines = files.texts(spark, f"{cohorts}/test/labels").groupBy("stem").agg(F.max("content").alias("content"))
+    contents = rows.join(ready.distinct(), "stem", "left_semi").join(lines, "stem", "left")
+    sinks.label_files(spark, contents.select(F.col("stem").alias("tile"), F.when(F.col("labelled"), F.col("content")).alias("content")), f"{c.output_dir}/labels")
+    sinks.write_text(spark, f"{c.output_dir}/data.yaml", sinks.data_yaml(c.output_dir, list(classes), {"test": "images"}))
+    degrees = F.transform("lon_lat", lambda p: F.struct(p["x"].alias("lon"), p["y"].alias("lat")))
+    sinks.write_text(spark, f"{c.output_dir}/testset_unlabeled_combined_footprints.geojson", sinks.feature_collection(pure.withColumn("corners", degrees)).first().value)
+    return pure
+
+
 def box_statistics(spark: SparkSession, dataset_dir: str, out: str, size: tuple[int, int] | None = None) -> None:
     """The tables behind the box dashboard, as Parquet; without a size, that of the first image that can be read."""
     if size is None:
@@ -169,6 +228,7 @@ def main(args: list[str] | None = None) -> None:
     stage("raycast", metadata_path=str, export_dir=str, utm_epsg=int, campaign_config=str)
     stage("stratify", dataset_dir=str, output_dir=str, geojson_path=str, split_ratio=[float], max_overlap_pct=float, max_oversized_pct=float, classes=[str], utm_epsg=int)
     stage("curate", folder_path=str, geojson_path=str, dataset_name=str)
+    stage("build-testset", export_dir=str, raw_images_dir=str, output_dir=str, utm_epsg=int)
     stage("box-stats", dataset_dir=str, output_dir=str, img_size=[int])
     given = vars(parser.parse_args(args))
     name, settings = given.pop("stage"), config.load(given.pop("config"))
@@ -185,6 +245,8 @@ def main(args: list[str] | None = None) -> None:
         stratify_dataset(spark, _over(settings.stratification, chosen))
     elif name == "curate":
         curate_dataset(spark, _over(settings.curation, chosen))
+    elif name == "build-testset":
+        build_testset_files(spark, _over(settings.testset, chosen), settings.stratification.classes)
     else:
         side = chosen.get("img_size")
         box_statistics(spark, chosen["dataset_dir"], chosen["output_dir"], side and (side if len(side) == 2 else (side[0], side[0])))

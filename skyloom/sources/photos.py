@@ -22,7 +22,7 @@ from skyloom.sources.files import exists
 BROADCAST_CROPS = 1_000_000
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, parent_image, w, h, channels, data) of the photos that can be decoded; rows of BGR bytes."""
     rows = spark.read.format("image").option("dropInvalid", True).load(path).select("image.*")
     name = F.url_decode(F.regexp_replace(F.regexp_extract("origin", r"([^/]+)$", 1), r"\+", "%2B"))

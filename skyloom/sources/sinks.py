@@ -43,11 +43,11 @@ def slice_metadata(tiles: DataFrame) -> DataFrame:
     return one.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("tile", "t")))).alias("value"))
 
 
-def data_yaml(root: str, classes: list[str], splits: tuple[str, ...] = ("train", "val", "test")) -> str:
-    """The dataset description that trainers read."""
+def data_yaml(root: str, classes: list[str], folders: dict[str, str] | None = None) -> str:
+    """The dataset description that trainers read (K07); folders of images by split."""
     names = ", ".join("'" + c.replace("'", "''") + "'" for c in classes)
-    folders = "".join(f"{s}: {s}/images\n" for s in splits)
-    return f"# YOLO dataset\npath: {root}\n{folders}\n# Classes\nnc: {len(classes)}\nnames: [{names}]\n"
+    listed = "".join(f"{s}: {f}\n" for s, f in (folders or {s: f"{s}/images" for s in ("train", "val", "test")}).items())
+    return f"# YOLO dataset\npath: {root}\n{listed}\n# Classes\nnc: {len(classes)}\nnames: [{names}]\n"
 
 
 def label_files(spark: SparkSession, contents: DataFrame, folder: str) -> None:
@@ -58,8 +58,19 @@ def label_files(spark: SparkSession, contents: DataFrame, folder: str) -> None:
     contents.select("tile", "content").write.format("label_files").mode("append").save(folder)
 
 
+def image_files(spark: SparkSession, images: DataFrame, folder: str, suffix: str) -> None:
+    """A file <tile><suffix> for each row (tile, image), written by the tasks."""
+    from skyloom.sources.writer import LabelWriter
+
+    spark.dataSource.register(LabelWriter)
+    images.select("tile", F.col("image").alias("content")).write.format("label_files").option("suffix", suffix).mode("append").save(folder)
+
+
 def copy_files(manifest: DataFrame) -> DataFrame:
-    """Copy source to target in the tasks, for folders that all executors mount; returns (target, copied)."""
+    """Copy source to target in the tasks, for folders that all executors mount; returns (target, copied).
+
+    A target appears whole or not at all, however often its task runs.
+    """
 
     @F.arrow_udf("boolean")
     def copied(sources, targets):
@@ -72,10 +83,12 @@ def copy_files(manifest: DataFrame) -> DataFrame:
         for a, b in zip(sources.to_pylist(), targets.to_pylist(), strict=True):
             try:
                 os.makedirs(os.path.dirname(b), exist_ok=True)
-                shutil.copy2(a, b)
+                shutil.copy2(a, f"{b}.{os.getpid()}.part")
+                os.replace(f"{b}.{os.getpid()}.part", b)
                 done.append(True)
             except OSError:
                 done.append(False)
         return pa.array(done)
 
-    return manifest.select("target", copied("source", "target").alias("copied"))
+    mounted = [F.regexp_replace(c, "^file:/{1,3}", "/") for c in ("source", "target")]
+    return manifest.select("target", copied(*mounted).alias("copied"))

@@ -1,4 +1,4 @@
-"""A data source that writes one small text file a row."""
+"""A data source that writes one small file a row."""
 
 from __future__ import annotations
 
@@ -16,18 +16,19 @@ class Written(WriterCommitMessage):
 
 
 class LabelWriter(DataSource):
-    """format("label_files"): rows (tile, content) to <path>/<tile>.txt in a folder that all executors mount."""
+    """format("label_files"): rows (tile, content as text or bytes) to <path>/<tile><suffix> in a folder that all executors mount."""
 
     @classmethod
     def name(cls) -> str:
         return "label_files"
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return _Writer(self.options["path"])
+        return _Writer(self.options["path"], self.options.get("suffix", ".txt"))
 
 
 class _Writer(DataSourceWriter):
-    def __init__(self, path: str):
+    def __init__(self, path: str, suffix: str):
+        self.suffix = suffix
         self.path = path.removeprefix("file://").removeprefix("file:")
 
     def write(self, iterator: Iterator) -> WriterCommitMessage:
@@ -35,9 +36,9 @@ class _Writer(DataSourceWriter):
         n = 0
         for row in iterator:
             # a file appears whole or not at all, however often its task runs
-            target = os.path.join(self.path, f"{row.tile}.txt")
-            with open(f"{target}.{os.getpid()}.part", "w", encoding="utf-8") as out:
-                out.write(row.content or "")
+            target = os.path.join(self.path, f"{row.tile}{self.suffix}")
+            with open(f"{target}.{os.getpid()}.part", "wb") as out:
+                out.write(row.content if isinstance(row.content, bytes | bytearray) else (row.content or "").encode())
             os.replace(f"{target}.{os.getpid()}.part", target)
             n += 1
         return Written(n)

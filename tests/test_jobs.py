@@ -31,6 +31,7 @@ def test_slice_then_box_statistics(spark, tmp_path):
     assert "A é_0_0" in {p.stem for p in (out / "labels/val").glob("*.txt")}
     assert set(json.loads((out / "slice_metadata.json").read_text())) == {t for t, _, _ in found}
     assert spark.read.parquet(str(out / "tile_images")).count() >= 4
+    assert {p.stem for p in (out / "images/train").glob("*.png")} == {p.stem for p in (out / "labels/train").glob("*.txt")}
     jobs.box_statistics(spark, str(out), str(tmp_path / "stats"), (64, 64))
     assert spark.read.parquet(str(tmp_path / "stats/area_summary")).first().n > 0
 
@@ -62,3 +63,62 @@ def test_raycast_then_stratify(spark, tmp_path):
     kept = jobs.stratify_dataset(spark, config.Stratification("", str(tmp_path / "split"), str(tmp_path / "export/image_footprints.geojson"), (0.3, 0.34, 0.34)))
     assert {r.split for r in kept.collect()} <= {"train", "val", "test"} and kept.count() >= 2
     assert "nc: 1" in (tmp_path / "split/data.yaml").read_text()
+
+
+def _square(name: str, west: float, south: float, east: float, north: float) -> dict:
+    ring = [[west, north], [east, north], [east, south], [west, south], [west, north]]
+    return {"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [ring]}, "properties": {"image_name": name, "status": "Mesh Hit", "campaign": "2023"}}
+
+
+def _collection(path, *squares) -> None:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": squares}))
+
+
+def test_copy_of_cohorts(spark, tmp_path):
+    for kind, names in (("images", ["a.png", "b.jpg", "c.JPG"]), ("labels", ["a.txt", "b.TXT", "x.txt"])):
+        (tmp_path / "in" / kind / "all").mkdir(parents=True)
+        for n in names:
+            (tmp_path / "in" / kind / "all" / n).write_text(n)
+    allocated = spark.createDataFrame([("a", "train"), ("b.png", "test"), ("c", "test"), ("d", "val")], "image_name string, split string")
+    out = tmp_path / "out"
+    assert jobs.copy_cohorts(spark, str(tmp_path / "in"), str(out), allocated).first() == (4, 1, 1, 2, 0)
+    assert sorted(str(p.relative_to(out)) for p in out.rglob("*") if p.is_file() and not p.name.startswith(".")) == ["test/images/b.jpg", "test/labels/b.TXT", "train/images/a.png", "train/labels/a.txt"]
+    assert (out / "test/images/b.jpg").read_text() == "b.jpg"
+
+
+def test_testset_on_disk(spark, tmp_path):
+    w, s = 15.0, 48.0
+    split, background = tmp_path / "sliced_split_dataset", tmp_path / "sliced_unlabeled"
+    _collection(
+        tmp_path / "sliced_dataset_edge_coordinates/image_footprints.geojson",
+        _square("T_0_0.jpg", w, s, w + 2e-4, s + 2e-4), _square("R_0_0", w + 3.5e-4, s, w + 5e-4, s + 2e-4), _square("D_0_0", w, s + 3e-4, w + 2e-4, s + 5e-4),
+    )
+    _collection(
+        background / "edge_coordinates/image_footprints.geojson",
+        _square("copied_0_0", w + 1e-4, s, w + 3e-4, s + 2e-4), _square("P_2_4", w + 5e-5, s, w + 1e-4, s + 1e-4), _square("lost_0_0", w, s, w + 1e-4, s + 1e-4),
+        _square("at_train", w + 2e-4, s, w + 4e-4, s + 2e-4), _square("at_buffer", w, s + 1e-4, w + 2e-4, s + 4e-4), _square("far", w + 1e-2, s, w + 1.1e-2, s + 1e-4),
+    )
+    for folder in (split / "train/images", split / "test/images", split / "test/labels", background / "images", tmp_path / "raw/deep", tmp_path / "raw/_export_data"):
+        folder.mkdir(parents=True)
+    (split / "train/images/R_0_0.jpg").write_text("r")
+    (split / "test/images/T_0_0.png").write_text("png")
+    (split / "test/images/T_0_0.jpg").write_text("jpg")
+    (split / "test/labels/T_0_0.txt").write_text("0 0.5 0.5 0.1 0.1")
+    (split / "dropped_images.txt").write_text("D_0_0.jpg\n\n")
+    (background / "images/copied_0_0.png").write_text("tile")
+    pixels = (np.arange(20 * 30 * 3) % 251).astype(np.uint8).reshape(20, 30, 3)
+    (tmp_path / "raw/deep/P.PNG").write_bytes(png(pixels))
+    (tmp_path / "raw/_export_data/P.png").write_bytes(b"no image")
+    at = {"parent_image": "P", "x_start": 2, "y_start": 4, "x_end": 12, "y_end": 14, "split_source": ""}
+    (background / "slice_metadata.json").write_text(json.dumps({"P_2_4": at, "lost_0_0": at | {"parent_image": "none"}}))
+    out = tmp_path / "testset"
+    pure = jobs.build_testset_files(spark, config.TestSet(str(tmp_path), str(tmp_path / "raw"), str(out)))
+    assert {(r.image_name, r.slice_type) for r in pure.collect()} == {("T_0_0.jpg", "labeled_test"), ("copied_0_0", "unlabeled_test"), ("P_2_4", "unlabeled_test"), ("lost_0_0", "unlabeled_test")}
+    assert {p.name: p.read_text() for p in (out / "labels").glob("*.txt")} == {"T_0_0.txt": "0 0.5 0.5 0.1 0.1", "copied_0_0.txt": "", "P_2_4.txt": ""}
+    assert {p.name for p in (out / "images").glob("*.jpg")} == {"T_0_0.jpg", "copied_0_0.jpg", "P_2_4.jpg"}
+    assert (out / "images/T_0_0.jpg").read_text() == "jpg" and (out / "images/copied_0_0.jpg").read_text() == "tile"
+    assert (out / "images/P_2_4.jpg").read_bytes() == png(pixels[4:14, 2:12])
+    assert "\ntest: images\n" in (out / "data.yaml").read_text() and "train" not in (out / "data.yaml").read_text()
+    features = json.loads((out / "testset_unlabeled_combined_footprints.geojson").read_text())["features"]
+    assert len(features) == 4 and all(abs(x - w) < 1e-3 and abs(y - s) < 1e-3 for f in features for x, y in f["geometry"]["coordinates"][0])
