@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, cotraining, fingerprint, html_text, mixing, ngram_join, pii, quality_rules, toxicity, url_filter
+from skyloom.llm import bpe, cotraining, fingerprint, html_text, mixing, ngram_join, pii, quality_rules, toxicity, url_filter, whitening
 from skyloom.llm.oracle import ORACLE_SQL as ORACLE_SQL
-from skyloom.session import table
+from skyloom.session import materialize, table
 
 
 def _ranks(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
@@ -95,4 +95,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op5_pii, op6_url_filter, op7_ngram_join, op8_mixing, op9_toxicity, op10_quality_rules)}
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    found = materialize(whitening.whiten(vectors, model, keep=["vec_id"]))
+    error = whitening.identity_error(found, model)
+    explained = F.array(*(F.lit(float(v / model.trace)) for v in model.values))
+    return found.select("vec_id", "deviation", F.posexplode("whitened").alias("i", "whitened")).select(
+        "vec_id",
+        (F.col("i") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained.cast("array<double>"), F.col("i")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op5_pii, op6_url_filter, op7_ngram_join, op8_mixing, op9_toxicity, op10_quality_rules, op13_whitening)}

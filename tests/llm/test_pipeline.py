@@ -75,7 +75,7 @@ def test_stages(spark, sf_dir, tmp_path):
 
     given, encoded = steps["byte_bpe"]
     encoder = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    assert encoded.count() == given.count() and encoded.columns == [*columns, "ids", "n_tokens"]
+    assert encoded.count() == given.count() and encoded.columns == [*columns, "ids", "n_tokens", "round_trip"]
     for r in encoded.collect():
         assert list(r.ids) == encoder.encode_ordinary(r.text) and r.n_tokens == len(r.ids)
         assert encoder.decode(r.ids) == r.text
