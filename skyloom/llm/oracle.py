@@ -1,4 +1,4 @@
-"""DuckDB SQL of the text operators that SQL can express: 4, 7 and 10.
+"""DuckDB SQL of the text operators that SQL can express: 4, 7, 10 and 12.
 
 Written from the definitions, not from the Spark plans: shingles and windows are
 compared as strings, similar pairs are all found by their common shingles, and
@@ -128,4 +128,24 @@ from judged left join class_far a using (r) left join visible_far v using (r) le
 """
 
 
-ORACLE_SQL = {"op4_fingerprint": _fingerprint(), "op7_ngram_join": NGRAM_JOIN, "op10_quality_rules": _quality_rules()}
+#: Nodes as lists of turns; crc32 bit by bit.
+PREFIX_TRIE = """
+with turns as (select conv_id, turn, md5(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as print, length(coalesce(text, '')) as chars
+    from conversations where conv_id is not null),
+own as (select conv_id, list({'p': print, 'c': chars} order by turn nulls first, print) as t from turns group by conv_id),
+crcs as (select conv_id, t, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) as crc from own),
+heads as (select c.conv_id, list_concat(coalesce(r.t[1:c.crc % 6], []), c.t[(c.crc % 6) + 1:]) as t from crcs c left join own r on r.conv_id = c.conv_id - c.conv_id % 100),
+members as (select conv_id, len(t) as full_depth, d as depth, t[1:d] as node from heads, unnest(range(len(t) + 1)) u(d)),
+nodes as (select node, depth, min(conv_id) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (full_depth = depth), '')) as ends_sha256
+    from members group by node, depth),
+linked as (select n.*, p.conv_id as parent_conv_id, case when n.depth = 0 then 0 else (n.n_convs - 1) * n.node[-1].c end as own from nodes n left join nodes p on n.depth > 0 and p.depth = n.depth - 1 and p.node = n.node[:-2]),
+kids as (select node[:-2] as node, count(*) as n_children from nodes where depth > 0 group by 1),
+counted as (select l.*, coalesce(k.n_children, 0) as n_children from linked l left join kids k on k.node = l.node),
+sums as (select node[1:d] as node, sum((n_children = 0)::int) as n_leaves, sum(own) as saved_tokens from counted, unnest(range(depth + 1)) u(d) group by 1)
+select c.conv_id, c.depth::bigint as depth, c.parent_conv_id, c.n_convs::bigint as n_convs, c.n_children::bigint as n_children, s.n_leaves::bigint as n_leaves,
+    s.saved_tokens::bigint as saved_tokens, c.ends_sha256 from counted c join sums s on s.node = c.node
+"""
+
+
+ORACLE_SQL = {"op4_fingerprint": _fingerprint(), "op7_ngram_join": NGRAM_JOIN, "op10_quality_rules": _quality_rules(), "op12_prefix_trie": PREFIX_TRIE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, cotraining, fingerprint, html_text, mixing, ngram_join, pii, quality_rules, toxicity, url_filter, whitening
+from skyloom.llm import bpe, cotraining, fingerprint, html_text, mixing, ngram_join, pii, prefix_trie, quality_rules, toxicity, url_filter, whitening
 from skyloom.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from skyloom.session import materialize, table
 
@@ -95,6 +95,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = materialize(prefix_trie.sequences(table(spark, sf_dir, "conversations")))
+    conv = F.col("conv_id")
+    rebuilt = prefix_trie.with_heads(found, conv - conv % 100, (F.crc32(conv.cast("string").cast("binary")) % 6).cast("int"), 5)
+    return prefix_trie.trie(rebuilt)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     model = whitening.fit(vectors)
@@ -112,4 +119,4 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op5_pii, op6_url_filter, op7_ngram_join, op8_mixing, op9_toxicity, op10_quality_rules, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op5_pii, op6_url_filter, op7_ngram_join, op8_mixing, op9_toxicity, op10_quality_rules, op12_prefix_trie, op13_whitening)}
