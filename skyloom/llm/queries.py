@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, cotraining, fingerprint, html_text, mixing, ngram_join, pii, prefix_trie, quality_rules, toxicity, url_filter, whitening
+from skyloom.llm import bpe, cotraining, fingerprint, html_text, mixing, ngram_join, pii, prefix_trie, quality_rules, suffix_index, toxicity, url_filter, whitening
 from skyloom.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from skyloom.session import materialize, table
 
@@ -95,6 +95,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_index.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    length = lambda total, s: total + s["end"] - s["start"]
+    return found.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.aggregate("repeats", F.lit(0).cast("long"), length).alias("n_removed"),
+        F.size("repeats").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = materialize(prefix_trie.sequences(table(spark, sf_dir, "conversations")))
     conv = F.col("conv_id")
@@ -119,4 +131,4 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op5_pii, op6_url_filter, op7_ngram_join, op8_mixing, op9_toxicity, op10_quality_rules, op12_prefix_trie, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_cotraining, op2_bpe, op3_html_text, op4_fingerprint, op5_pii, op6_url_filter, op7_ngram_join, op8_mixing, op9_toxicity, op10_quality_rules, op11_suffix_index, op12_prefix_trie, op13_whitening)}
