@@ -44,8 +44,8 @@ from skyloom.session import hadoop_path, materialize, shared_dir
 LENGTH, PREFIX = 200, 100
 #: Windows that are looked at together.
 BLOCK = 1 << 18
-#: Different runs of one prefix that one task compares.
-GROUP = 256
+#: Different runs of one prefix that one task compares: some 15 MB of bytes and fingerprints.
+GROUP = 16_384
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
