@@ -19,11 +19,14 @@ is one count for each pattern of votes and features, at most
 
 Defined results: a null or empty text has no spans. Offsets are code points, the
 end is exclusive, spans are ordered by start and then by kind. Candidates that
-overlap a base span are left out. Repeated rows are judged each on its own.
+overlap a base span are left out. Repeated rows are judged each on its own. Work
+grows with a text's length and its number of matches, not with their squares.
+Other columns pass through; those named base or spans are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +37,8 @@ from skyloom.llm.common import text_of
 from skyloom.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
+#: A span of _keyed().
+_SPAN = "struct<start:int,kind:int,end:int,key:string>"
 #: Characters before a span that labelers read.
 CONTEXT = 30
 
@@ -88,38 +93,102 @@ def _valid(kind: str, match: Column) -> Column:
     return n.between(10, 15) if kind == "phone" else F.when(n.between(14, 19), _luhn(digits)).otherwise(F.lit(False))
 
 
+#: Side of the blocks of _before(); a power of two.
+_SIDE_BITS = 5
+_SIDE = 1 << _SIDE_BITS
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _smaller(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
+def _before(values: Column, start: Column, join: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """For each value what start and all values before it join to, for an associative join.
+
+    Each value joins those before it in its block to what stands before the block,
+    which is found the same way from the blocks' totals. So work is linear, where
+    growing an array in an aggregate would copy it at each step.
+    """
+
+    def within(rows: Column, at: Column, first: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(rows, first, n), at, join)
+
+    def of(rows: Column) -> Column:
+        if levels == 0:
+            return F.transform(rows, lambda _, i: within(rows, start, F.lit(1), i))
+        places = F.sequence(F.lit(0), F.shiftright(F.size(rows) - 1, _SIDE_BITS))
+        neutral = F.element_at(rows, 1)
+
+        def total(b: Column) -> Column:
+            first = F.shiftleft(b, _SIDE_BITS) + 1
+            return within(rows, F.element_at(rows, first), first + 1, F.lit(_SIDE - 1))
+
+        blocks = _before(F.transform(places, total), start, join, levels - 1)
+        return F.when(F.size(rows) == 0, F.transform(rows, lambda _: neutral)).otherwise(
+            _let(blocks, lambda known: F.transform(rows, lambda _, i: within(rows, F.get(known, F.shiftright(i, _SIDE_BITS)), F.shiftleft(F.shiftright(i, _SIDE_BITS), _SIDE_BITS) + 1, i.bitwiseAND(_SIDE - 1))))
+        )
+
+    return _let(values, of)
+
+
 def _spans(text: Column, kind: str, patterns: dict[str, str]) -> Column:
     """array of (start, end, match, before, after) of all matches, in code points.
 
     The text between matches and the matches themselves alternate, so lengths
     add up to positions.
     """
-    pattern = F.lit(patterns[kind])
-    matches, between = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, patterns[kind], -1)
-    pairs = F.zip_with(F.slice(between, F.lit(1), F.greatest(F.size(between) - 1, F.lit(0))), matches, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
-    afters = F.transform(F.slice(between, F.lit(2), F.greatest(F.size(between) - 1, F.lit(0))), lambda gap: F.substring(gap, 1, 1))
+    matches, between = F.regexp_extract_all(text, F.lit(patterns[kind]), F.lit(0)), F.split(text, patterns[kind], -1)
     none = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
-    walked = F.aggregate(
-        F.zip_with(pairs, afters, lambda p, after: F.struct(p["gap"].alias("gap"), p["match"].alias("match"), after.alias("after"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast(none).alias("found")),
-        lambda seen, p: F.struct(
-            (seen["at"] + F.length(p["gap"]) + F.length(p["match"])).alias("at"),
-            F.concat(
-                seen["found"],
-                F.array(
-                    F.struct(
-                        (seen["at"] + F.length(p["gap"])).alias("start"),
-                        (seen["at"] + F.length(p["gap"]) + F.length(p["match"])).alias("end"),
-                        p["match"].alias("match"),
-                        F.substring(p["gap"], -CONTEXT, CONTEXT).alias("before"),
-                        p["after"].alias("after"),
-                    )
-                ),
-            ).alias("found"),
-        ),
-        lambda seen: seen["found"],
+
+    def placed(gaps: Column) -> Column:
+        n = F.greatest(F.size(gaps) - 1, F.lit(0))
+        pairs = F.zip_with(F.slice(gaps, F.lit(1), n), matches, lambda gap, match: F.struct(F.length(gap).alias("skip"), F.length(match).alias("size"), F.substring(gap, -CONTEXT, CONTEXT).alias("before"), match.alias("match")))
+        afters = F.transform(F.slice(gaps, F.lit(2), n), lambda gap: F.substring(gap, 1, 1))
+
+        def of(found: Column) -> Column:
+            ends = _before(F.transform(found, lambda p: p["skip"] + p["size"]), F.lit(0), lambda a, b: a + b)
+            starts = F.zip_with(found, ends, lambda p, at: at + p["skip"])
+            context = F.zip_with(starts, afters, lambda at, after: F.struct(at.alias("at"), after.alias("after")))
+            return F.zip_with(
+                found,
+                context,
+                lambda p, c: F.struct(c["at"].alias("start"), (c["at"] + p["size"]).alias("end"), p["match"].alias("match"), p["before"].alias("before"), c["after"].alias("after")),
+            )
+
+        return _let(pairs, of)
+
+    return F.when(text.rlike(_NEEDS[kind]), _let(between, placed)).otherwise(F.array().cast(none))
+
+
+def _clear(wide: Column, base: Column) -> Column:
+    """The wide spans that no base span overlaps.
+
+    Of all spans by start, the largest base end before a wide span must not pass its
+    start, nor the first base start after it lie before its end.
+    """
+    spans = F.concat(
+        F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("wide"), b["kind"].alias("kind"), b["end"].alias("end"), F.lit(None).cast(_SPAN).alias("span"))),
+        F.transform(wide, lambda w: F.struct(w["start"].alias("start"), F.lit(1).alias("wide"), w["kind"].alias("kind"), w["end"].alias("end"), w.alias("span"))),
     )
-    return F.when(text.rlike(_NEEDS[kind]), walked).otherwise(F.array().cast(none))
+    far = F.lit(2**31 - 1)
+
+    def of(found: Column) -> Column:
+        reached = _before(F.transform(found, lambda s: F.when(s["wide"] == 0, s["end"]).otherwise(0)), F.lit(0), _larger)
+        coming = F.reverse(_before(F.reverse(F.transform(found, lambda s: F.when(s["wide"] == 0, s["start"]).otherwise(far))), far, _smaller))
+        around = F.zip_with(reached, coming, lambda r, c: F.struct(r.alias("reached"), c.alias("coming")))
+        free = F.zip_with(found, around, lambda s, n: F.when((s["wide"] == 1) & (n["reached"] <= s["start"]) & (n["coming"] >= s["end"]), s["span"]))
+        return F.filter(free, lambda s: s.isNotNull())
+
+    return F.when((F.size(wide) == 0) | (F.size(base) == 0), wide).otherwise(_let(F.array_sort(spans), of))
 
 
 def _key(kind: str, span: Column, first: str) -> Column:
@@ -158,8 +227,7 @@ def _candidates(df: DataFrame, text: Column, failed: bool = False) -> DataFrame:
         wide.append(_keyed(_spans(text, kind, WIDE), kind, order, "-" if kind == "card" else "0"))
     columns = {"__base": F.array_sort(F.concat(*base)), "__wide": F.array_sort(F.concat(*wide))}
     found = df.withColumns(columns | ({"__failed": F.concat(*dropped)} if failed else {}))
-    clear = F.filter("__wide", lambda w: ~F.exists("__base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-    return found.withColumn("__wide", clear)
+    return found.withColumn("__wide", _clear(F.col("__wide"), F.col("__base")))
 
 
 def _kept(spans: Column, kind: str, kept: bool = True) -> Column:
@@ -262,19 +330,27 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+#: Code points of the pieces that redact() cuts a text into.
+_PIECE_BITS = 10
+
+
 def redact(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in brackets; a span inside or over another joins it."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    size = 1 << _PIECE_BITS
     name = lambda s: F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)
-    walked = F.aggregate(
-        spans,
-        start,
-        lambda seen, s: F.when(s["start"] < seen["at"], F.struct(seen["out"].alias("out"), F.greatest(seen["at"], s["end"]).alias("at"))).otherwise(
-            F.struct(
-                F.concat(seen["out"], F.substring(text, seen["at"] + 1, s["start"] - seen["at"]), F.lit("["), F.upper(name(s)), F.lit("]")).alias("out"),
-                s["end"].alias("at"),
-            )
-        ),
-        lambda seen: F.concat(seen["out"], F.substring(text, seen["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, walked).otherwise(text)
+
+    def between(pieces: Column, a: Column, b: Column) -> Column:
+        """The text from a to b; substring() counts from the start of what it is given, so that is one piece."""
+        one, two = F.shiftright(a, _PIECE_BITS), F.shiftright(b, _PIECE_BITS)
+        first, last = F.coalesce(F.get(pieces, one), F.lit("")), F.coalesce(F.get(pieces, two), F.lit(""))
+        at = a.bitwiseAND(size - 1)
+        apart = F.concat(F.substring(first, at + 1, F.lit(size)), F.array_join(F.slice(pieces, one + 2, F.greatest(two - one - 1, F.lit(0))), ""), F.substring(last, F.lit(1), b.bitwiseAND(size - 1)))
+        return F.when(one == two, F.substring(first, at + 1, b - a)).otherwise(apart)
+
+    def of(pieces: Column) -> Column:
+        ended = _before(F.transform(spans, lambda s: s["end"]), F.lit(0), _larger)
+        parts = F.zip_with(spans, ended, lambda s, at: F.when(s["start"] < at, "").otherwise(F.concat(between(pieces, at, s["start"]), F.lit("["), F.upper(name(s)), F.lit("]"))))
+        return F.concat(F.array_join(parts, ""), between(pieces, F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text)))
+
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, _let(cut, of)).otherwise(text)

@@ -43,6 +43,23 @@ _ALLOW_WORDS = (
     "winter sports|window makers|online encyclopedia|track athletics|pine forest|adriatic coast|linked maps|heritage trail|theology review|others stories|thread works|"
     "notation theory|motion study|tension lab|nation atlas|therapy centre"
 ).split("|")
+# Everyday words, of which harmless hosts are made, and well-known harmless sites.
+_EVERYDAY = (
+    "account action advice animal answer apple arch art atlas autumn baker bank basket beach bell bird blue board boat bottle bread bridge bright brook build cabin camera camp candle card care carpet "
+    "castle centre chair change chart choice church circle class clear click climate cloud coach coast coffee colour computer copper corner cotton craft credit crown dance data deep design desk "
+    "dinner doctor door dream drive earth east engine estate evening event express fabric factory family farm field film fire fish flag flower forest forum frame friend fruit game gate gift glass "
+    "gold grain green group guest hall hand harbour health heart hill home horse hotel house idea island job journey kitchen lake land language law leaf learn letter level library light link lion "
+    "list local logic love machine mail map market master meadow media metal mind mirror money moon motor mountain music nature network night north note number ocean office online orange paper park "
+    "partner path people phone photo piano picture place plan plant point post power press price project quick quiet radio rain reader red rest ring river road rock room rose safe salt school science "
+    "sea season server shop silver sky smart snow social software song south space sport spring stage star station stone store stream street student studio style summer sun supply support system "
+    "table tea team tech test time tool tour town track trade train travel tree trip trust valley video view village voice walk water wave web week west wind window wine winter wire wood word work world write"
+).split()
+_KNOWN = (
+    "adobe.com stackoverflow.com spiegel.de clickhouse.com trackandfield.org wikipedia.org github.com python.org apache.org mozilla.org kernel.org debian.org gnu.org w3.org ietf.org bbc.co.uk "
+    "nytimes.com lemonde.fr elpais.com zeit.de nature.com sciencemag.org nasa.gov noaa.gov who.int un.org europa.eu mit.edu stanford.edu ox.ac.uk ethz.ch arxiv.org archive.org gutenberg.org "
+    "amazon.com ebay.com apple.com microsoft.com ibm.com intel.com oracle.com paypal.com visa.com reddit.com youtube.com vimeo.com flickr.com wordpress.com blogger.com medium.com imdb.com "
+    "goodreads.com tripadvisor.com booking.com weather.com openstreetmap.org postgresql.org mysql.com docker.com npmjs.com rust-lang.org golang.org jquery.com"
+).split()
 _BLOCK_PATHS = ("/free-spins/bonus", "/buy-cheap/pills.html", "/click/track?aff=1", "/win-prize-now/", "/xxx/video/12", "/casino/bonus-code", "/aff/redirect/99", "/download/keygen.exe", "/payday-loans/apply", "/adult/cams/7")
 _ALLOW_PATHS = ("/news/2021/04/story", "/articles/history-of-bridges", "/docs/manual.html", "/wiki/Rivers", "/about/contact", "/library/catalogue/12", "/blog/travel-notes", "/events/calendar", "/recipes/bread", "/research/papers/5")
 _PLAIN_PATHS = ("/en/12", "/de/7.html", "/fr/345?page=2", "/es/98/", "/en/4021#top", "/", "")
@@ -53,7 +70,7 @@ _SHAPES = (("https://", ".com"), ("http://www.", ".org"), ("https://blog.", ".ne
 
 
 def labelled_urls() -> list[tuple[str, int]]:
-    """(url, 1 to block or 0 to allow), some 2,800 rows.
+    """(url, 1 to block or 0 to allow), some 6,000 rows.
 
     Each host comes with plain paths, which say nothing, and with telling ones;
     paths that tell of spam are blocked on harmless hosts too.
@@ -67,6 +84,13 @@ def labelled_urls() -> list[tuple[str, int]]:
                 found.append((host + (_BLOCK_PATHS if label else _ALLOW_PATHS)[(i + j) % 10], label))
             if not label:
                 found += [(f"https://www.{term.replace(' ', '-')}.org{_BLOCK_PATHS[(i + k) % 10]}", 1) for k in range(2)]
+    for i, word in enumerate(_EVERYDAY):
+        for k in (1, 7, 40, 111):  # pairs of everyday words, a dozen endings, plain and telling harmless paths
+            scheme, ending = _SHAPES[(i + k) % len(_SHAPES)]
+            other = _EVERYDAY[(i * 3 + k) % len(_EVERYDAY)]
+            found.append((scheme + word + ("-" if (i + k) % 3 == 0 else "") + other + ending + (_PLAIN_PATHS[(i + k) % 7] if i % 2 else _ALLOW_PATHS[(i + k) % 10]), 0))
+    for i, host in enumerate(_KNOWN):
+        found += [(f"https://{host}{_PLAIN_PATHS[i % 7]}", 0), (f"https://www.{host}{_ALLOW_PATHS[i % 10]}", 0), (f"http://{host}{_BLOCK_PATHS[i % 10]}", 1)]
     n = len(_SYLLABLES)
     for i in range(_INVENTED):
         scheme, ending = _SHAPES[i % len(_SHAPES)]
@@ -84,18 +108,24 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"://[^/?#]*([^?#]*)", 1)
 
 
-def _cut(starts: Column, part: Column, n: int, mark: str) -> Column:
-    return F.transform(starts, lambda i: F.concat(F.lit(mark), F.substring(part, i, F.lit(n))))
+def _cut(part: Column, mark: str) -> Column:
+    """All n-grams of a text; its characters are split once, as substring() would count from the start for each."""
+
+    def of(chars: Column) -> Column:
+        end = F.size(chars)
+
+        def grams(n: int) -> Column:
+            gram = lambda c, i: F.when(i + n <= end, F.concat(F.lit(mark), c, *(F.get(chars, i + k) for k in range(1, n))))
+            return F.filter(F.transform(chars, gram), lambda g: g.isNotNull())
+
+        return F.concat(*map(grams, NGRAMS))
+
+    return F.element_at(F.transform(F.array(F.regexp_extract_all(part, F.lit("(?s)."), F.lit(0))), of), 1)
 
 
 def _grams(host: Column, path: Column) -> Column:
     """n-grams of the host and path, each marked with its part and its ends."""
-    found = []
-    for mark, part in (("h", F.concat(F.lit("^"), host, F.lit("$"))), ("p", F.concat(F.lit("^"), path, F.lit("$")))):
-        for n in NGRAMS:
-            starts = F.when(F.length(part) >= n, F.sequence(F.lit(1), F.length(part) - n + 1)).otherwise(F.array().cast("array<int>"))
-            found.append(_cut(starts, part, n, mark))
-    return F.concat(*found)
+    return F.concat(*(_cut(F.concat(F.lit("^"), part, F.lit("$")), mark) for mark, part in (("h", host), ("p", path))))
 
 
 def _features(df: DataFrame, host: str, path: str) -> DataFrame:

@@ -228,3 +228,35 @@ def test_quality_rules(spark):
         assert not (r.base_failed and r.kept)
     assert np.mean([r.kept for r in rows if labels.get(r.doc_id) == 1 and not r.base_failed]) > 0.99
     assert np.mean([r.kept for r in rows if labels.get(r.doc_id) == 0]) < 0.25
+
+
+def _wide_overlaps(base, wide):
+    return [w for w in wide if not any(b[0] < w[2] and w[0] < b[2] for b in base)]
+
+
+def test_pii_on_thousands_of_matches(spark):
+    """Positions, overlaps and redaction by blocks, against plain Python, on texts of none to thousands of matches."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    made = ["a{0}@mail.com", "u{0}(at)d(dot)com", "+1 202 555 {0:04d}", "10.0.0.{0}", "4111 1111 1111 1111", "202-555-{0:04d}", "plain words é中\U0001f600", "x" * 900, "@", "1234567890123456{0}"]
+    texts = [" ".join(rng.choice(made).format(rng.randrange(10_000)) for _ in range(n)) for n in (0, 1, 2, 31, 32, 33, 64, 1025, 4000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii._candidates(frame, F.col("text")).select("doc_id", "__base", "__wide")
+    spans = lambda kind, patterns: pii._spans(F.col("text"), kind, patterns)
+    raw = {r.doc_id: r for r in frame.select("doc_id", *(spans(k, pii.WIDE).alias(f"w_{k}") for k in pii.KINDS)).collect()}
+    for r in found.collect():
+        for kind in pii.KINDS:
+            for s in raw[r.doc_id][f"w_{kind}"]:
+                assert texts[r.doc_id][s.start : s.end] == s.match and texts[r.doc_id][max(0, s.start - 30) : s.start].endswith(s.before) and texts[r.doc_id][s.end : s.end + 1] == s.after
+        base = [(b.start, b.kind, b.end) for b in r["__base"]]
+        wide = sorted((s.start, i, s.end) for i, k in enumerate(pii.KINDS) for s in raw[r.doc_id][f"w_{k}"])
+        assert [(w.start, w.kind, w.end) for w in r["__wide"]] == _wide_overlaps(base, wide)
+    model = pii.fit(frame)
+    for r in pii.find(frame, model).withColumn("clean", pii.redact(F.col("text"), F.col("spans"))).collect():
+        out, at = "", 0
+        for s in r.spans:
+            if s.start >= at:
+                out += texts[r.doc_id][at : s.start] + f"[{pii.KINDS[s.kind].upper()}]"
+            at = max(at, s.end)
+        assert r.clean == out + texts[r.doc_id][at:]
