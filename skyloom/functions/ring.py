@@ -88,10 +88,39 @@ def contains_strictly(hull: Column, p: Column) -> Column:
     return F.forall(_sides(hull), lambda s: _turn(s["a"], s["b"], p) > 0)
 
 
-def convex_intersects(one: Column, other: Column) -> Column:
-    """Separating axes of two counter-clockwise convex rings; touching counts."""
-    parted = lambda a, b: F.exists(_sides(a), lambda s: F.forall(b, lambda p: _turn(s["a"], s["b"], p) < 0))
-    return ~parted(one, other) & ~parted(other, one)
+def _meet(p: Column, q: Column, r: Column, s: Column) -> Column:
+    """Whether the sides p-q and r-s share a point, ends included."""
+    near = lambda c: (F.greatest(p[c], q[c]) >= F.least(r[c], s[c])) & (F.greatest(r[c], s[c]) >= F.least(p[c], q[c]))
+    return near("x") & near("y") & (_turn(p, q, r) * _turn(p, q, s) <= 0) & (_turn(r, s, p) * _turn(r, s, q) <= 0)
+
+
+def contains(ring: Column, p: Column) -> Column:
+    """Whether p is inside a ring by the number of sides to its right; points on the border may count either way."""
+
+    def right(s: Column) -> Column:
+        up = s["b"]["y"] > s["a"]["y"]
+        return ((s["a"]["y"] > p["y"]) != (s["b"]["y"] > p["y"])) & (up == (_turn(s["a"], s["b"], p) > 0))
+
+    return F.size(F.filter(_sides(ring), right)) % 2 == 1
+
+
+def border(ring: Column) -> Column:
+    """The sides of a ring, without bridges, which are walked both ways."""
+    return _let(_sides(ring), lambda sides: F.filter(sides, lambda s: ~F.exists(sides, lambda t: (t["a"] == s["b"]) & (t["b"] == s["a"]))))
+
+
+def intersects(one: Column, other: Column) -> Column:
+    """Whether two rings share a point, convex or not; touching counts.
+
+    Their borders meet, or one ring lies within the other: then so does its first corner.
+    """
+
+    def of(pair: Column) -> Column:
+        a, b = pair["one"], pair["other"]
+        meet = _let(border(b), lambda sides: F.exists(border(a), lambda s: F.exists(sides, lambda t: _meet(s["a"], s["b"], t["a"], t["b"]))))
+        return meet | contains(a, F.get(b, F.lit(0))) | contains(b, F.get(a, F.lit(0)))
+
+    return _let(F.struct(one.alias("one"), other.alias("other")), of)
 
 
 def _crossing(a: Column, b: Column, p: Column, q: Column) -> Column:
@@ -117,54 +146,35 @@ def clip(ring: Column, window: Column) -> Column:
     return F.aggregate(_sides(window), ring, cut)
 
 
-def triangles(quad: Column) -> Column:
-    """A simple four-corner ring as two triangles whose areas do not overlap."""
+def _fan(ring: Column) -> Column:
+    """Triangles from the first corner to each side, counter-clockwise, with the sense of each: those of a ring add up to its inside."""
 
-    def of(q: Column) -> Column:
-        a, b, c, d = (F.element_at(q, i) for i in range(1, 5))
-        # the diagonal from a is inside unless a turn at b or d goes the other way
-        inside = _let(signed_area(q), lambda whole: (_turn(a, b, c) * whole >= 0) & (_turn(a, c, d) * whole >= 0))
-        return F.when(inside, F.array(F.array(a, b, c), F.array(a, c, d))).otherwise(F.array(F.array(b, c, d), F.array(b, d, a)))
+    def of(r: Column) -> Column:
+        first = F.get(r, F.lit(0))
+        corners = F.transform(F.slice(_sides(r), F.lit(2), F.greatest(F.size(r) - 2, F.lit(0))), lambda s: F.array(first, s["a"], s["b"]))
+        sense = lambda t: F.when(_turn(F.get(t, F.lit(0)), F.get(t, F.lit(1)), F.get(t, F.lit(2))) < 0, -1).otherwise(1)
+        return F.transform(corners, lambda t: F.struct(sense(t).alias("sense"), counter_clockwise(t).alias("corners")))
 
-    return _let(quad, of)
+    return _let(ring, of)
 
 
 def overlap_area(one: Column, other: Column) -> Column:
-    """Area of the intersection of two simple four-corner rings, convex or not."""
-
-    def parts(windows: Column) -> Column:
-        return _sum(F.transform(triangles(one), lambda t: _sum(F.transform(windows, lambda w: area(clip(t, w))))))
-
-    return _let(F.transform(triangles(other), counter_clockwise), parts)
-
-
-def _across(p: Column, q: Column, r: Column, s: Column) -> Column:
-    """Whether p-q and r-s cross within both."""
-    return (_turn(p, q, r) * _turn(p, q, s) < 0) & (_turn(r, s, p) * _turn(r, s, q) < 0)
-
-
-def is_bowtie(quad: Column) -> Column:
-    """Whether opposite sides of a four-corner ring cross."""
-
-    def of(ring: Column) -> Column:
-        a, b, c, d = (F.element_at(ring, i) for i in range(1, 5))
-        return (F.size(ring) == 4) & (_across(a, b, c, d) | _across(b, c, d, a))
+    """Area of the intersection of two simple rings of any number of corners, convex or not."""
 
-    return _let(quad, of)
+    def shared(t: Column, windows: Column) -> Column:
+        return _sum(F.transform(windows, lambda w: area(clip(t["corners"], w["corners"])) * (t["sense"] * w["sense"])))
 
+    # rings of opposite senses would count their overlap as negative
+    return F.abs(_let(_fan(other), lambda windows: _sum(F.transform(_fan(one), lambda t: shared(t, windows)))))
 
-def repaired(quad: Column) -> Column:
-    """A bowtie cut at its crossing, keeping the larger lobe; other rings as they are."""
 
-    def larger(pair: Column) -> Column:
-        return F.when(area(pair["one"]) >= area(pair["two"]), pair["one"]).otherwise(pair["two"])
+def meets_itself(ring: Column) -> Column:
+    """Whether two sides that are not neighbours share a point."""
 
-    def of(ring: Column) -> Column:
-        a, b, c, d = (F.element_at(ring, i) for i in range(1, 5))
-        lobes = F.when(
-            _across(a, b, c, d),
-            _let(_crossing(a, b, c, d), lambda x: F.struct(F.array(b, c, x).alias("one"), F.array(a, x, d).alias("two"))),
-        ).otherwise(_let(_crossing(b, c, d, a), lambda x: F.struct(F.array(a, b, x).alias("one"), F.array(c, d, x).alias("two"))))
-        return F.when(is_bowtie(ring), _let(lobes, larger)).otherwise(ring)
+    def of(sides: Column) -> Column:
+        n = F.size(sides)
+        apart = lambda i, j: (j > i + 1) & ((i > 0) | (j < n - 1))
+        later = lambda s, i: F.transform(sides, lambda t, j: apart(i, j) & _meet(s["a"], s["b"], t["a"], t["b"]))
+        return F.exists(F.transform(sides, lambda s, i: F.exists(later(s, i), lambda met: met)), lambda met: met)
 
-    return _let(quad, of)
+    return F.coalesce(_let(_sides(ring), of), F.lit(False))

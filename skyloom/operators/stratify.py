@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.functions import ring
+from skyloom.functions import faces, ring
 from skyloom.operators.spatial import box_pairs, ranked
 
 RATIO = (0.86, 0.07, 0.07)
@@ -16,8 +16,8 @@ CELL = 64.0
 
 
 def with_measures(footprints: DataFrame, ring_col: str = "ring") -> DataFrame:
-    """Repair bowties and add area_m2, centroid_x, centroid_y, bounds and repaired."""
-    fixed = footprints.withColumns({"repaired": ring.is_bowtie(F.col(ring_col)), ring_col: ring.repaired(F.col(ring_col))})
+    """Repair rings that meet themselves and add area_m2, centroid_x, centroid_y, bounds and repaired."""
+    fixed = faces.repaired(footprints, ring_col)
     centre, box = ring.centroid(F.col(ring_col)), ring.bounds(F.col(ring_col))
     measured = fixed.withColumns({"area_m2": ring.area(F.col(ring_col)), "__c": centre, "__b": box})
     return measured.withColumns({"centroid_x": F.col("__c.x"), "centroid_y": F.col("__c.y"), **{c: F.col(f"__b.{c}") for c in ("x0", "y0", "x1", "y1")}}).drop("__c", "__b")

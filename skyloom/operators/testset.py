@@ -96,11 +96,10 @@ def _meeting(left: DataFrame, right: DataFrame, key: str, size: float) -> DataFr
 
 
 def exact_touching(left: DataFrame, right: DataFrame, key: str, size: float) -> DataFrame:
-    """touching() for convex rings: bounds first, then separating axes."""
+    """touching() for rings of any shape: bounds first, then borders and insides."""
     columns = ["ring", "x0", "y0", "x1", "y1"]
     pairs = box_pairs(left.select(key, *columns), right.select(*columns), size)
-    meet = ring.convex_intersects(ring.counter_clockwise(F.col("l_ring")), ring.counter_clockwise(F.col("r_ring")))
-    return pairs.where(meet).select(F.col(f"l_{key}").alias(key)).distinct()
+    return pairs.where(ring.intersects(F.col("l_ring"), F.col("r_ring"))).select(F.col(f"l_{key}").alias(key)).distinct()
 
 
 def metrics(rows: DataFrame) -> DataFrame:

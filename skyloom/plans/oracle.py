@@ -36,6 +36,45 @@ from (select * from allocated where split = 'train') a join (select * from alloc
 }
 _BG = {"bg": "select *, x0 + fw as x1, y0 + fh as y1, x0 + fw/2 as centroid_x, y0 + fh/2 as centroid_y from bg_candidates"}
 _MEET = "{a}.x0 <= {b}.x1 and {b}.x0 <= {a}.x1 and {a}.y0 <= {b}.y1 and {b}.y0 <= {a}.y1"
+# Rings of four corners, their sides, contacts by sides or by a corner inside; the hull by its steepest steps.
+_CORNERS = """case when campaign = '2024' then [{'x': x0, 'y': y0}, {'x': x0 + fw, 'y': y0}, {'x': x0 + fw*0.25e0, 'y': y0 + fh*0.25e0}, {'x': x0, 'y': y0 + fh}]
+       else [{'x': x0 + fw*0.25e0, 'y': y0}, {'x': x0 + fw, 'y': y0 + fh*0.25e0}, {'x': x0 + fw*0.75e0, 'y': y0 + fh}, {'x': x0, 'y': y0 + fh*0.75e0}] end as corners"""
+_SIDES = "list_transform(range(4), lambda i: {'a': corners[i + 1], 'b': corners[(i + 1) % 4 + 1]}) as sides"
+
+
+def _turn(p: str, q: str, r: str) -> str:
+    return f"(({q}.x - {p}.x)*({r}.y - {p}.y) - ({q}.y - {p}.y)*({r}.x - {p}.x))"
+
+
+def _rings_meet(a: str, b: str) -> str:
+    near = " and ".join(f"greatest(s.a.{c}, s.b.{c}) >= least(t.a.{c}, t.b.{c}) and greatest(t.a.{c}, t.b.{c}) >= least(s.a.{c}, s.b.{c})" for c in "xy")
+    crossed = f"{_turn('s.a', 's.b', 't.a')}*{_turn('s.a', 's.b', 't.b')} <= 0 and {_turn('t.a', 't.b', 's.a')}*{_turn('t.a', 't.b', 's.b')} <= 0"
+    inside = lambda r, p: f"len(list_filter({r}.sides, lambda s: (s.a.y > {p}.corners[1].y) <> (s.b.y > {p}.corners[1].y) and {p}.corners[1].x < s.a.x + ({p}.corners[1].y - s.a.y)/(s.b.y - s.a.y)*(s.b.x - s.a.x))) % 2 = 1"
+    sides = f"len(list_filter({a}.sides, lambda s: len(list_filter({b}.sides, lambda t: {near} and {crossed})) > 0)) > 0"
+    return f"{_MEET.format(a=a, b=b)} and ({sides} or {inside(a, b)} or {inside(b, a)})"
+
+
+def _hull_half(name: str, first: str, best: str) -> str:
+    return f"""select min(x) as x, {first} as y from points
+union all select n.p.x, n.p.y from {name} l, lateral (select {best} as p from points p where p.x > l.x) n where n.p is not null"""
+
+
+_RINGS = _PRINTS | _BG | {
+    "shaped": f"select *, {_SIDES} from (select image_name, campaign, x0, y0, x1, y1, centroid_y, split, image_name in (select image_name from retained) as kept, {_CORNERS} from allocated)",
+    "bg_shaped": f"select *, {_SIDES} from (select image_name, campaign, x0, y0, x1, y1, centroid_x, centroid_y, {_CORNERS} from bg)",
+    "test": "select * from shaped where kept and split = 'test'",
+    "points": "select distinct c.x as x, c.y as y from (select unnest(corners) as c from test)",
+    "low": _hull_half("low", "arg_min(y, (x, y))", "arg_min({'x': p.x, 'y': p.y}, ((p.y - l.y)/(p.x - l.x), -p.x))"),
+    "high": _hull_half("high", "arg_min(y, (x, -y))", "arg_max({'x': p.x, 'y': p.y}, ((p.y - l.y)/(p.x - l.x), p.x))"),
+    "edges": """select *, 1 as sign from (select x, y, lead(x) over (order by x) as x2, lead(y) over (order by x) as y2 from low) where x2 is not null
+union all select *, -1 from (select x, y, lead(x) over (order by x) as x2, lead(y) over (order by x) as y2 from high) where x2 is not null""",
+    "within": """select image_name from bg_shaped b join edges e on b.centroid_x >= e.x and b.centroid_x < e.x2
+group by image_name having count(distinct sign) = 2 and min(sign*(b.centroid_y - e.y - (b.centroid_x - e.x)/(e.x2 - e.x)*(e.y2 - e.y))) > 0""",
+    "near": f"select distinct bg_shaped.image_name from bg_shaped join test on {_rings_meet('bg_shaped', 'test')}",
+    "pool": """select image_name, 'labeled_test' as slice_type, campaign, x0, y0, x1, y1, corners, sides from test
+union all select image_name, 'unlabeled_test', campaign, x0, y0, x1, y1, corners, sides from bg_shaped where image_name in (select image_name from within union select image_name from near)""",
+    "bad": f"select distinct pool.image_name from pool join shaped on (shaped.kept and shaped.split = 'train' or not shaped.kept and shaped.centroid_y < 500e0) and {_rings_meet('pool', 'shaped')}",
+}
 _RAY = {
     "ray": """select event_id, cam_x as ox, cam_y as oy, cam_z as oz, ux/m as dx, uy/m as dy, uz/m as dz
 from (select *, sqrt(ux*ux + uy*uy + uz*uz) as m from (select *, cam_x + (px - 4096e0)/8000e0 - cam_x as ux, cam_y + (py - 2730e0)/8000e0 - cam_y as uy,
@@ -164,6 +203,7 @@ union select image_name from pool where exists (select 1 from buffer where {_MEE
         },
         "select image_name, slice_type, campaign from pool where image_name not in (select image_name from bad)",
     ),
+    "testset_rings": with_views(["footprints", "bg_candidates"], _RINGS, "select image_name, slice_type, campaign from pool where image_name not in (select image_name from bad)").replace("with ", "with recursive ", 1),
     "allocation_audit": with_views(
         ["disk"],
         {},

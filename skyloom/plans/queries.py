@@ -189,6 +189,28 @@ def testset_pure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testset.isolated(pool, train, testset.south_buffer(dropped, 500.0)).select("image_name", "slice_type", "campaign")
 
 
+def _shaped(rows: DataFrame) -> DataFrame:
+    """Rows with rings in their bounds: slanted quadrilaterals, and arrowheads, which are concave, in the later campaign."""
+    x, y, w, h = (F.col(c) for c in ("x0", "y0", "fw", "fh"))
+    at = lambda dx, dy: ring.point(x + w * dx, y + h * dy)
+    slanted = F.array(at(0.25, 0.0), at(1.0, 0.25), at(0.75, 1.0), at(0.0, 0.75))
+    arrowhead = F.array(at(0.0, 0.0), at(1.0, 0.0), at(0.25, 0.25), at(0.0, 1.0))
+    return rows.withColumn("ring", F.when(F.col("campaign") == "2024", arrowhead).otherwise(slanted))
+
+
+def testset_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole test-set stage on slanted and concave footprints: hull, contacts of rings, isolation from training and buffer."""
+    allocated = materialize(_allocated(spark, sf_dir))
+    kept = stratify.allocation(allocated)
+    rows = materialize(_shaped(kept.withColumn("kept", F.lit(True)).unionByName(allocated.join(kept.select("image_name"), "image_name", "left_anti").withColumn("kept", F.lit(False)))))
+    test, train = rows.where("kept and split = 'test'"), rows.where("kept and split = 'train'")
+    hull = testset.convex_hull(test.select(F.explode("ring").alias("p")).select("p.*"))
+    near = testset.candidates(materialize(_shaped(_prints(spark, sf_dir, "bg_candidates"))), test, hull)
+    columns = ["image_name", "campaign", "ring", "x0", "y0", "x1", "y1"]
+    pool = materialize(testset.combined(test.select(*columns), near.select(*columns)))
+    return testset.isolated(pool, train, testset.south_buffer(rows.where("not kept"), 500.0)).select("image_name", "slice_type", "campaign")
+
+
 def allocation_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     disk = view(spark, sf_dir, "disk")
     allocated = _prints(spark, sf_dir).select(stem(F.col("image_name")).alias("stem"))
@@ -420,7 +442,7 @@ QUERIES = {
         tile_grid, tile_labels, tile_fg_bg_sampled, background_sample, label_stats_by_split, box_area_summary, box_size_classes, box_area_log_hist,
         box_center_heatmap, box_area_density, footprint_outliers, spatial_split, cross_split_pairs, stratified_allocation, split_summary,
         split_by_campaign, campaign_totals, dropped_log, camera_precedence, parent_last_wins, testset_candidates, testset_hull,
-        testset_hull_candidates, testset_pure, allocation_audit, ghosts_and_orphans, sample_geo_enrich, newest_older_year, global_extent,
+        testset_hull_candidates, testset_pure, testset_rings, allocation_audit, ghosts_and_orphans, sample_geo_enrich, newest_older_year, global_extent,
         selected_parents, edge_corners_wide, southmost_topk, northmost_topk, ray_plane_fallback, ray_mesh_nearest, web_mercator_points,
         utm_round_trip, shoelace_area_centroid, slanted_overlap, json_props_extract, footprint_area_hist, footprint_area_density,
         mapped_by_campaign, map_group_counts, cohort_map, background_ratio, splits_layer, distillation_pool, distillation_pool_size,

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyloom.functions import projection, ring
+from skyloom.functions import faces, projection, ring
 from skyloom.functions.text import match_key, stem
 from skyloom.operators import analytics, georeference, slicing, spatial, stratify, testset
 
@@ -41,18 +41,119 @@ def test_area_and_centroid(spark):
     ],
 )
 def test_overlap(spark, other, area, meets):
-    row = _one(spark, SQUARE, other).select(ring.overlap_area(F.col("a"), F.col("b")).alias("v"), ring.overlap_area(F.col("b"), F.col("a")).alias("w"), ring.convex_intersects(F.col("a"), ring.counter_clockwise(F.col("b"))).alias("m")).first()
+    row = _one(spark, SQUARE, other).select(ring.overlap_area(F.col("a"), F.col("b")).alias("v"), ring.overlap_area(F.col("b"), F.col("a")).alias("w"), ring.intersects(F.col("a"), F.col("b")).alias("m")).first()
     assert (row.v, row.w) == (pytest.approx(area), pytest.approx(area))
     assert row.m == meets
 
 
 def test_bowtie(spark):
     tie = [(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 2.0)]
-    row = _one(spark, tie, SQUARE).select(ring.is_bowtie(F.col("a")).alias("t"), ring.is_bowtie(F.col("b")).alias("n"), ring.area(ring.repaired(F.col("a"))).alias("area"), ring.repaired(F.col("b")).alias("same")).first()
+    found = faces.repaired(faces.repaired(_one(spark, tie, SQUARE), "a", "t"), "b", "n")
+    row = found.select("t", "n", ring.area(F.col("a")).alias("area"), F.col("b").alias("same")).first()
     assert (row.t, row.n, row.area) == (True, False, pytest.approx(1.0))
     assert [tuple(p) for p in row.same] == SQUARE
 
 
+def _wound_area(corners):
+    """Area of what a ring winds around in its own sense, by slabs between all corners and crossings."""
+    sides = list(zip(corners, corners[1:] + corners[:1], strict=True))
+    sense = 1 if sum(p[0] * q[1] - q[0] * p[1] for p, q in sides) >= 0 else -1
+    xs = {p[0] for p in corners}
+    for i, (p, q) in enumerate(sides):
+        for r, s in sides[:i]:
+            down = (q[0] - p[0]) * (s[1] - r[1]) - (q[1] - p[1]) * (s[0] - r[0])
+            if down:
+                t = ((r[0] - p[0]) * (s[1] - r[1]) - (r[1] - p[1]) * (s[0] - r[0])) / down
+                if 0 <= t <= 1:
+                    xs.add(p[0] + t * (q[0] - p[0]))
+    total, ordered = 0.0, sorted(xs)
+    for x0, x1 in zip(ordered, ordered[1:], strict=False):
+        x = (x0 + x1) / 2
+        at = sorted((p[1] + (x - p[0]) / (q[0] - p[0]) * (q[1] - p[1]), 1 if q[0] > p[0] else -1) for p, q in sides if min(p[0], q[0]) < x < max(p[0], q[0]))
+        wound = 0
+        for (y, step), (above, _) in zip(at, at[1:], strict=False):
+            wound += step
+            total += (above - y) * (x1 - x0) * (wound * sense > 0)
+    return total
+
+
+@pytest.mark.parametrize("grid", [None, 6])
+def test_repair_of_any_ring(spark, grid):
+    """Rings of 5 to 12 corners that cross themselves anyhow; on a coarse grid corners also lie on sides and on each other."""
+    rng = random.Random(2)
+    number = (lambda: float(rng.randrange(grid))) if grid else (lambda: rng.uniform(0, 100))
+    rings = [[(number(), number()) for _ in range(rng.randrange(5, 13))] for _ in range(300)]
+    frame = spark.createDataFrame([(i, r) for i, r in enumerate(rings)], f"i int, fixed {RING}")
+    fixed = faces.repaired(frame, "fixed", "broken")
+    rows = fixed.select("i", "broken", "fixed", ring.area(F.col("fixed")).alias("area"), F.size(ring.border(F.col("fixed"))).alias("sides")).collect()
+    assert sum(r.broken for r in rows) > 200
+    for r in rows:
+        assert r.area == pytest.approx(_wound_area(rings[r.i]), abs=1e-6), rings[r.i]
+        assert r.sides <= len(r.fixed)
+
+
+def test_repair_joins_faces_by_bridges(spark):
+    """Two lobes of one sense with one of the other between them: both count, the bridge touches nothing."""
+    chain = [(0.0, 0.0), (4.0, 3.0), (8.0, 0.0), (12.0, 3.0), (12.0, 0.0), (8.0, 3.0), (4.0, 0.0), (0.0, 3.0)]
+    near = [(5.9, 1.4), (6.1, 1.4), (6.1, 1.6), (5.9, 1.6)]
+    fixed = faces.repaired(_one(spark, chain, near), "a").withColumnRenamed("a", "f")
+    row = fixed.select(ring.area(F.col("f")).alias("area"), ring.intersects(F.col("f"), F.col("b")).alias("meets"), ring.overlap_area(F.col("f"), F.col("b")).alias("common")).first()
+    assert row.area == pytest.approx(_wound_area(chain))
+    assert row.meets == (row.common > 0)
+
+
+def _simple_ring(rng, size):
+    """A star-shaped ring of grid points around one of them, mostly concave."""
+    import math
+
+    cx, cy = rng.randrange(30), rng.randrange(30)
+    points = {(cx + rng.randrange(-size, size + 1), cy + rng.randrange(-size, size + 1)) for _ in range(9)} - {(cx, cy)}
+    by_angle = {}
+    for p in points:
+        by_angle.setdefault(round(math.atan2(p[1] - cy, p[0] - cx), 9), p)
+    ring_ = [(float(x), float(y)) for _, (x, y) in sorted(by_angle.items())]
+    angles = sorted(by_angle)
+    wide = any(b - a >= math.pi - 1e-6 for a, b in zip(angles, [*angles[1:], angles[0] + 2 * math.pi], strict=True))
+    return None if len(ring_) < 3 or wide else ring_
+
+
+def _brute_meet(one, other):
+    turn = lambda a, b, p: (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
+    on = lambda a, b, p: turn(a, b, p) == 0 and min(a[0], b[0]) <= p[0] <= max(a[0], b[0]) and min(a[1], b[1]) <= p[1] <= max(a[1], b[1])
+    sides = lambda r: list(zip(r, r[1:] + r[:1], strict=True))
+    for a, b in sides(one):
+        for c, d in sides(other):
+            if on(a, b, c) or on(a, b, d) or on(c, d, a) or on(c, d, b) or (turn(a, b, c) * turn(a, b, d) < 0 and turn(c, d, a) * turn(c, d, b) < 0):
+                return True
+
+    def inside(r, p):
+        return sum((a[1] > p[1]) != (b[1] > p[1]) and p[0] < a[0] + (p[1] - a[1]) * (b[0] - a[0]) / (b[1] - a[1]) for a, b in sides(r)) % 2 == 1
+
+    return inside(one, other[0]) or inside(other, one[0])
+
+
+def test_contacts_of_any_ring(spark):
+    """Concave rings, one inside another, side by side and in each other's notches."""
+    rng = random.Random(8)
+    rings = [r for r in (_simple_ring(rng, rng.choice([3, 6, 14])) for _ in range(130)) if r]
+    rings += [[(0.0, 0.0), (10.0, 0.0), (2.0, 2.0), (0.0, 10.0)], [(0.5, 0.5), (1.0, 0.5), (1.0, 1.0), (0.5, 1.0)], [(6.0, 6.0), (7.0, 6.0), (7.0, 7.0), (6.0, 7.0)], [(2.0, 2.0), (9.0, 9.0), (9.0, 10.0), (8.0, 10.0)]]
+    frame = spark.createDataFrame(list(enumerate(rings)), f"i int, r {RING}")
+    pairs = frame.alias("a").join(frame.alias("b"), F.col("a.i") < F.col("b.i"))
+    rows = pairs.select(F.col("a.i").alias("i"), F.col("b.i").alias("j"), ring.intersects(F.col("a.r"), F.col("b.r")).alias("m"), ring.overlap_area(F.col("a.r"), F.col("b.r")).alias("common")).collect()
+    assert len(rows) > 3000 and 100 < sum(r.m for r in rows) < len(rows) - 100
+    for r in rows:
+        assert r.m == _brute_meet(rings[r.i], rings[r.j]), (rings[r.i], rings[r.j])
+        assert r.m or r.common == pytest.approx(0, abs=1e-9)
+
+
+def test_isolated_tiles_of_concave_footprints(spark):
+    """A tile inside an arrowhead leaks, one in its notch does not."""
+    rows = [("in", [(0.5, 0.5), (1.0, 0.5), (1.0, 1.0), (0.5, 1.0)]), ("notch", [(5.0, 5.0), (6.0, 5.0), (6.0, 6.0), (5.0, 6.0)])]
+    pool = stratify.with_measures(spark.createDataFrame(rows, f"image_name string, ring {RING}"))
+    train = stratify.with_measures(spark.createDataFrame([("t", [(0.0, 0.0), (10.0, 0.0), (2.0, 2.0), (0.0, 10.0)])], f"image_name string, ring {RING}"))
+    assert [r.image_name for r in testset.isolated(pool, train, train.limit(0)).collect()] == ["notch"]
+
+
 def test_utm(spark):
     rng = random.Random(2)
     places = [(16.79, 48.13), (15.0, 0.0), (12.1, -70.0), *((rng.uniform(12, 18), rng.uniform(-80, 84)) for _ in range(200))]
