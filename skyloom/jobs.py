@@ -45,7 +45,7 @@ def slice_photos(spark: SparkSession, c: config.Slicing) -> DataFrame:
         images = f"{c.output_dir}/tile_images/split={split or 'all'}"
         photos.cut(pixels.where(F.col("split") == split), crops).write.mode("overwrite").parquet(images)
         sinks.image_files(spark, spark.read.parquet(images), f"{c.output_dir}/images/{split}" if split else f"{c.output_dir}/images", ".png")
-    sinks.write_text(spark, f"{c.output_dir}/slice_metadata.json", sinks.slice_metadata(kept).first().value)
+    sinks.slice_metadata(kept, f"{c.output_dir}/slice_metadata.json")
     return kept.drop("content")
 
 
@@ -73,7 +73,7 @@ def raycast(spark: SparkSession, c: config.Raycasting, cell: float = 16.0) -> Da
     prints = materialize(georeference.footprints(hits, c.utm_epsg))
     prints.write.mode("overwrite").parquet(f"{c.export_dir}/footprints")
     georeference.wide_corners(prints).write.mode("overwrite").option("header", True).csv(f"{c.export_dir}/image_edge_coordinates")
-    sinks.write_text(spark, f"{c.export_dir}/image_footprints.geojson", sinks.feature_collection(prints).first().value)
+    sinks.features(prints, f"{c.export_dir}/image_footprints.geojson")
     return prints
 
 
@@ -97,7 +97,7 @@ def stratify_dataset(spark: SparkSession, c: config.Stratification) -> DataFrame
     kept.write.mode("overwrite").parquet(f"{c.output_dir}/allocation")
     stratify.summary(prints, sized, kept).write.mode("overwrite").parquet(f"{c.output_dir}/summary")
     dropped = allocated.join(kept.select("image_name"), "image_name", "left_anti")
-    dropped.select("image_name").distinct().orderBy("image_name").coalesce(1).write.mode("overwrite").text(f"{c.output_dir}/dropped_images")
+    sinks.names(dropped, f"{c.output_dir}/dropped_images.txt")
     sinks.write_text(spark, f"{c.output_dir}/data.yaml", sinks.data_yaml(c.output_dir, list(c.classes)))
     if c.dataset_dir:
         copy_cohorts(spark, c.dataset_dir, c.output_dir, kept).write.mode("overwrite").parquet(f"{c.output_dir}/copy_audit")
@@ -122,7 +122,8 @@ def curate_dataset(spark: SparkSession, c: config.Curation) -> DataFrame:
     """The samples of a split dataset with places and map groups, as a table; returns it."""
     loaded = yolo.dataset(spark, c.folder_path).withColumn("tags", F.array("split"))
     missing = files.lines_of(spark, f"{c.folder_path}/missing_footprints.txt")
-    dropped = files.lines_of(spark, f"{c.folder_path}/dropped_images.txt")
+    # the log has the footprints' names; samples are stems
+    dropped = files.lines_of(spark, f"{c.folder_path}/dropped_images.txt", as_stem=True)
     walked = files.listing(spark, f"{c.folder_path}/../sliced_dataset/images", True).where(F.col("suffix").isin(".jpg", ".jpeg", ".png", ".JPG", ".JPEG", ".PNG")).select("stem")
     extra = curate.injected(walked, dropped, missing, loaded, c.show_orphans).select("stem", "tags", F.lit(0).cast("long").alias("n_boxes"))
     samples = curate.with_groups(loaded.select("stem", "tags", "n_boxes").unionByName(extra), missing)
@@ -159,8 +160,7 @@ def build_testset_files(spark: SparkSession, c: config.TestSet, classes: tuple[s
     labelled = metric(survey.footprints(spark, f"{c.export_dir}/sliced_dataset_edge_coordinates/image_footprints.geojson"), c.utm_epsg)
     named = materialize(labelled.withColumn("stem", stem(F.col("image_name"))))
     cohort = {s: named.join(files.listing(spark, f"{cohorts}/{s}/images").select("stem").distinct(), "stem", "left_semi").withColumn("split", F.lit(s)) for s in ("train", "test")}
-    log = files.first_existing(spark, f"{cohorts}/dropped_images.txt", f"{cohorts}/dropped_images") or f"{cohorts}/dropped_images.txt"
-    dropped = named.join(files.lines_of(spark, log, as_stem=True).distinct(), "stem", "left_semi")
+    dropped = named.join(files.lines_of(spark, f"{cohorts}/dropped_images.txt", as_stem=True).distinct(), "stem", "left_semi")
     candidates = materialize(metric(survey.footprints(spark, f"{background}/edge_coordinates/image_footprints.geojson"), c.utm_epsg))
     pure = build_testset(spark, c, cohort["train"].unionByName(cohort["test"]), candidates, dropped)
 
@@ -186,7 +186,7 @@ def build_testset_files(spark: SparkSession, c: config.TestSet, classes: tuple[s
     sinks.label_files(spark, contents.select(F.col("stem").alias("tile"), F.when(F.col("labelled"), F.col("content")).alias("content")), f"{c.output_dir}/labels")
     sinks.write_text(spark, f"{c.output_dir}/data.yaml", sinks.data_yaml(c.output_dir, list(classes), {"test": "images"}))
     degrees = F.transform("lon_lat", lambda p: F.struct(p["x"].alias("lon"), p["y"].alias("lat")))
-    sinks.write_text(spark, f"{c.output_dir}/testset_unlabeled_combined_footprints.geojson", sinks.feature_collection(pure.withColumn("corners", degrees)).first().value)
+    sinks.features(pure.withColumn("corners", degrees), f"{c.output_dir}/testset_unlabeled_combined_footprints.geojson")
     return pure
 
 

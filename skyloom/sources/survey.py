@@ -86,13 +86,32 @@ def mesh(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return vertices, found.select("face_id", "a", "b", "c")
 
 
+_FEATURE = "struct<geometry:struct<type:string,coordinates:string>,properties:struct<image_name:string,status:string,campaign:string>>"
+
+
+def _features(spark: SparkSession, path: str) -> DataFrame:
+    """(ord, f) of the features of a GeoJSON file.
+
+    The text reader cuts the file at the features' type, in as many tasks as it has
+    byte ranges; what follows a type is its feature's rest. The piece before the
+    first type is none. Where another piece cannot be read (a type that is not the
+    first member, or a name that is that word), the file is read as a whole.
+    """
+    pieces = spark.read.option("lineSep", '"Feature"').text(path).select(F.monotonically_increasing_id().alias("ord"), "value")
+    parsed = pieces.select("ord", F.from_json(F.concat(F.lit('{"type": "Feature"'), F.col("value")), _FEATURE).alias("f"))
+    whole = F.col("f.geometry").isNotNull() | F.col("f.properties").isNotNull()
+    checked = parsed.where((F.col("ord") > 0) & ~F.coalesce(whole, F.lit(False))).limit(1).count()
+    if not checked:
+        return parsed.where(F.col("ord") > 0)
+    rows = spark.read.option("multiLine", True).schema(f"features array<{_FEATURE}>").json(path)
+    return rows.select(F.posexplode("features").alias("ord", "f")).withColumn("ord", F.col("ord").cast("long"))
+
+
 def footprints(spark: SparkSession, path: str) -> DataFrame:
     """(image_name, status, campaign, ring, ord) of GeoJSON polygons with a name: outer ring, closing corner removed; an absent file has none."""
     if not exists(spark, path):
-        return spark.createDataFrame([], "image_name string, status string, campaign string, ring array<struct<x:double,y:double>>, ord int")
-    schema = "features array<struct<geometry:struct<type:string,coordinates:string>,properties:struct<image_name:string,status:string,campaign:string>>>"
-    rows = spark.read.option("multiLine", True).schema(schema).json(path).select(F.posexplode("features").alias("ord", "f"))
-    good = rows.where("f.geometry.type = 'Polygon' and f.properties.image_name is not null")
+        return spark.createDataFrame([], "image_name string, status string, campaign string, ring array<struct<x:double,y:double>>, ord long")
+    good = _features(spark, path).where("f.geometry.type = 'Polygon' and f.properties.image_name is not null")
     outer = F.get(F.from_json("f.geometry.coordinates", "array<array<array<double>>>"), F.lit(0))
     ring = F.transform(outer, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
     shut = F.get("ring", F.lit(0)) == F.element_at("ring", -1)
@@ -101,7 +120,16 @@ def footprints(spark: SparkSession, path: str) -> DataFrame:
 
 
 def slice_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """(tile, parent_image, x_start, y_start, x_end, y_end, split_source) of a JSON object by tile."""
+    """(tile, parent_image, x_start, y_start, x_end, y_end, split_source) of a JSON object by tile.
+
+    An entry ends with the only brace in it, so the text reader cuts the file there,
+    in as many tasks as it has byte ranges. Where a piece cannot be read (a name with
+    a brace), the file is read as a whole.
+    """
     entry = "map<string,struct<parent_image:string,x_start:int,y_start:int,x_end:int,y_end:int,split_source:string>>"
-    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", entry)).alias("tile", "t"))
-    return rows.select("tile", "t.*")
+    rest = F.regexp_replace("value", r"^[\s,{]+", "")
+    pieces = spark.read.option("lineSep", "}").text(path).select(rest.alias("rest")).where("rest <> ''")
+    parsed = pieces.select(F.from_json(F.concat(F.lit("{"), F.col("rest"), F.lit("}}")), entry).alias("m"))
+    if parsed.where("m is null or size(m) <> 1 or exists(map_values(m), t -> t is null)").limit(1).count():
+        parsed = spark.read.text(path, wholetext=True).select(F.from_json("value", entry).alias("m"))
+    return parsed.select(F.explode("m").alias("tile", "t")).select("tile", "t.*")

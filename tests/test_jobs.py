@@ -65,6 +65,29 @@ def test_raycast_then_stratify(spark, tmp_path):
     assert "nc: 1" in (tmp_path / "split/data.yaml").read_text()
 
 
+def test_stratify_then_curate(spark, tmp_path):
+    """What the split drops comes back as ghosts, with the places of its footprints."""
+    w, s = 15.0, 48.0
+    geo = tmp_path / "f.geojson"
+    # south to north; the training tile that overlaps the test tile goes
+    _collection(geo, *(_square(f"T_{i}.jpg", w, s + y, w + 1e-4, s + y + 1e-4) for i, y in enumerate((0.0, 0.5e-4, 3e-4, 5e-4, 7e-4, 9e-4))))
+    for kind, suffix, text in (("images", "jpg", "i"), ("labels", "txt", "0 0.5 0.5 0.1 0.1")):
+        (tmp_path / "sliced_dataset" / kind).mkdir(parents=True)
+        for i in range(6):
+            (tmp_path / "sliced_dataset" / kind / f"T_{i}.{suffix}").write_text(text)
+    out = tmp_path / "split"
+    kept = jobs.stratify_dataset(spark, config.Stratification(str(tmp_path / "sliced_dataset"), str(out), str(geo), (0.6, 0.2, 0.2)))
+    assert {r.image_name: r.split for r in kept.collect()} == {"T_0.jpg": "test", "T_2.jpg": "train", "T_3.jpg": "train", "T_4.jpg": "train", "T_5.jpg": "val"}
+    assert (out / "dropped_images.txt").read_text() == "T_1.jpg\n"
+    found = jobs.curate_dataset(spark, config.Curation(str(out), str(geo), "curated_samples"))
+    rows = {r.stem: r for r in found.collect()}
+    assert set(rows) == {f"T_{i}" for i in range(6)} and all(abs(r.lon - w) < 1e-3 for r in rows.values())
+    ghost = rows["T_1"]
+    assert ghost.tags != rows["T_2"].tags and ghost.map_group != rows["T_2"].map_group and rows["T_0"].split == "test"
+    assert spark.table("curated_samples").count() == 6
+    spark.sql("drop table curated_samples")
+
+
 def _square(name: str, west: float, south: float, east: float, north: float) -> dict:
     ring = [[west, north], [east, north], [east, south], [west, south], [west, north]]
     return {"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [ring]}, "properties": {"image_name": name, "status": "Mesh Hit", "campaign": "2023"}}

@@ -87,7 +87,8 @@ def test_mesh(spark, tmp_path):
 
 def test_geojson_round_trip(spark, tmp_path):
     prints = spark.createDataFrame([("b", "Mesh Hit", "2023", [(1.0, 2.0, 9.0), (3.0, 2.0, 9.0), (3.0, 4.0, 9.0), (1.0, 4.0, 9.0)])], "image_name string, status string, campaign string, corners array<struct<lon:double,lat:double,alt:double>>")
-    text = sinks.feature_collection(prints).first().value
+    sinks.features(prints, str(tmp_path / "out.geojson"))
+    text = (tmp_path / "out.geojson").read_text()
     feature = json.loads(text)["features"][0]
     assert feature["properties"] == {"image_name": "b", "status": "Mesh Hit", "campaign": "2023", "fill": "#92eb5f", "stroke-width": 2}
     other = {"type": "Feature", "geometry": {"type": "Point", "coordinates": [1, 2]}, "properties": {"image_name": "p"}}
@@ -101,11 +102,52 @@ def test_geojson_round_trip(spark, tmp_path):
 def test_slice_metadata_round_trip(spark, tmp_path):
     tiles = spark.createDataFrame([("a_0_0", "a", "", 0, 0, 1024, 1024), ("a_819_0", "a", "val", 819, 0, 1843, 1024)], "tile string, parent_image string, split_source string, x_start int, y_start int, x_end int, y_end int")
     path = tmp_path / "slice_metadata.json"
-    path.write_text(sinks.slice_metadata(tiles).first().value)
+    sinks.slice_metadata(tiles, str(path))
     back = survey.slice_metadata(spark, str(path))
     assert sorted(back.select(*tiles.columns).collect()) == sorted(tiles.collect())
 
 
+def test_exports_and_reads_of_many_parts(spark, tmp_path):
+    """One file from many partitions, read again by several tasks: nothing is lost or split."""
+    n = 20_000
+    tiles = spark.range(n).repartition(7).select(
+        F.concat(F.lit("t_"), F.col("id"), F.lit("_\"é, [")).alias("tile"), F.lit("p").alias("parent_image"), F.lit("train").alias("split_source"),
+        F.col("id").cast("int").alias("x_start"), F.lit(0).alias("y_start"), (F.col("id") + 9).cast("int").alias("x_end"), F.lit(9).alias("y_end"),
+    )
+    path = str(tmp_path / "m.json")
+    sinks.slice_metadata(tiles, path)
+    assert len(json.loads((tmp_path / "m.json").read_text())) == n
+    corners = F.array(*(F.struct(F.lit(x).alias("lon"), F.lit(y).alias("lat"), F.lit(0.0).alias("alt")) for x, y in ((1.0, 2.0), (3.0, 2.0), (3.0, 4.0))))
+    prints = spark.range(n).repartition(5).select(F.concat(F.lit("i"), F.col("id")).alias("image_name"), F.lit("Mesh Hit").alias("status"), F.lit("2023").alias("campaign"), corners.alias("corners"))
+    geo = str(tmp_path / "f.geojson")
+    sinks.features(prints, geo)
+    named = [f["properties"]["image_name"] for f in json.loads((tmp_path / "f.geojson").read_text())["features"]]
+    assert len(named) == n and named == sorted(named)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300000")
+    try:
+        back, again = survey.slice_metadata(spark, path), survey.footprints(spark, geo)
+        assert back.select(F.spark_partition_id()).distinct().count() > 3 and again.select(F.spark_partition_id()).distinct().count() > 3
+        assert back.select(*tiles.columns).exceptAll(tiles).count() == 0 and back.count() == n
+        assert [r.image_name for r in again.orderBy("ord").collect()] == named and again.where(F.size("ring") == 3).count() == n
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_json_that_cannot_be_cut(spark, tmp_path):
+    """Braces in names, a member order of its own, and empty collections are read as a whole."""
+    at = {"parent_image": "p}", "x_start": 1, "y_start": 2, "x_end": 3, "y_end": 4, "split_source": "{"}
+    (tmp_path / "m.json").write_text(json.dumps({"a}": at, "b": at}, indent=2))
+    assert {(r.tile, r.parent_image, r.split_source) for r in survey.slice_metadata(spark, str(tmp_path / "m.json")).collect()} == {("a}", "p}", "{"), ("b", "p}", "{")}
+    square = {"geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}, "properties": {"image_name": "x"}, "type": "Feature"}
+    for name, found in (("late", [square, square | {"properties": {"image_name": "Feature"}}]), ("none", [])):
+        (tmp_path / name).write_text(json.dumps({"features": found, "type": "FeatureCollection"}))
+        assert sorted(r.image_name for r in survey.footprints(spark, str(tmp_path / name)).collect()) == sorted(f["properties"]["image_name"] for f in found)
+    (tmp_path / "empty.json").write_text("{}")
+    assert survey.slice_metadata(spark, str(tmp_path / "empty.json")).count() == 0
+    assert survey.footprints(spark, str(tmp_path / "absent")).count() == 0
+
+
 def test_logs_and_yaml(spark, tmp_path):
     (tmp_path / "log.txt").write_text("a.b.jpg\n\n  c \n")
     (tmp_path / "none.txt").write_text("")
