@@ -18,13 +18,59 @@ def pixel_boxes(boxes: DataFrame, width: int = 1024, height: int = 1024) -> Data
     return sized.where((F.col("w_px") > 0) & (F.col("h_px") > 0)).withColumn("area_px", F.col("w_px") * F.col("h_px"))
 
 
-def area_summary(boxes: DataFrame) -> DataFrame:
+#: Values of which one task finds the median.
+ONE_TASK = 2_000_000
+#: Ranges that a round of medians() counts.
+RANGES = 1_000
+
+
+def medians(df: DataFrame, columns: list[str], one_task: int = ONE_TASK) -> dict[str, float | None]:
+    """Exact medians of columns, nulls left out, of which no task holds all values.
+
+    Each round counts the values in even ranges and goes on with the range that holds
+    the middle rank, until that has one value or few enough to be looked at.
+    """
+    values = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns))).alias("r")).select("r.*").where("v is not null")
+    whole = {r.c: (r.n, r.lo, r.hi) for r in values.groupBy("c").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    # (column, rank from 0) -> (range, ranks before it, values in it)
+    open_ranks = {(c, k): (lo, hi, 0, n) for c, (n, lo, hi) in whole.items() for k in {(n - 1) // 2, n // 2}}
+    found: dict[tuple[str, int], float] = {}
+    while open_ranks:
+        for key, (lo, hi, before, n) in list(open_ranks.items()):
+            if lo == hi:
+                found[key] = lo
+                del open_ranks[key]
+            elif n <= one_task:
+                c, k = key
+                inside = values.where((F.col("c") == c) & F.col("v").between(lo, hi))
+                found[key] = inside.agg(F.array_sort(F.collect_list("v")).alias("v")).select(F.get("v", F.lit(k - before)).alias("x")).first().x
+                del open_ranks[key]
+        spans = {(c, lo, hi) for (c, _), (lo, hi, _, _) in open_ranks.items()}
+        for c, lo, hi in spans:
+            place = F.least(F.floor((F.col("v") - lo) / (hi - lo) * RANGES), F.lit(RANGES - 1))
+            counts = values.where((F.col("c") == c) & F.col("v").between(lo, hi)).groupBy(place.alias("i")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            ordered = sorted(counts.collect(), key=lambda r: r.i)
+            for key, (low, high, before, _) in list(open_ranks.items()):
+                if (key[0], low, high) == (c, lo, hi):
+                    for r in ordered:
+                        if key[1] < before + r.n:
+                            open_ranks[key] = (r.lo, r.hi, before, r.n)
+                            break
+                        before += r.n
+    return {c: (found[c, (whole[c][0] - 1) // 2] + found[c, whole[c][0] // 2]) / 2 if c in whole else None for c in columns}
+
+
+def area_summary(boxes: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """Count, mean and exact medians, and the sides' ranges."""
+    columns = ["area_px", "w_px", "h_px"]
+    few = boxes.limit(one_task + 1).count() <= one_task
+    exact = {} if few else medians(boxes, columns, one_task)
+    middle = {c: F.median(c) if few else F.lit(exact[c]).cast("double") for c in columns}
     return boxes.agg(
         F.count("*").alias("n"),
         F.avg("area_px").alias("mean_area"),
-        F.median("area_px").alias("median_area"),
-        *(f(c).alias(f"{name}_{c}") for c in ("w_px", "h_px") for name, f in (("min", F.min), ("median", F.median), ("max", F.max))),
+        middle["area_px"].alias("median_area"),
+        *(v.alias(f"{name}_{c}") for c in ("w_px", "h_px") for name, v in (("min", F.min(c)), ("median", middle[c]), ("max", F.max(c)))),
         F.greatest(F.max("w_px"), F.max("h_px")).alias("max_side"),
     )
 

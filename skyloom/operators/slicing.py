@@ -88,9 +88,17 @@ def tile_labels(photos: DataFrame, boxes: DataFrame, tile: int = TILE, overlap:
 
 
 def _reached(low: str, high: str, length: str, tile: int, stride: int) -> Column:
-    """Origins of the tiles that an interval overlaps by more than an edge."""
-    every = origins(F.col(length).cast("int"), tile, stride)
-    return F.filter(every, lambda o: (F.col(low) < o + tile) & (F.col(high) > o))
+    """Origins of the tiles that an interval overlaps by more than an edge, whatever the photo's width.
+
+    Tiles at multiples of the stride follow by division, with one more at each end
+    for rounding; the tile flush with the edge stands apart.
+    """
+    last = F.col(length).cast("int") - tile
+    inner = F.floor((last - 1) / stride)  # of the tiles before the flush one, the last; -1 if there is none
+    first = F.greatest(F.floor((F.col(low) - tile) / stride), F.lit(0))
+    end = F.least(F.floor(F.col(high) / stride) + 1, inner)
+    near = F.when(first <= end, F.transform(F.sequence(first, end), lambda k: (k * stride).cast("int"))).otherwise(F.array().cast("array<int>"))
+    return F.filter(F.concat(near, F.array(last)), lambda o: (F.col(low) < o + tile) & (F.col(high) > o))
 
 
 def with_background(tiles: DataFrame, labelled: DataFrame, chances: dict[str, float] | None = None) -> DataFrame:

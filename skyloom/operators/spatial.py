@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from skyloom.session import materialize
 
 
-def _cells(low: str, high: str, size: float) -> Column:
-    return F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))
+def gridded(df: DataFrame, size: Column | float) -> DataFrame:
+    """A row for each cell (gx, gy) that the bounds x0, y0, x1, y1 touch."""
+    cells = lambda low, high: F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))
+    return df.withColumn("gx", F.explode(cells("x0", "x1"))).withColumn("gy", F.explode(cells("y0", "y1")))
 
 
-def gridded(df: DataFrame, size: float) -> DataFrame:
-    """A row for each cell (gx, gy) that the bounds x0, y0, x1, y1 touch."""
-    return df.withColumn("gx", F.explode(_cells("x0", "x1", size))).withColumn("gy", F.explode(_cells("y0", "y1", size)))
+#: Sides up to so many cells are dealt to cells of level 0.
+WIDE = 4
+
+
+def _level(size: float) -> Column:
+    """0 for usual bounds, else the level at whose cells, 2^level times as wide, the longer side spans one to two."""
+    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) / size
+    return F.when(side > WIDE, F.ceil(F.log2(side))).otherwise(0).cast("int")
 
 
 def box_pairs(left: DataFrame, right: DataFrame, size: float, closed: bool = True) -> DataFrame:
@@ -23,10 +30,26 @@ def box_pairs(left: DataFrame, right: DataFrame, size: float, closed: bool = Tru
     Columns are prefixed with l_ and r_. A pair that shares several cells is taken
     in the cell of its greater lower corners alone, so nothing is deduplicated.
     Touching bounds count if closed. Cells should be at least as wide as a usual
-    footprint; a footprint in many cells costs a row for each.
+    footprint. Larger bounds go to levels of wider cells, few of each: a pair meets at
+    the level of its larger row, where only rows of that level stand on one side, so
+    that small rows are never paired in the cells of large ones.
     """
-    a, b = (gridded(df, size).select(*(F.col(c).alias(c if c in ("gx", "gy") else f"{p}_{c}") for c in [*df.columns, "gx", "gy"])) for df, p in ((left, "l"), (right, "r")))
-    owner = (F.col("gx") == F.floor(F.greatest("l_x0", "r_x0") / size)) & (F.col("gy") == F.floor(F.greatest("l_y0", "r_y0") / size))
+    a, b = (df.withColumn("__level", _level(size)) for df in (left, right))
+    levels = [{r[0] for r in df.where("__level > 0").select("__level").distinct().collect()} for df in (a, b)]
+    pairs = _pairs_at(a.where("__level = 0"), b.where("__level = 0"), 0, size, closed)
+    for level in sorted(levels[0] | levels[1]):
+        if level in levels[0]:
+            pairs = pairs.unionByName(_pairs_at(a.where(F.col("__level") == level), b.where(F.col("__level") <= level), level, size, closed))
+        if level in levels[1]:
+            pairs = pairs.unionByName(_pairs_at(a.where(F.col("__level") < level), b.where(F.col("__level") == level), level, size, closed))
+    return pairs
+
+
+def _pairs_at(left: DataFrame, right: DataFrame, level: int, size: float, closed: bool) -> DataFrame:
+    """box_pairs() in the cells of one level."""
+    side = size * 2.0**level
+    a, b = (gridded(df.drop("__level"), side).select(*(F.col(c).alias(c if c in ("gx", "gy") else f"{p}_{c}") for c in [*df.drop("__level").columns, "gx", "gy"])) for df, p in ((left, "l"), (right, "r")))
+    owner = (F.col("gx") == F.floor(F.greatest("l_x0", "r_x0") / side)) & (F.col("gy") == F.floor(F.greatest("l_y0", "r_y0") / side))
     if closed:
         meet = (F.col("l_x0") <= F.col("r_x1")) & (F.col("r_x0") <= F.col("l_x1")) & (F.col("l_y0") <= F.col("r_y1")) & (F.col("r_y0") <= F.col("l_y1"))
     else:
