@@ -85,10 +85,36 @@ def load_campaigns(path: str) -> tuple[Campaign, ...]:
     return campaigns_of(json.loads(Path(path).read_text(encoding="utf-8")))
 
 
+def chosen_campaigns(given: tuple[Campaign, ...], path: str | None, two: dict[str, dict[str, str | None]]) -> tuple[Campaign, ...]:
+    """Those of a JSON file that exists, else those of the settings, else the two that are named by their xml and mesh."""
+    if path and Path(path).exists():
+        return load_campaigns(path)
+    if given:
+        return given
+    named = {year: {"xml_path": c["xml"], "mesh_path": c["mesh"]} for year, c in two.items() if c["xml"] and c["mesh"]}
+    if not named:
+        raise ValueError("no campaigns: name a file, settings, or --xml-2023 and --mesh-2023 or those of 2024")
+    return campaigns_of(named)
+
+
+#: Settings that name what a stage reads, and where that stands below base_export_dir.
+_INPUTS = {
+    ("slicing", "input_dir"): "sliced_dataset",
+    ("raycasting", "metadata_path"): "sliced_dataset/slice_metadata.json",
+    ("stratification", "dataset_dir"): "sliced_dataset",
+    ("stratification", "geojson_path"): "sliced_dataset_edge_coordinates/image_footprints.geojson",
+    ("fiftyone", "folder_path"): "sliced_split_dataset",
+    ("fiftyone", "geojson_path"): "sliced_dataset_edge_coordinates/image_footprints.geojson",
+    ("testset_builder", "export_dir"): "",
+}
+
+
 def load(path: str | None = None) -> Config:
     """Defaults, overlaid by a YAML file; a named file must exist, unknown keys are errors.
 
-    Relative paths are taken from the file's folder.
+    Relative paths are taken from the file's folder. base_export_dir and raw_images_dir
+    at the top say where inputs stand that a section leaves out; an input that does
+    not exist gives way to that place if it does.
     """
     if path is None:
         return Config()
@@ -97,8 +123,20 @@ def load(path: str | None = None) -> Config:
     base = Path(path).resolve().parent
     raw = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
 
+    tops = {k: base / raw[k] for k in ("base_export_dir", "raw_images_dir") if raw.get(k)}
+
+    def place(name: str, key: str) -> Path | None:
+        """Where an input stands by the settings at the top."""
+        if (name, key) == ("testset_builder", "raw_images_dir"):
+            return tops.get("raw_images_dir")
+        return tops["base_export_dir"] / _INPUTS[name, key] if "base_export_dir" in tops and (name, key) in _INPUTS else None
+
     def section(kind: type, name: str):
         given = dict(raw.get(name) or {})
+        for key in [k for n, k in _INPUTS if n == name] + ["raw_images_dir"] * (name == "testset_builder"):
+            default = place(name, key)
+            if default and (not given.get(key) or not (base / given[key]).exists() and default.exists()):
+                given[key] = str(default)
         given.pop("plots_dir", None)
         given.pop("max_workers", None)
         for key, value in given.items():

@@ -11,7 +11,7 @@ from skyloom import config
 from skyloom.functions import projection, ring
 from skyloom.functions.text import match_key, stem
 from skyloom.operators import analytics, curate, georeference, slicing, stratify, testset
-from skyloom.session import materialize
+from skyloom.session import materialize, scratch
 from skyloom.sources import files, photos, sinks, survey, yolo
 
 
@@ -132,6 +132,7 @@ def curate_dataset(spark: SparkSession, c: config.Curation) -> DataFrame:
     places = prints.select(stem(F.col("image_name")).alias("stem"), mean.getField("x").alias("lon"), mean.getField("y").alias("lat"), "campaign", "ord")
     found = materialize(curate.with_places(samples, places))
     found.write.mode("overwrite").saveAsTable(c.dataset_name)
+    curate.campaign_report(found).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{c.folder_path}/campaign_report")
     return found
 
 
@@ -190,6 +191,48 @@ def build_testset_files(spark: SparkSession, c: config.TestSet, classes: tuple[s
     return pure
 
 
+def map_tables(spark: SparkSession, export_dir: str, out: str, epsg: int = 32633) -> None:
+    """The tables behind the maps of all cohorts, as Parquet: splits_layer, composition, extent, and where there are unlabelled tiles, distillation."""
+    cohorts, background = f"{export_dir}/sliced_split_dataset", f"{export_dir}/sliced_unlabeled/edge_coordinates/image_footprints.geojson"
+    geojson = f"{export_dir}/sliced_dataset_edge_coordinates/image_footprints.geojson"
+    if not files.exists(spark, geojson):
+        raise FileNotFoundError(geojson)
+    with scratch(spark):
+        prints = materialize(metric(survey.footprints(spark, geojson), epsg).withColumn("stem", stem(F.col("image_name"))))
+        held = {s: files.listing(spark, f"{cohorts}/{s}/images").select("stem") for s in files.SPLITS}
+        held["buffer"] = files.lines_of(spark, f"{cohorts}/dropped_images.txt", as_stem=True)
+        layers = materialize(analytics.cohort_layers(prints, held).select("image_name", "stem", "campaign", "layer", F.col("centroid_x").alias("x"), F.col("centroid_y").alias("y"), "x0", "y0", "x1", "y1", "ring"))
+        tables = {
+            "splits_layer": layers.select("image_name", "campaign", "layer", "x", "y"),
+            "composition": layers.groupBy("layer", "campaign").agg(F.count("*").alias("n")),
+            "extent": layers.agg(F.min("x").alias("x_min"), F.min("y").alias("y_min"), F.max("x").alias("x_max"), F.max("y").alias("y_max")),
+        }
+        if files.exists(spark, background):
+            unlabelled = materialize(metric(survey.footprints(spark, background), epsg))
+            tables["distillation"] = analytics.distillation_layers(layers.where("layer <> 'buffer'").withColumn("split", F.col("layer")), unlabelled)
+        for name, frame in tables.items():
+            frame.write.mode("overwrite").parquet(f"{out}/{name}")
+
+
+def testset_map_tables(spark: SparkSession, export_dir: str, out: str, epsg: int = 32633) -> None:
+    """The tables behind the test set's map, as Parquet: its centroids by layer, the window of the detail map, and the counts beside it."""
+    folder = f"{export_dir}/testset_unlabeled_combined"
+    geojson = f"{folder}/testset_unlabeled_combined_footprints.geojson"
+    if not files.exists(spark, geojson):
+        raise FileNotFoundError(geojson)
+    with scratch(spark):
+        lines = files.texts(spark, f"{folder}/labels").select("stem", F.size(F.filter(F.split("content", "\n"), lambda line: F.trim(line) != "")).cast("long").alias("n_boxes"))
+        cohort = files.listing(spark, f"{export_dir}/sliced_split_dataset/test/images").select("stem").distinct().withColumn("labelled", F.lit(True))
+        prints = metric(survey.footprints(spark, geojson), epsg).withColumn("stem", stem(F.col("image_name")))
+        rows = prints.join(cohort, "stem", "left").join(lines.groupBy("stem").agg(F.max("n_boxes").alias("n_boxes")), "stem", "left")
+        points = materialize(
+            rows.select("image_name", "campaign", F.when(F.col("labelled"), "labeled_test").otherwise("unlabeled_test").alias("slice_type"), F.col("centroid_x").alias("x"), F.col("centroid_y").alias("y"), "n_boxes")
+        )
+        points.write.mode("overwrite").parquet(f"{out}/testset_points")
+        analytics.zoom_window(points).write.mode("overwrite").parquet(f"{out}/testset_zoom")
+        testset.metrics(points).write.mode("overwrite").parquet(f"{out}/testset_metrics")
+
+
 def box_statistics(spark: SparkSession, dataset_dir: str, out: str, size: tuple[int, int] | None = None) -> None:
     """The tables behind the box dashboard, as Parquet; without a size, that of the first image that can be read."""
     if size is None:
@@ -225,10 +268,12 @@ def main(args: list[str] | None = None) -> None:
             own.add_argument(f"--{option.replace('_', '-')}", type=kind[0] if many else kind, nargs="+" if many else None)
 
     stage("slice", input_dir=str, output_dir=str, slice_size=int, overlap_ratio=float, min_area_ratio=float, classes=[str], train_bg_prob=float, val_bg_prob=float, test_bg_prob=float)
-    stage("raycast", metadata_path=str, export_dir=str, utm_epsg=int, campaign_config=str)
+    stage("raycast", metadata_path=str, export_dir=str, utm_epsg=int, campaign_config=str, xml_2023=str, mesh_2023=str, xml_2024=str, mesh_2024=str)
     stage("stratify", dataset_dir=str, output_dir=str, geojson_path=str, split_ratio=[float], max_overlap_pct=float, max_oversized_pct=float, classes=[str], utm_epsg=int)
     stage("curate", folder_path=str, geojson_path=str, dataset_name=str)
     stage("build-testset", export_dir=str, raw_images_dir=str, output_dir=str, utm_epsg=int)
+    stage("maps", export_dir=str, output_dir=str, utm_epsg=int)
+    stage("testset-map", export_dir=str, output_dir=str, utm_epsg=int)
     stage("box-stats", dataset_dir=str, output_dir=str, img_size=[int])
     given = vars(parser.parse_args(args))
     name, settings = given.pop("stage"), config.load(given.pop("config"))
@@ -238,8 +283,9 @@ def main(args: list[str] | None = None) -> None:
         chances = {s: chosen.pop(f"{s}_bg_prob") for s in files.SPLITS if f"{s}_bg_prob" in chosen}
         slice_photos(spark, _over(settings.slicing, chosen | ({"background_probabilities": settings.slicing.background_probabilities | chances} if chances else {})))
     elif name == "raycast":
-        if path := chosen.pop("campaign_config", None):
-            chosen["campaigns"] = config.load_campaigns(path)
+        path = chosen.pop("campaign_config", None)
+        two = {year: {kind: chosen.pop(f"{kind}_{year}", None) for kind in ("xml", "mesh")} for year in ("2023", "2024")}
+        chosen["campaigns"] = config.chosen_campaigns(settings.raycasting.campaigns, path, two)
         raycast(spark, _over(settings.raycasting, chosen))
     elif name == "stratify":
         stratify_dataset(spark, _over(settings.stratification, chosen))
@@ -247,6 +293,9 @@ def main(args: list[str] | None = None) -> None:
         curate_dataset(spark, _over(settings.curation, chosen))
     elif name == "build-testset":
         build_testset_files(spark, _over(settings.testset, chosen), settings.stratification.classes)
+    elif name in ("maps", "testset-map"):
+        job = map_tables if name == "maps" else testset_map_tables
+        job(spark, chosen.get("export_dir", settings.testset.export_dir), chosen.get("output_dir", f"{settings.base}/plots"), chosen.get("utm_epsg", settings.testset.utm_epsg))
     else:
         side = chosen.get("img_size")
         box_statistics(spark, chosen["dataset_dir"], chosen["output_dir"], side and (side if len(side) == 2 else (side[0], side[0])))

@@ -154,6 +154,18 @@ def cohort_layers(footprints: DataFrame, cohorts: dict[str, DataFrame], key: str
     return layers
 
 
+def zoom_window(points: DataFrame, width: float = 130.0, height: float = 75.0, share_x: float = 0.28, below: float = 5.0) -> DataFrame:
+    """One row: the window of the detail map over points(x, y) in metres, and how many points it holds.
+
+    It begins at a share of the points' breadth and a little below them; no points give nulls.
+    """
+    corner = points.agg((F.min("x") + (F.max("x") - F.min("x")) * share_x).alias("x_min"), (F.min("y") - below).alias("y_min"))
+    window = corner.withColumns({"x_max": F.col("x_min") + width, "y_max": F.col("y_min") + height})
+    inside = F.col("x").between(F.col("x_min"), F.col("x_max")) & F.col("y").between(F.col("y_min"), F.col("y_max"))
+    held = points.select("x", "y").crossJoin(F.broadcast(window)).agg(F.count_if(inside).alias("n"))
+    return window.crossJoin(F.broadcast(held)).select("x_min", "x_max", "y_min", "y_max", "n")
+
+
 def with_total(df: DataFrame, key: str) -> DataFrame:
     """Rows for each value of key, and in total."""
     counts = df.groupingSets([[key], []], key).agg(F.coalesce(F.col(key), F.lit("total")).alias("layer"), F.count("*").alias("n"))

@@ -58,11 +58,27 @@ def campaign_year(campaign: Column) -> Column:
 
 
 def with_places(samples: DataFrame, footprints: DataFrame) -> DataFrame:
-    """Add lon, lat (mean of the corners), campaign ("Unknown" without a footprint) and campaign_year."""
+    """Add lon, lat (mean of the corners), campaign ("Unknown" without a footprint), campaign_year and timestamp.
+
+    The timestamp is that of the campaign year's first day, in seconds and UTC; campaigns that are not digits have none.
+    """
     places = footprints.groupBy("stem").agg(F.max_by(F.struct("lon", "lat", F.coalesce("campaign", F.lit("0")).alias("campaign")), "ord").alias("f"))
     joined = samples.join(places, "stem", "left")
     campaign = F.coalesce("f.campaign", F.lit("Unknown"))
-    return joined.withColumns({"lon": F.col("f.lon"), "lat": F.col("f.lat"), "campaign": campaign, "campaign_year": campaign_year(campaign)}).drop("f")
+    return joined.withColumns({"lon": F.col("f.lon"), "lat": F.col("f.lat"), "campaign": campaign, "campaign_year": campaign_year(campaign), "timestamp": _first_day(campaign)}).drop("f")
+
+
+def _first_day(campaign: Column) -> Column:
+    """Seconds from 1970 to January 1 of a year of one to four digits."""
+    year = F.when(campaign.rlike("^[0-9]{1,4}$") & ~campaign.rlike("^0+$"), campaign.cast("int"))
+    return (F.datediff(F.make_date(year, F.lit(1), F.lit(1)), F.lit("1970-01-01").cast("date")) * 86400.0).cast("double")
+
+
+def campaign_report(samples: DataFrame) -> DataFrame:
+    """Samples by campaign, in total and for each split, in the order of the report: all, the splits, then what is on the map alone."""
+    counts = samples.groupingSets([["split", "campaign"], ["campaign"]], "split", "campaign").agg(F.grouping("split").alias("all"), F.coalesce(F.col("split"), F.lit("total")).alias("cohort"), F.count("*").alias("n"))
+    place = F.when(F.col("all") == 1, 0).when(F.col("cohort").isin("ghost", "excluded"), 2).otherwise(1)
+    return counts.select(place.cast("int").alias("part"), "cohort", "campaign", "n").orderBy("part", "cohort", "campaign")
 
 
 def fg_bg(samples: DataFrame, boxes: str = "n_boxes") -> DataFrame:

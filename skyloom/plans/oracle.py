@@ -269,6 +269,29 @@ from (select year(o_orderdate) as y, max(year(o_orderdate)) over () as m from or
         "select coalesce(campaign, 'total') as layer, count(*) as n from w group by grouping sets ((campaign), ())",
     ),
     "map_group_counts": with_views(["footprints", "disk"], _SAMPLES, "select map_group, count(*) as n from samples where lon is not null group by 1"),
+    "campaign_report": with_views(
+        ["footprints", "disk"],
+        _SAMPLES | {
+            "split": """select case when o then 'excluded' when g = 'ghost' then 'ghost' else 'train' end as cohort, coalesce(cast(year as varchar), 'Unknown') as campaign
+from tg left join pl on pl.image_name = tg.stem""",
+        },
+        """select cast(case when cohort is null then 0 when cohort in ('ghost', 'excluded') then 2 else 1 end as int) as part, coalesce(cohort, 'total') as cohort, campaign, count(*) as n
+from split group by grouping sets ((cohort, campaign), (campaign))""",
+    ),
+    "sample_timestamps": with_views(
+        ["footprints", "disk"],
+        {},
+        """select campaign, epoch(make_date(cast(campaign as int), 1, 1))::double as timestamp, count(*) as n from disk join footprints on image_name = stem where has_image group by all""",
+    ),
+    "detail_window": with_views(
+        ["footprints"],
+        {
+            "p": "select x0 + fw/2 as x, y0 + fh/2 as y from footprints",
+            "w": "select min(x) + (max(x) - min(x))*0.28e0 as x0, min(y) - 5e0 as y0 from p",
+        },
+        """select round(x0, 6) as x_min, round(x0 + 30e0, 6) as x_max, round(y0, 6) as y_min, round(y0 + 200e0, 6) as y_max,
+       (select count(*) from p, w where x between x0 and x0 + 30e0 and y between y0 and y0 + 200e0) as n from w""",
+    ),
     "cohort_map": with_views(
         ["footprints", "disk"],
         _SAMPLES,

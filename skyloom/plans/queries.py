@@ -365,6 +365,24 @@ def map_group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _samples(spark, sf_dir).where("lon is not null").groupBy("map_group").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "map_group")
 
 
+def campaign_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples by campaign, in total and for each split, as the report lists them."""
+    return curate.campaign_report(_samples(spark, sf_dir))
+
+
+def sample_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples and the first second of their campaign's year."""
+    places = _prints(spark, sf_dir).select(F.col("image_name").alias("stem"), F.col("x0").alias("lon"), F.col("y0").alias("lat"), "campaign", F.col("o_orderkey").alias("ord"))
+    found = curate.with_places(view(spark, sf_dir, "disk").where("has_image").select("stem"), places)
+    return found.groupBy("campaign", "timestamp").agg(F.count("*").alias("n"))
+
+
+def detail_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window of the detail map over the footprints' centroids."""
+    found = analytics.zoom_window(_prints(spark, sf_dir).select(F.col("centroid_x").alias("x"), F.col("centroid_y").alias("y")), 30.0, 200.0)
+    return found.select(*(F.round(c, 6).alias(c) for c in ("x_min", "x_max", "y_min", "y_max")), "n")
+
+
 def cohort_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples with a place by map group and period: the newest year, before it, or no year."""
     samples = _samples(spark, sf_dir)
@@ -445,7 +463,7 @@ QUERIES = {
         testset_hull_candidates, testset_pure, testset_rings, allocation_audit, ghosts_and_orphans, sample_geo_enrich, newest_older_year, global_extent,
         selected_parents, edge_corners_wide, southmost_topk, northmost_topk, ray_plane_fallback, ray_mesh_nearest, web_mercator_points,
         utm_round_trip, shoelace_area_centroid, slanted_overlap, json_props_extract, footprint_area_hist, footprint_area_density,
-        mapped_by_campaign, map_group_counts, cohort_map, background_ratio, splits_layer, distillation_pool, distillation_pool_size,
+        mapped_by_campaign, map_group_counts, campaign_report, sample_timestamps, detail_window, cohort_map, background_ratio, splits_layer, distillation_pool, distillation_pool_size,
         flight_positions, testset_layers, testset_metrics, testset_on_disk, crop_counts,
     )
 }

@@ -145,3 +145,53 @@ def test_testset_on_disk(spark, tmp_path):
     assert "\ntest: images\n" in (out / "data.yaml").read_text() and "train" not in (out / "data.yaml").read_text()
     features = json.loads((out / "testset_unlabeled_combined_footprints.geojson").read_text())["features"]
     assert len(features) == 4 and all(abs(x - w) < 1e-3 and abs(y - s) < 1e-3 for f in features for x, y in f["geometry"]["coordinates"][0])
+
+
+def test_map_commands(spark, tmp_path):
+    """The commands of the map tables, through main(), over a small export folder."""
+    w, s = 15.0, 48.0
+    split = tmp_path / "sliced_split_dataset"
+    _collection(tmp_path / "sliced_dataset_edge_coordinates/image_footprints.geojson", *(_square(f"{n}_0_0.jpg", w, s + i * 1e-3, w + 1e-4, s + i * 1e-3 + 1e-4) for i, n in enumerate("TVRD")))
+    _collection(tmp_path / "sliced_unlabeled/edge_coordinates/image_footprints.geojson", _square("near", w, s, w + 1e-4, s + 1e-4), _square("safe", w, s + 5e-3, w + 1e-4, s + 6e-3))
+    for name, cohort in (("T", "test"), ("V", "val"), ("R", "train")):
+        (split / cohort / "images").mkdir(parents=True)
+        (split / cohort / f"images/{name}_0_0.jpg").write_text("x")
+    (split / "dropped_images.txt").write_text("D_0_0.jpg\n")
+    out = tmp_path / "maps"
+    jobs.main(["maps", "--export-dir", str(tmp_path), "--output-dir", str(out)])
+    read = lambda name: spark.read.parquet(str(out / name))
+    assert {(r.image_name[0], r.layer) for r in read("splits_layer").collect()} == {("T", "test"), ("V", "val"), ("R", "train"), ("D", "buffer")}
+    assert {(r.image_name, r.layer) for r in read("distillation").collect()} >= {("safe", "safe_unlabeled"), ("R_0_0.jpg", "labeled_train")}
+    assert read("composition").count() == 4 and read("extent").first().y_max > read("extent").first().y_min + 300
+    combined = tmp_path / "testset_unlabeled_combined"
+    _collection(combined / "testset_unlabeled_combined_footprints.geojson", _square("T_0_0.jpg", w, s, w + 1e-4, s + 1e-4), _square("safe", w - 1e-3, s + 5e-3, w - 9e-4, s + 6e-3))
+    (combined / "labels").mkdir()
+    (combined / "labels/T_0_0.txt").write_text("0 0.5 0.5 0.1 0.1\n\n1 0.5 0.5 0.1 0.1\n")
+    (combined / "labels/safe.txt").write_text("")
+    jobs.main(["testset-map", "--export-dir", str(tmp_path), "--output-dir", str(out)])
+    assert {(r.image_name, r.slice_type, r.n_boxes) for r in read("testset_points").collect()} == {("T_0_0.jpg", "labeled_test", 2), ("safe", "unlabeled_test", 0)}
+    assert (read("testset_metrics").first().fg, read("testset_metrics").first().boxes) == (1, 2)
+    zoom = read("testset_zoom").first()
+    assert (round(zoom.x_max - zoom.x_min, 6), round(zoom.y_max - zoom.y_min, 6), zoom.n) == (130, 75, 1)
+
+
+def test_campaign_choice(tmp_path):
+    two = {"2023": {"xml": "a.xml", "mesh": "a.obj"}, "2024": {"xml": None, "mesh": None}}
+    set_ = (config.Campaign("x", 0, "x.xml", "x.obj"),)
+    assert config.chosen_campaigns((), None, two) == (config.Campaign("2023", 0, "a.xml", "a.obj"),)
+    assert config.chosen_campaigns(set_, str(tmp_path / "absent.json"), two) == set_
+    (tmp_path / "c.json").write_text(json.dumps({"y": {"xml_path": "y.xml", "mesh_path": "y.obj"}}))
+    assert config.chosen_campaigns(set_, str(tmp_path / "c.json"), two)[0].name == "y"
+
+
+def test_inputs_by_the_top_folders(tmp_path):
+    import pytest
+
+    pytest.importorskip("yaml")
+    (tmp_path / "export/sliced_dataset").mkdir(parents=True)
+    (tmp_path / "own").mkdir()
+    (tmp_path / "c.yaml").write_text("base_export_dir: export\nraw_images_dir: photos\nslicing:\n  input_dir: missing\nstratification:\n  dataset_dir: own\n")
+    found = config.load(str(tmp_path / "c.yaml"))
+    assert found.slicing.input_dir == str(tmp_path / "export/sliced_dataset")  # the named folder is absent, this one is there
+    assert found.stratification.dataset_dir == str(tmp_path / "own")
+    assert found.testset.export_dir == str(tmp_path / "export") and found.testset.raw_images_dir == str(tmp_path / "photos")
