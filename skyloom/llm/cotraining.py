@@ -132,25 +132,25 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
     for _ in range(rounds):
         from_text, from_meta = pseudo(text, "__t"), pseudo(meta, "__m")
         text, meta = _fit(labelled.union(from_meta), "__t"), _fit(labelled.union(from_text), "__m")
-    checked = _combined(_p(_p(rows.where("check"), text, "__t", "pt"), meta, "__m", "pm")).withColumn("w", F.lit(1.0))
+    checked = _combined(_p(_p(rows.where("check"), text, "__t", "__pt"), meta, "__m", "__pm")).withColumn("w", F.lit(1.0))
     both = _fit(checked, "__b", regParam=1e-2) if checked.select("y").distinct().count() == 2 else None
     rows.unpersist()
     return Model(text, meta, both)
 
 
 def _combined(df: DataFrame) -> DataFrame:
-    return df.withColumn("__b", array_to_vector(F.array(_logit("pt"), _logit("pm"))))
+    return df.withColumn("__b", array_to_vector(F.array(_logit("__pt"), _logit("__pm"))))
 
 
 def score(df: DataFrame, model: Model, keep_at: float = KEEP) -> DataFrame:
-    """Add p_text, p_meta, quality_score and kept; other columns pass through (those of these names are replaced)."""
+    """Add p_text, p_meta, quality_score and kept; other columns pass through, those of these names are replaced."""
     small_batches(df.sparkSession)
     if model.text is None or model.meta is None:
         return df.withColumns({c: F.lit(1.0) for c in ("p_text", "p_meta", "quality_score")} | {"kept": F.lit(True)})
-    scored = _p(_p(_views(df), model.text, "__t", "pt"), model.meta, "__m", "pm")
+    scored = _p(_p(_views(df), model.text, "__t", "__pt"), model.meta, "__m", "__pm")
     if model.both is None:
-        scored = scored.withColumn("__q", F.col("pt"))
+        scored = scored.withColumn("__q", F.col("__pt"))
     else:
         scored = _p(_combined(scored), model.both, "__b", "__q").drop("__b")
-    named = scored.withColumns({"p_text": F.col("pt"), "p_meta": F.col("pm"), "quality_score": F.col("__q"), "kept": F.col("__q") >= keep_at})
-    return named.drop("__t", "__m", "__q", "pt", "pm")
+    named = scored.withColumns({"p_text": F.col("__pt"), "p_meta": F.col("__pm"), "quality_score": F.col("__q"), "kept": F.col("__q") >= keep_at})
+    return named.drop("__t", "__m", "__q", "__pt", "__pm")

@@ -11,11 +11,14 @@ marked article any text is a surge.
 
 Furniture weighs nothing and is never kept: elements that are menus, footers,
 sidebars and the like by their tag, and elements that say so in class, id or
-role. Such words are hints only: names like "has-sidebar" tell of the layout; an
-element that holds an article or main element is no furniture; one whose name
-says so only in part is none if it holds most of the page's text; and where hints
-leave no text at all, they are all ignored. An article or main element bounds the
-region if it holds a surge or a quarter of the page's text, else it is ignored.
+role, also written together ("commentlist"). Such words are hints only: names like
+"has-sidebar" and "comments-open" tell of the layout; an element that holds an
+article or main element is no furniture; one whose name says so only in part is
+none if it holds most of the page's text, unless it is one of reader comments
+without the page's title (h1); and where hints leave no text at all, they are all
+ignored. A form that holds the title or most of the text is one of the layout. An
+article or main element bounds the region if it holds a surge or a quarter of the
+page's text, else it is ignored.
 
 Defined results: null or empty html gives an empty text. Character references
 are decoded, white space inside a block becomes one space, blocks are joined in
@@ -40,7 +43,7 @@ from skyloom.llm.common import small_batches
 #: Lines in a window, and the text a window needs for a surge.
 WINDOW = 3
 SURGE = 90
-#: Shares of a page's text: of marked articles that bound the region, of a container that its name makes furniture in part.
+#: Shares of a page's text: of marked articles that bound the region, of a container that its name makes furniture in part, or of a form.
 MARKED_SHARE, PARTLY_SHARE = 0.25, 0.5
 
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
@@ -82,17 +85,20 @@ _HINTS = frozenset(
 #: Words beside them that change nothing, and first words that make the name one of the layout.
 _FILLERS = frozenset("area bar block bottom box buttons container content first global header inner item items last left link links list main module panel primary right secondary section site text thread top wrap wrapper".split())
 _LAYOUT = frozenset("has with no not without is hide show enable disable".split())
+#: Words of names for what readers wrote, and last words that make such a name one of the layout.
+_COMMENTS = frozenset("comment comments disqus replies reply".split())
+_STATES = frozenset("open opened closed on off enabled disabled allowed".split())
 
 
 @dataclass(slots=True)
 class _Hint:
-    """An element that is furniture by its name; whether it is so for sure."""
+    """An element that is furniture by its name; what its name says."""
 
     parent: int
-    sure: bool
-    form: bool
+    kind: str  # "form", "comments", "sure" or "partly"
     weight: int = 0
     holds: bool = False
+    titled: bool = False
 
 
 @dataclass(slots=True)
@@ -105,21 +111,34 @@ class _Line:
     link: int = 0
 
 
-def _hint_of(attributes: str) -> bool | None:
-    """None if no attribute marks furniture, else whether it is so for sure."""
+def _split(word: str) -> tuple[str, ...]:
+    """A word, or the two that it is made of if one of them is a hint: "commentlist"."""
+    if word not in _HINTS and word not in _FILLERS:
+        for i in range(2, len(word) - 1):
+            parts = word[:i], word[i:]
+            if all(p in _HINTS or p in _FILLERS for p in parts) and not _HINTS.isdisjoint(parts):
+                return parts
+    return (word,)
+
+
+def _hint_of(attributes: str) -> str | None:
+    """The kind of furniture that the attributes name, if any."""
     found = None
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" and value.lower() != "until-found" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return "sure"
         if name in ("class", "id", "role"):
             for token in value.split():
-                words = [w.lower() for w in _PARTS.findall(token)]
-                if not words or words[0] in _LAYOUT or _HINTS.isdisjoint(words):
+                words = [part for w in _PARTS.findall(token) for part in _split(w.lower())]
+                if not words or words[0] in _LAYOUT or words[-1] in _STATES or _HINTS.isdisjoint(words):
                     continue
-                if all(w in _HINTS or w in _FILLERS for w in words):
-                    return True
-                found = False
+                if not _COMMENTS.isdisjoint(words):
+                    found = "comments"
+                elif all(w in _HINTS or w in _FILLERS for w in words):
+                    return "sure"
+                else:
+                    found = found or "partly"
     return found
 
 
@@ -177,14 +196,19 @@ class _Page:
             while at >= 0 and not self.hints[at].holds:
                 self.hints[at].holds = True
                 at = self.hints[at].parent
+        if tag == "h1":
+            at = self.hint
+            while at >= 0 and not self.hints[at].titled:
+                self.hints[at].titled = True
+                at = self.hints[at].parent
         if tag in _VOID:
             return
         skip = tag in _FURNITURE and not (self.containers and tag == "header")
         hint = -1
         if not skip and tag not in ("html", "body") and tag not in _CONTAINERS:
-            sure = True if tag == "form" else _hint_of(attributes) if attributes else None
-            if sure is not None:
-                self.hints.append(_Hint(self.hint, sure, tag == "form"))
+            kind = "form" if tag == "form" else _hint_of(attributes) if attributes else None
+            if kind is not None:
+                self.hints.append(_Hint(self.hint, kind))
                 self.hint = hint = len(self.hints) - 1
         if tag in _BLOCKS or skip or hint >= 0:
             self.stack.append((tag, skip, hint))
@@ -259,7 +283,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     def furniture(all_hints: bool) -> list[bool]:
         off: list[bool] = []
         for hint in hints:
-            mine = not hint.holds and (hint.form or all_hints and (hint.sure or hint.weight <= PARTLY_SHARE * total))
+            most = hint.weight > PARTLY_SHARE * total
+            if hint.kind == "form":
+                mine = not (hint.titled or most)
+            else:
+                mine = all_hints and (hint.kind == "sure" or not (hint.titled if hint.kind == "comments" else most))
+            mine = mine and not hint.holds
             off.append(mine or hint.parent >= 0 and off[hint.parent])
         return [line.skipped or line.hint >= 0 and off[line.hint] for line in read.lines]
 

@@ -14,7 +14,8 @@ symbols among its visible characters are compared, with those of prose.
 
 Defined results: a null or empty text has no words and fails the base rules; an
 empty table has no references; repeated rows count each. Words that are in equally
-many documents are taken in their byte order. Only DataFrame functions are used.
+many documents are taken in their byte order. Columns of the table that are named
+like a result are replaced by it. Very long texts are counted whole. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ WINDOW = 8
 COMMON, MIN_DOCS = 20, 20
 #: Languages with references at most: their lists are broadcast.
 MAX_LANGUAGES = 1_000
+#: Columns of a verdict.
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "js_chars", "js_common", "base_failed", "kept")
 
 # Character classes, as Java patterns; what is left over is a class of its own.
 _CLASSES = {"lower": r"[^\p{Ll}]+", "upper": r"[^\p{Lu}]+", "digit": r"[^\p{Nd}]+", "stop": r"[^.,;:!?'\"()-]+", "symbol": r"[^#*$%&|<>@=/\\{}\[\]_^~+]+"}
@@ -132,13 +135,13 @@ def _distance(counts: Column, total: Column, reference: Column) -> Column:
 
 
 def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None) -> DataFrame:
-    """keep (all columns if None) with the counts, base_failed, both distances (null where not compared) and kept.
+    """keep (all columns if None, but those named like RESULTS) with the counts, base_failed, both distances (null where not compared) and kept.
 
     The counts of a document are written once to the shared folder (they are a
     few hundred bytes a row, besides what is kept) and read for the references and
     for the verdicts; the references are one row for each language.
     """
-    keep = df.columns if keep is None else keep
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in RESULTS]
     table = df.withColumn("__lang", df[lang_col])
     lists = materialize(common_words(df, text_col, lang_col))
     counts = materialize(measure(table, text_col, [*keep, "__lang"], lists))
@@ -169,6 +172,4 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: l
     far_chars = (F.col("n_words") >= MIN_WORDS_CHARS) & (F.col("js_chars") > slack(MAX_CHARS, SHORT_CHARS))
     far_common = (F.col("n_words") >= MIN_WORDS_COMMON) & (F.col("js_common") > slack(MAX_COMMON, SHORT_COMMON))
     far = F.coalesce(far_chars, F.lit(False)) | F.coalesce(far_common, F.lit(False))
-    return judged.withColumn("base_failed", base_failed).select(
-        *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "js_chars", "js_common", "base_failed", (~F.col("base_failed") & ~far).alias("kept")
-    )
+    return judged.withColumn("base_failed", base_failed).select(*keep, *RESULTS[:-1], (~F.col("base_failed") & ~far).alias("kept"))

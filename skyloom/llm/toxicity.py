@@ -117,10 +117,10 @@ def features(text: str, lexicon: tuple[str, ...]) -> list[float]:
         100 * hits / n,
         float(np.log1p(hits)),
         float(len({flat[at + 1 : flat.find(" ", at + 1)] for at in starts})),
-        100 * sum(flat.count(f" {w} ") for w in INSULTS) / n,
+        100 * sum(w in insults for w in words) / n,
         float(leet),
         100 * near / n,
-        100 * sum(flat.count(f" {w} ") for w in SECOND_PERSON) / n,
+        100 * sum(w in people for w in words) / n,
         sum(map(str.isupper, text)) / size,
         text.count("!") / size,
         text.count("?") / size,

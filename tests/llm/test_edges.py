@@ -46,7 +46,6 @@ def _tokenizer():
 
 
 def _operators(labels):
-    no_text = [c for c in SCHEMA.replace(",", "").split()[::2] if c not in ("text",)]
     return {
         "cotraining": lambda d: cotraining.score(d, cotraining.fit(d, labels)),
         "bpe": lambda d: bpe.decode(bpe.encode(d, *_tokenizer()), *_tokenizer()),
@@ -58,7 +57,7 @@ def _operators(labels):
         "join": lambda d: ngram_join.classify(d),
         "mixing": lambda d: mixing.apply(d, mixing.fit(d)),
         "toxicity": lambda d: toxicity.score(d, toxicity.fit(d, labels)),
-        "rules": lambda d: quality_rules.judge(d, keep=no_text[:3]),
+        "rules": lambda d: quality_rules.judge(d),
     }
 
 
@@ -78,6 +77,18 @@ def test_no_labels(docs, labels):
     assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).collect()} == {0.0}
 
 
+def test_clashing_names_of_scores_and_rules(docs, labels):
+    """Columns named like a result are replaced by it, others named like an intermediate one stay."""
+    odd = docs.select("doc_id", "text", "lang", "source", "n_chars", *(F.lit("mine").alias(c) for c in ("N_words", "kept", "js_chars", "pt", "pm", "quality_score")))
+    judged = quality_rules.judge(odd)
+    assert judged.columns == ["doc_id", "text", "lang", "source", "n_chars", "pt", "pm", "quality_score", *quality_rules.RESULTS]
+    plain = quality_rules.judge(docs.select("doc_id", "text", "lang"))
+    assert sorted(map(str, judged.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    scored = cotraining.score(odd, cotraining.fit(odd, labels))
+    assert {(r.pt, r.pm) for r in scored.select("pt", "pm").collect()} == {("mine", "mine")}
+    assert dict(scored.dtypes)["quality_score"] == "double" and dict(scored.dtypes)["kept"] == "boolean"
+
+
 def test_join_of_edges(docs):
     found = {(r.id, r.class_id, r.n_links, r.keeper) for r in ngram_join.classify(docs).collect()}
     assert (1, 1, 2, True) in found and (2, 1, 2, False) in found  # the repeated row and its copy
