@@ -61,6 +61,7 @@ def raycast(spark: SparkSession, c: config.Raycasting, cell: float = 16.0) -> Da
     for campaign in c.campaigns:
         cameras = survey.cameras(spark, campaign.xml_path).crossJoin(F.broadcast(survey.component(spark, campaign.xml_path)))
         vertices, triangles = survey.mesh(spark, campaign.mesh_path)
+        triangles = materialize(triangles)
         rays = georeference.rays(georeference.corners(tiles).join(cameras, "parent_key"), c.utm_epsg)
         rays = materialize(rays.select("tile", "corner_ord", "ox", "oy", "oz", "dx", "dy", "dz"))
         found = georeference.mesh_hits(rays, triangles, ["tile", "corner_ord"], cell).select("tile", "corner_ord", F.struct("x", "y", "z").alias("hit"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.projection import with_lon_lat, with_utm_of_ecef
+from skyloom.session import materialize
 
 #: Corners in order: top left, top right, bottom right, bottom left.
 CORNERS = ("tl", "tr", "br", "bl")
@@ -72,17 +75,26 @@ def plane_hit(z: Column) -> Column:
     return F.when(t >= 0, F.struct((F.col("ox") + t * F.col("dx")).alias("x"), (F.col("oy") + t * F.col("dy")).alias("y"), (F.col("oz") + t * F.col("dz")).alias("z")))
 
 
-def mesh_hits(ray_rows: DataFrame, triangles: DataFrame, key: list[str], cell: float) -> DataFrame:
+def mesh_hits(ray_rows: DataFrame, triangles: DataFrame, key: list[str], cell: float, first: int = 3) -> DataFrame:
     """For each ray the nearest triangle in front of it, as x, y, z, t; rays without one are left out.
 
-    triangles(face_id, a, b, c with x, y, z). A ray is dealt to the cells that it
-    crosses inside the bounds of the mesh, level and upward rays too, a triangle to
-    those its bounds touch; the join is on cells, and the least distance wins (of
-    faces at that distance, any). Cells follow the ray's plan in steps of half a cell.
+    triangles(face_id, a, b, c with x, y, z). Space is cut into cubes. A ray visits
+    the cubes that it crosses inside the bounds of the mesh, level and upward rays
+    too, from front to back in rounds: the first `first` ones, then four times as
+    many each round. In a round, rays and triangles are joined on the cube, and the
+    least distance wins (of faces at that distance, any). A ray whose hit lies
+    before its next cube leaves, so what is behind the terrain makes no pairs. Each
+    round writes its rays; there are log4 of the longest way's cubes. Both tables are
+    read in each round: hand in written ones.
     """
-    xs, ys, zs = ([F.col(f"{v}.{axis}") for v in "abc"] for axis in "xyz")
-    extent = triangles.agg(*(e for axis, vs in zip("xyz", (xs, ys, zs), strict=True) for e in (F.min(F.least(*vs)).alias(f"{axis}0"), F.max(F.greatest(*vs)).alias(f"{axis}1"))))
-    dealt = triangles.withColumn("gx", F.explode(F.sequence(F.floor(F.least(*xs) / cell), F.floor(F.greatest(*xs) / cell)))).withColumn("gy", F.explode(F.sequence(F.floor(F.least(*ys) / cell), F.floor(F.greatest(*ys) / cell))))
+    spark = ray_rows.sparkSession
+    corner = {axis: [F.col(f"{v}.{axis}") for v in "abc"] for axis in "xyz"}
+    extent = triangles.agg(*(e for axis, vs in corner.items() for e in (F.min(F.least(*vs)).alias(f"{axis}0"), F.max(F.greatest(*vs)).alias(f"{axis}1"))))
+    dealt = triangles
+    for axis, vs in corner.items():
+        low = F.floor(F.least(*vs) / cell)
+        # up to the cube that the upper side is in or, if it is a cube's side, ends at: rays on a side visit both cubes
+        dealt = dealt.withColumn(f"g{axis}", F.explode(F.sequence(low, F.greatest(low, F.ceil(F.greatest(*vs) / cell) - 1))))
     enters, leaves, between = [F.lit(0.0)], [], F.lit(True)
     for axis in "xyz":
         o, d = F.col(f"o{axis}"), F.col(f"d{axis}")
@@ -92,27 +104,58 @@ def mesh_hits(ray_rows: DataFrame, triangles: DataFrame, key: list[str], cell: f
         enters.append(F.least((low - o) / along, (high - o) / along))
         leaves.append(F.greatest((low - o) / along, (high - o) / along))
         between = between & ((d != 0) | o.between(low, high))
-    bounded = ray_rows.crossJoin(F.broadcast(extent)).withColumns({"t0": F.greatest(*enters), "t1": F.least(*leaves)}).where(between & (F.col("t0") <= F.col("t1")))
-    reach = F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")) * (F.col("t1") - F.col("t0"))
-    # steps of a cell's length at most, each dealt to the cells of its bounds
-    stepped = bounded.withColumn("n", F.greatest(F.lit(1), F.ceil(reach / cell).cast("int"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    size = (F.col("t1") - F.col("t0")) / F.col("n")
-    ends = stepped.withColumns({"ta": F.col("t0") + size * F.col("i"), "tb": F.col("t0") + size * (F.col("i") + 1)})
-    for axis in "xy":
-        a, b = (F.col(f"o{axis}") + F.col(t) * F.col(f"d{axis}") for t in ("ta", "tb"))
-        # a little wider, for rounding at a cell's edge
-        ends = ends.withColumn(f"g{axis}", F.explode(F.sequence(F.floor((F.least(a, b) - EPSILON) / cell), F.floor((F.greatest(a, b) + EPSILON) / cell))))
-    # a cell's rays and triangles are small next to their pairs: a fixed number of partitions keeps all cores at work
-    parts = int(ray_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = ends.select(*key, "ox", "oy", "oz", "dx", "dy", "dz", "gx", "gy").repartition(parts, "gx", "gy")
-    pairs = _with_distance(cells.join(dealt, ["gx", "gy"]))
-    # plain minima, so that the aggregation hashes rather than sorts; the ray is the same in all its pairs. Misses
-    # (null t) go after it: a filter before would be pushed below the steps of the distance and repeat them all
     ray = [f"{v}{c}" for v in "od" for c in "xyz"]
-    nearest = pairs.groupBy(*key).agg(F.min("t").alias("t"), F.min_by("face_id", "t").alias("face_id"), *(F.min(c).alias(c) for c in ray)).where("t is not null")
+    bounded = ray_rows.crossJoin(F.broadcast(extent)).withColumns({"t0": F.greatest(*enters), "t1": F.least(*leaves)}).where(between & (F.col("t0") <= F.col("t1")))
+    none = {"t": F.lit(None).cast("double"), "face_id": F.lit(None).cast(triangles.schema["face_id"].dataType)}
+    going = bounded.select(*key, *ray, "t0", "t1").withColumns(none)
+    # a cube's rays and triangles are small next to their pairs: a fixed number of partitions keeps all cores at work
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    start, size, ended = 0, first, []
+    while True:
+        cubes = _cubes(going, start, size, cell).repartition(parts, "gx", "gy", "gz")
+        pairs = _with_distance(cubes.withColumnRenamed("t", "__t").withColumnRenamed("face_id", "__face").join(dealt, ["gx", "gy", "gz"], "left"))
+        # plain minima, so that the aggregation hashes rather than sorts; the ray is the same in all its pairs. Misses (null t) stay
+        met = pairs.groupBy(*key).agg(F.min("t").alias("t"), F.min_by("face_id", F.col("t")).alias("face_id"), *(F.min(c).alias(c) for c in (*ray, "t0", "t1", "__next", "__t", "__face")))
+        nearer = F.col("__t").isNull() | (F.col("t") < F.col("__t"))
+        best = met.withColumns({"t": F.when(nearer, F.col("t")).otherwise(F.col("__t")), "face_id": F.when(nearer & F.col("t").isNotNull(), F.col("face_id")).otherwise(F.col("__face"))})
+        state = materialize(best.select(*key, *ray, "t0", "t1", "t", "face_id", "__next"))
+        on = F.col("__next").isNotNull() & (F.col("t").isNull() | (F.col("t") > F.col("__next")))
+        ended.append(state.where(~on & F.col("t").isNotNull()))
+        going = state.where(on).drop("__next")
+        if not going.limit(1).count():
+            break
+        start, size = start + size, 4 * size
+    nearest = reduce(DataFrame.unionByName, ended)
     return nearest.select(*key, *((F.col(f"o{c}") + F.col("t") * F.col(f"d{c}")).alias(c) for c in "xyz"), "t", "face_id")
 
 
+def _reached(o: Column, d: Column, cell: float):
+    """Where a ray's way crosses the k-th side of the cubes on an axis."""
+    return lambda k: F.greatest(F.col("t0"), F.least(F.col("t1"), (k * F.lit(cell) - o) / F.when(d != 0, d)))
+
+
+def _cubes(rays_left: DataFrame, start: int, size: int, cell: float) -> DataFrame:
+    """The cubes that each ray visits from the start-th of its way on, at most size; __next is where the one behind them begins.
+
+    A ray's way from t0 to t1 is parted where it crosses a side of a cube. The cube
+    of a part is that of its middle; a ray along a side visits the cubes on both.
+    """
+    crossed = [F.array("t0", "t1")]
+    for axis in "xyz":
+        o, d = F.col(f"o{axis}"), F.col(f"d{axis}")
+        a, b = (o + F.col(t) * d for t in ("t0", "t1"))
+        low, high = F.floor(F.least(a, b) / cell) + 1, F.ceil(F.greatest(a, b) / cell) - 1
+        crossed.append(F.when((d != 0) & (low <= high), F.transform(F.sequence(low, high), _reached(o, d, cell))).otherwise(F.array().cast("array<double>")))
+    cut = rays_left.withColumn("__cut", F.array_sort(F.concat(*crossed)))
+    parts = cut.withColumns({"__next": F.when(F.size("__cut") > start + size + 1, F.get("__cut", F.lit(start + size))), "__cut": F.slice("__cut", start + 1, size + 1)})
+    middles = F.transform(F.sequence(F.lit(0), F.size("__cut") - 2), lambda i: (F.get("__cut", i) + F.get("__cut", i + 1)) / 2)
+    visits = parts.withColumn("__m", F.explode(middles)).drop("__cut")
+    for axis in "xyz":
+        at = F.col(f"o{axis}") + F.col("__m") * F.col(f"d{axis}")
+        visits = visits.withColumn(f"g{axis}", F.explode(F.sequence(F.floor((at - EPSILON) / cell), F.floor((at + EPSILON) / cell))))
+    return visits.drop("__m")
+
+
 def _with_distance(pairs: DataFrame) -> DataFrame:
     """Add t, the distance along a ray to a triangle, null without a hit (Moeller and Trumbore 1997)."""
 

@@ -252,7 +252,10 @@ def test_mesh_hits_are_the_nearest(spark):
     direction = rng.normal(size=(60, 3)) * [1, 1, 0.5] - [0, 0, 1.5]
     direction /= np.linalg.norm(direction, axis=1)[:, None]
     rays = [(i, *map(float, rng.uniform(0, 40, 2)), 60.0, *map(float, d)) for i, d in enumerate(direction)]
-    found = {r.k: r for r in georeference.mesh_hits(spark.createDataFrame(rays, "k int, ox double, oy double, oz double, dx double, dy double, dz double"), triangles, ["k"], 6.0).collect()}
+    frame = spark.createDataFrame(rays, "k int, ox double, oy double, oz double, dx double, dy double, dz double")
+    found = {r.k: r for r in georeference.mesh_hits(frame, triangles, ["k"], 6.0).collect()}
+    finer = {r.k: r for r in georeference.mesh_hits(frame, triangles, ["k"], 1.3, 1).collect()}
+    assert {k: (r.face_id, r.t) for k, r in finer.items()} == {k: (r.face_id, r.t) for k, r in found.items()}
     corners = np.array([f[1:] for f in faces])
     for k, *rest in rays:
         o, d = np.array(rest[:3]), np.array(rest[3:])
@@ -268,6 +271,34 @@ def test_mesh_hits_are_the_nearest(spark):
             assert found[k].t == pytest.approx(hits.min())
 
 
+def test_rays_front_to_back(spark, monkeypatch):
+    """Rays along the sides of cubes, rays of many rounds, and floors that the one on top hides: they make no pairs."""
+    point = "struct<x:double,y:double,z:double>"
+    floors = [(100 * z + 10 * x + y, (4.0 * x, 4.0 * y, 4.0 * z), (4.0 * x + 8, 4.0 * y, 4.0 * z), (4.0 * x, 4.0 * y + 8, 4.0 * z)) for x in range(8) for y in range(8) for z in range(10)]
+    triangles = spark.createDataFrame([*floors, (-1, (32.0, 0.0, 0.0), (32.0, 32.0, 0.0), (32.0, 0.0, 90.0))], f"face_id long, a {point}, b {point}, c {point}")
+    rays = [(i, 1.0 + i % 7 * 4, 1.0 + i // 7 * 4, 80.0, 0.0, 0.0, -1.0) for i in range(49)]
+    rays += [
+        (100, 8.0, 8.0, 80.0, 0.0, 0.0, -1.0),  # down an edge of the cubes
+        (101, -60.0, 1.0, 38.0, 1.0, 0.0, 0.0),  # level above the floors, to the wall at the far end
+        (102, -60.0, 4.0, 36.0 + 1e-9, 1.0, 0.0, 0.0),  # along a side of the cubes
+        (103, 10.0, 10.0, 100.0, 0.0, 0.0, 1.0),  # away
+    ]
+    seen = []
+    plain = georeference._with_distance
+    monkeypatch.setattr(georeference, "_with_distance", lambda pairs: (seen.append(pairs.where("face_id is not null").count()), plain(pairs))[1])
+    frame = spark.createDataFrame(rays, "k int, ox double, oy double, oz double, dx double, dy double, dz double")
+    found = {r.k: (r.face_id, round(r.t, 6), round(r.z, 6)) for r in georeference.mesh_hits(frame, triangles, ["k"], 4.0).collect()}
+    assert all(found[i][1:] == (44.0, 36.0) for i in range(49)) and found[100][1:] == (44.0, 36.0)
+    assert found[101] == (-1, 92.0, 38.0) and found[102][:2] == (-1, 92.0) and 103 not in found
+    assert len(seen) == 2 or len(seen) == 3
+    in_rounds = sum(seen)
+    seen.clear()
+    whole = {r.k: (r.face_id, round(r.t, 6), round(r.z, 6)) for r in georeference.mesh_hits(frame, triangles, ["k"], 4.0, 1000).collect()}
+    assert {k: v[1:] for k, v in whole.items()} == {k: v[1:] for k, v in found.items()}
+    # the second round of 12 cubes reaches the upper half of the floors, and nobody goes on to the lower one
+    assert len(seen) == 1 and in_rounds < 0.6 * seen[0]
+
+
 def test_histogram_closes_its_last_bin(spark):
     rows = spark.createDataFrame([(float(v),) for v in range(11)], "v double")
     assert {r.bin: r.n for r in analytics.histogram(rows, F.col("v"), 5).collect()} == {1: 2, 2: 2, 3: 2, 4: 2, 5: 3}
