@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom import config
@@ -20,11 +20,11 @@ def slice_photos(spark: SparkSession, c: config.Slicing) -> DataFrame:
     listed = files.photos(spark, c.input_dir).select(F.col("stem").alias("parent_image"), "split", "path")
     base = f"{c.input_dir}/images" if files.exists(spark, f"{c.input_dir}/images") else c.input_dir
     splits = [s for s in files.SPLITS if files.exists(spark, f"{base}/{s}")] or [""]
-    pixels = None
+    stated = None
     for split in splits:
-        found = photos.read(spark, f"{base}/{split}" if split else base).withColumn("split", F.lit(split))
-        pixels = found if pixels is None else pixels.unionByName(found)
-    sizes = materialize(pixels.join(listed.select("parent_image", "split").distinct(), ["parent_image", "split"], "left_semi").select("parent_image", "split", "w", "h"))
+        found = photos.sizes(spark, f"{base}/{split}" if split else base).withColumn("split", F.lit(split))
+        stated = found if stated is None else stated.unionByName(found)
+    sizes = materialize(stated.join(listed.select("parent_image", "split").distinct(), ["parent_image", "split"], "left_semi").select("parent_image", "split", "w", "h"))
     labels = None
     base_labels = f"{c.input_dir}/labels" if files.exists(spark, f"{c.input_dir}/labels") else c.input_dir
     for split in splits:
@@ -36,20 +36,27 @@ def slice_photos(spark: SparkSession, c: config.Slicing) -> DataFrame:
     cut = materialize(slicing.tile_labels(keyed, boxes, c.slice_size, c.overlap_ratio, c.min_area_ratio, keep=("line_no",)))
     tiles = slicing.with_background(slicing.tile_grid(keyed, c.slice_size, c.overlap_ratio), cut, c.background_probabilities)
     contents = tiles.select("tile").join(yolo.label_text(cut), "tile", "left").select("tile", F.coalesce("content", F.lit("")).alias("content"))
-    kept = materialize(tiles.join(contents, "tile").withColumns({n: _plain(n) for n in ("tile", "parent_image")}))
-    cut.withColumn("tile", _plain("tile")).write.mode("overwrite").parquet(f"{c.output_dir}/tile_labels")
+    wanted = materialize(tiles.join(contents, "tile"))
+    # each photo is decoded once, here; tiles of those that turn out to be broken behind their header go
+    done = None
+    for split in splits:
+        crops = wanted.where(F.col("split_source") == split).groupBy(_plain("parent_image").alias("parent_image")).agg(F.collect_list(F.struct("x_start", "y_start", "x_end", "y_end", _plain("tile").alias("tile"))).alias("crops"))
+        images = f"{c.output_dir}/tile_images/split={split or 'all'}"
+        photos.cut(photos.read(spark, f"{base}/{split}" if split else base), crops).write.mode("overwrite").parquet(images)
+        found = spark.read.parquet(images)
+        sinks.image_files(spark, found, f"{c.output_dir}/images/{split}" if split else f"{c.output_dir}/images", ".png")
+        names = found.select(F.concat(F.lit(f"{split}\0"), "tile").alias("tile"))
+        done = names if done is None else done.unionByName(names)
+    kept = materialize(wanted.join(done, "tile", "left_semi").withColumns({n: _plain(n) for n in ("tile", "parent_image")}))
+    cut.join(done, "tile", "left_semi").withColumn("tile", _plain("tile")).write.mode("overwrite").parquet(f"{c.output_dir}/tile_labels")
     kept.drop("content").write.mode("overwrite").parquet(f"{c.output_dir}/tiles")
     for split in splits:
         sinks.label_files(spark, kept.where(F.col("split_source") == split), f"{c.output_dir}/labels/{split}" if split else f"{c.output_dir}/labels")
-        crops = kept.where(F.col("split_source") == split).groupBy("parent_image").agg(F.collect_list(F.struct("x_start", "y_start", "x_end", "y_end", "tile")).alias("crops"))
-        images = f"{c.output_dir}/tile_images/split={split or 'all'}"
-        photos.cut(pixels.where(F.col("split") == split), crops).write.mode("overwrite").parquet(images)
-        sinks.image_files(spark, spark.read.parquet(images), f"{c.output_dir}/images/{split}" if split else f"{c.output_dir}/images", ".png")
     sinks.slice_metadata(kept, f"{c.output_dir}/slice_metadata.json")
     return kept.drop("content")
 
 
-def _plain(name: str):
+def _plain(name: str) -> Column:
     """A name without the split that makes it unique."""
     return F.regexp_replace(name, "^[^\\x00]*\\x00", "")
 

@@ -21,6 +21,7 @@ def test_slice_then_box_statistics(spark, tmp_path):
     (root / "images/val/A é.png").write_bytes(png(pixels[:64, :64]))
     (root / "images/val/small.png").write_bytes(png(pixels[:10, :10]))
     (root / "images/val/bad.png").write_bytes(b"no image")
+    (root / "images/val/broken.png").write_bytes(png(pixels[:64, :64])[:60])  # its header states a size, its pixels are lost
     (root / "labels/train/A é.txt").write_text("0 0.5 0.5 0.2 0.2\n1 0.1 0.1 0.1 0.1")
     out = tmp_path / "out"
     tiles = jobs.slice_photos(spark, config.Slicing(str(root), str(out), 64, 0.2, 0.2, ("a",), {"train": 1.0, "val": 1.0, "test": 1.0}))
@@ -29,6 +30,7 @@ def test_slice_then_box_statistics(spark, tmp_path):
     assert {t for t, s, _ in found if s == "train"} == {"A é_0_0", "A é_32_0", "A é_0_16", "A é_32_16"}
     assert (out / "labels/train/A é_32_16.txt").read_text().startswith("0 0.250000")
     assert "A é_0_0" in {p.stem for p in (out / "labels/val").glob("*.txt")}
+    assert not any("broken" in t for t, _, _ in found) and not list(out.glob("**/broken*"))
     assert set(json.loads((out / "slice_metadata.json").read_text())) == {t for t, _, _ in found}
     assert spark.read.parquet(str(out / "tile_images")).count() >= 4
     assert {p.stem for p in (out / "images/train").glob("*.png")} == {p.stem for p in (out / "labels/train").glob("*.txt")}

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from skyloom import config
-from skyloom.sources import files, sinks, survey, yolo
+from skyloom.sources import files, photos, sinks, survey, yolo
 
 XML = """<?xml version="1.0"?><document><chunk><sensors>
 <sensor id="0"><resolution width="4000" height="3000"/><calibration><f>3000</f><cx>1.5</cx><cy>-2</cy></calibration><calibration><f>1</f></calibration></sensor>
@@ -179,3 +180,32 @@ def test_copy(spark, tmp_path):
     rows = spark.createDataFrame([(str(tmp_path / "a"), str(tmp_path / "d/b")), (str(tmp_path / "no"), str(tmp_path / "d/c"))], "source string, target string")
     assert {r.copied for r in sinks.copy_files(rows).where(F.col("target").endswith("b")).collect()} == {True}
     assert (tmp_path / "d/b").read_text() == "x"
+
+
+def test_sizes_from_headers(spark, tmp_path):
+    """Sizes without decoding equal those of decoded photos, headers longer than what is read first included."""
+    jvm = spark.sparkContext._jvm
+    folder = tmp_path / "photos"
+    folder.mkdir()
+    for i, kind in enumerate(("png", "jpg", "tiff", "gif", "bmp")):
+        image = jvm.java.awt.image.BufferedImage(70 + i, 40 + 3 * i, jvm.java.awt.image.BufferedImage.TYPE_INT_RGB)
+        assert jvm.javax.imageio.ImageIO.write(image, kind, jvm.java.io.File(str(folder / f"a b+{i}.{kind}")))
+    jpeg = (folder / "a b+1.jpg").read_bytes()
+    remark = b"\xff\xfe\xff\xff" + bytes(65533)
+    (folder / "long.jpg").write_bytes(jpeg[:2] + 3 * remark + b"\xff\xff\xff\xfe\x00\x02" + jpeg[2:])
+    (folder / "empty.jpg").write_bytes(b"")
+    (folder / "cut.jpg").write_bytes(jpeg[:12])
+    (folder / "note.txt").write_text("no photo")
+    stated = {(r.parent_image, r.w, r.h) for r in photos.sizes(spark, str(folder)).collect()}
+    assert stated == {(r.parent_image, r.w, r.h) for r in photos.read(spark, str(folder)).collect()}
+    assert len(stated) == 6 and ("long", 71, 43) in stated
+    assert photos.header_size(b"II*\0" + bytes(4)) is None and photos.header_size(b"\x89PNG\r\n\x1a\n") is None
+
+
+def test_size_of_the_first_readable(spark, tmp_path):
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "x.png").write_bytes(photos.png(np.zeros((3, 5, 3), np.uint8)))
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "x.png").write_bytes(b"broken")
+    assert photos.size_of(spark, [str(tmp_path / p) for p in ("a", "c", "b")]) == (5, 3)
+    assert photos.size_of(spark, [str(tmp_path / "a"), str(tmp_path / "c")]) == (1024, 1024)
