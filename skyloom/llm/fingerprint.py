@@ -14,6 +14,7 @@ digests and likeness 1.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import small_batches
+from skyloom.session import materialize
 
 
 BUCKETS = 128
@@ -28,6 +30,10 @@ BUCKETS = 128
 ROWS_A_BUCKET = 2_000
 #: Buckets at most, so that their bounds stay small.
 MAX_BUCKETS = 20_000
+#: First characters of a text by which the rows of a heavy id are dealt; they bound no text.
+HEAD = 256
+#: Copies of one row that a task makes at a time.
+COPIES = 1_000
 #: Offsets in a window of five bytes, and a salt for each.
 _TRIPLETS = ((0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 1, 4), (0, 2, 4), (0, 3, 4))
 _STEP_COST = np.array([0, 1, 2, 6])
@@ -100,6 +106,10 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     its sorted buckets with two rows in memory: one shuffle of the texts,
     nothing whole in any task.
 
+    An id that would fill more than one bucket (heavy: null ids, say) has its equal
+    rows counted first, and its different texts dealt by bounds on their first
+    HEAD characters; the copies are made afterwards, COPIES a task at a time.
+
     Returns id, n_chars, fingerprint, edited_text, edited_fingerprint,
     near_edited, near_next.
     """
@@ -112,41 +122,72 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     n = ids.count()
     buckets = max(1, min(MAX_BUCKETS, n // rows_a_bucket))
     cuts: list[int] = []
+    heavy: list[int] = []
     if buckets > 1:
         shares = [i / buckets for i in range(1, buckets)]
         cuts = sorted(set(ids.agg(F.percentile_approx("key", shares, 20 * buckets).alias("c")).first().c))
-    bounds = np.array(cuts, np.int64)
+        if len(cuts) < buckets - 1:  # some id stands at several cuts; fewer than buckets + 1 ids
+            heavy = sorted(r.key for r in ids.groupBy("key").count().where(F.col("count") > n // buckets).collect())
+    head = F.substring("text", 1, HEAD)
+    lowest: dict[int, str] = {}
+    splits: dict[int, list[str]] = {}
+    folded = None
+    if heavy:
+        folded = materialize(rows.where(F.col("key").isin(heavy)).groupBy("key", "id", "text").agg(F.count("*").alias("n")))
+        lowest = {r.key: r.head for r in folded.groupBy("key").agg(F.min(head).alias("head")).collect()}
+        # a text in n // buckets is a bound: about as many as buckets, of HEAD characters
+        chosen = folded.where(F.expr(f"pmod(xxhash64(text), {n // buckets}) = 0")).select("key", head.alias("head")).distinct()
+        for r in chosen.collect():
+            if r.head > lowest[r.key]:
+                splits.setdefault(r.key, []).append(r.head)
+        splits = {k: sorted(v) for k, v in splits.items()}
+        rows = rows.where(~F.col("key").isin(heavy)).unionByName(folded.drop("n"))
+    bounds = np.array(sorted({*cuts, *heavy}), np.int64)
+    # region i starts at bounds[i], going down, and has a bucket for each split of that id and one more
+    width = np.array([1 + len(splits.get(k, ())) for k in bounds.tolist()] + [1], np.int64)
+    base = np.concatenate([np.cumsum(width[::-1])[::-1][1:], [0]]).astype(np.int64)
 
     @F.arrow_udf("int")
-    def bucket_of(keys: pa.Array) -> pa.Array:
-        # buckets count down the ids: 0 has the highest
-        return pa.array((len(bounds) - np.searchsorted(bounds, keys.to_numpy(), "left")).astype(np.int32))
-
-    # one row a bucket, at most MAX_BUCKETS
-    firsts = {r.b: r.top for r in ids.select("key", bucket_of("key").alias("b")).groupBy("b").agg(F.max("key").alias("top")).collect()}
-    order = sorted(firsts)
-    before = {firsts[b]: order[i - 1] for i, b in enumerate(order)}  # the first bucket's first row follows the last bucket
-    tops = np.array(sorted(before), np.int64)
-    prior = np.array([before[t] for t in tops.tolist()], np.int64)
+    def region_of(keys: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(bounds, keys.to_numpy(), "left").astype(np.int32))
+
+    # one row a region, at most as many as bounds
+    top = {r.region: r.top for r in ids.select("key", region_of("key").alias("region")).groupBy("region").agg(F.max("key").alias("top")).collect()}
+    starts: list[tuple[int, int, str | None]] = []
+    for region in sorted(top, reverse=True):
+        key, first = top[region], int(base[region])
+        starts.append((first, key, lowest.get(key)))
+        starts += [(first + j, key, s) for j, s in enumerate(splits.get(key, ()), 1)]
+    # the first bucket's first row follows the last bucket
+    before = {(key, s): starts[i - 1][0] for i, (_, key, s) in enumerate(starts)}
+    tops = np.array(sorted(key for key, s in before if s is None), np.int64)
+    prior = np.array([before[key, None] for key in tops.tolist()], np.int64)
+    heavies = np.array(heavy, np.int64)
 
     @F.arrow_udf("array<struct<b:int,guest:boolean>>")
-    def places(keys: pa.Array) -> pa.Array:
+    def places(keys: pa.Array, heads: pa.Array) -> pa.Array:
         k = keys.to_numpy()
-        own = len(bounds) - np.searchsorted(bounds, k, "left")
-        at = np.minimum(np.searchsorted(tops, k), len(tops) - 1)
-        first = tops[at] == k
-        size = 1 + first.astype(np.int32)
-        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        region = np.searchsorted(bounds, k, "left")
+        own = base[region] + width[region] - 1
+        at = np.minimum(np.searchsorted(tops, k), max(len(tops) - 1, 0))
+        first = tops[at] == k if len(tops) else np.zeros(len(k), bool)
+        other = prior[at] if len(tops) else np.zeros(len(k), np.int64)
+        for i in np.flatnonzero(np.isin(k, heavies)).tolist():
+            key, start = int(k[i]), heads[i].as_py()
+            own[i] = base[region[i]] + bisect_right(splits.get(key, ()), start)
+            first[i] = (key, start) in before
+            other[i] = before.get((key, start), 0)
+        offsets = np.concatenate([[0], np.cumsum(1 + first.astype(np.int32))]).astype(np.int32)
         b = np.empty(offsets[-1], np.int32)
         guest = np.zeros(offsets[-1], bool)
         b[offsets[:-1]] = own
-        b[offsets[:-1][first] + 1] = prior[at[first]]
+        b[offsets[:-1][first] + 1] = other[first]
         guest[offsets[:-1][first] + 1] = True
         return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(b), pa.array(guest)], ["b", "guest"]))
 
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = (
-        rows.withColumn("place", F.explode(places("key")))
+        rows.withColumn("place", F.explode(places("key", head if heavy else F.lit(""))))
         .select("place.b", "place.guest", "key", "id", "text")
         .repartition(parts, "b")
         .sortWithinPartitions(F.col("b"), F.col("guest"), F.col("key").desc(), F.col("text"))
@@ -182,4 +223,23 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
                 fresh = empty()
 
     schema = pa.schema([("id", pa.int64()), ("n_chars", pa.int64()), ("fingerprint", pa.string()), ("edited_text", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
-    return dealt.mapInArrow(walk, "id long, n_chars long, fingerprint string, edited_text string, edited_fingerprint string, near_edited double, near_next double")
+    shape = "id long, n_chars long, fingerprint string, edited_text string, edited_fingerprint string, near_edited double, near_next double"
+    walked = dealt.mapInArrow(walk, shape)
+    if folded is None:
+        return walked
+
+    def alone(batches):
+        for batch in batches:
+            out = {c: [] for c in (*schema.names, "copies")}
+            for i, text, copies in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "copies")), strict=True):
+                own, changed = digest(text.encode()), edited(text, text)
+                mark = digest(changed.encode())
+                for c, v in zip(out, (i, len(text), own, changed, mark, likeness(own, mark), 1.0, copies), strict=True):
+                    out[c].append(v)
+            yield pa.RecordBatch.from_pydict(out, schema.append(pa.field("copies", pa.int64())))
+
+    # all but one row of each group of equal rows are followed by an equal one
+    shares_of = folded.where("n > 1").select("id", "text", "n", F.explode(F.expr(f"sequence(0L, (n - 2) div {COPIES})")).alias("share"))
+    sized = shares_of.select("id", "text", "share", F.least(F.lit(COPIES), F.col("n") - 1 - F.col("share") * COPIES).alias("copies")).repartition(parts, F.xxhash64("text"), "share")
+    copied = sized.select("id", "text", "copies").mapInArrow(alone, f"{shape}, copies long")
+    return walked.unionByName(copied.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).drop("copies", "copy"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from skyloom.llm import html_text, mixing, ngram_join
+from skyloom.llm import fingerprint, html_text, mixing, ngram_join
 
 
 @pytest.mark.parametrize("width", [2, 256])
@@ -61,3 +61,30 @@ def test_mixing_reports_missed_targets(spark):
     with pytest.warns(UserWarning, match="out of reach"):
         model = mixing.fit(docs, targets={"en": 500.0, "zz": 300.0})
     assert "zz" in model.missed
+
+
+@pytest.mark.parametrize("rows_a_bucket", [3, 10, 2_000])
+def test_ids_that_hold_most_rows(spark, rows_a_bucket):
+    shared = "the same opening words of many texts " * 10  # longer than the characters that deal rows
+    rows = [(i, f"text number {i} of its own") for i in range(-20, 40, 3)]
+    rows += [(None, f"{chr(97 + i % 26)} lost {i} {shared}") for i in range(50)] + [(None, None)] * 9 + [(None, "a row without an id")] * 30
+    rows += [(7, f"{shared}{i * i % 17}") for i in range(40)] + [(2**60 + 1, "far out")] * 25 + [(-(2**63), "lowest")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    # null ids are as the lowest id
+    order = sorted(((-(2**63) if i is None else i, t or "", i) for i, t in rows), key=lambda r: (-r[0], r[1]))
+    expected = []
+    for at, (_, text, i) in enumerate(order):
+        following = order[(at + 1) % len(order)][1]
+        changed = fingerprint.edited(text, following)
+        own, mark, beyond = (fingerprint.digest(t.encode()) for t in (text, changed, following))
+        expected.append((i, len(text), own, changed, mark, fingerprint.likeness(own, mark), fingerprint.likeness(own, beyond)))
+    found = [tuple(r) for r in fingerprint.with_next(docs, rows_a_bucket=rows_a_bucket).collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+def test_copies_of_one_row_are_shared_among_tasks(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "COPIES", 7)
+    docs = spark.createDataFrame([(None, "one text that holds most rows")] * 100 + [(1, "another")], "doc_id long, text string")
+    found = fingerprint.with_next(docs, rows_a_bucket=10).collect()
+    assert len(found) == 101
+    assert sum(r.near_next == 1 for r in found) == 99
