@@ -1,8 +1,8 @@
 """Listing of files, empty ones included.
 
 Spark's file readers skip empty files, and an empty label file is what marks a
-background tile. So names come from a listing by Hadoop's file system, contents
-from Spark's readers, and a left join brings both together.
+background tile. So names come from a listing of their own, contents from Spark's
+readers, and a left join brings both together.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.text import stem, strip
 from skyloom.session import hadoop_path
+from skyloom.sources.names import FileNames
 
 #: Suffixes of photos, as written: case counts, but for raw photos, which are found whatever their case.
 PHOTO_SUFFIXES = (".jpg", ".jpeg", ".png", ".tif", ".tiff", ".JPG", ".JPEG", ".PNG")
@@ -26,16 +27,21 @@ def exists(spark: SparkSession, path: str) -> bool:
 def listing(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """(path, name, stem, suffix, size) of the files in a folder; of none if it is absent.
 
-    Names only pass through the driver, as they do in Spark's own file index.
+    Folders that executors mount are listed by tasks, when the table is read; those
+    of other stores by Hadoop's file system, so that their names pass through the driver.
     """
     where, system = hadoop_path(spark, path)
-    rows: list[tuple[str, int]] = []
-    if system.exists(where):
-        files = system.listFiles(where, recursive)
-        while files.hasNext():
-            status = files.next()
-            rows.append((status.getPath().toString(), status.getLen()))
-    found = spark.createDataFrame(rows, "path string, size long")
+    if system.exists(where) and system.getUri().getScheme() == "file":
+        spark.dataSource.register(FileNames)
+        found = spark.read.format("file_names").option("recursive", recursive).load(system.makeQualified(where).toUri().getPath())
+    else:
+        rows: list[tuple[str, int]] = []
+        if system.exists(where):
+            files = system.listFiles(where, recursive)
+            while files.hasNext():
+                status = files.next()
+                rows.append((status.getPath().toString(), status.getLen()))
+        found = spark.createDataFrame(rows, "path string, size long")
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     return found.select("path", name.alias("name"), stem(name).alias("stem"), F.regexp_extract(name, r"(\.[^.]*)$", 1).alias("suffix"), "size")
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyloom import config
-from skyloom.sources import files, photos, sinks, survey, yolo
+from skyloom.sources import files, names, photos, sinks, survey, yolo
 
 XML = """<?xml version="1.0"?><document><chunk><sensors>
 <sensor id="0"><resolution width="4000" height="3000"/><calibration><f>3000</f><cx>1.5</cx><cy>-2</cy></calibration><calibration><f>1</f></calibration></sensor>
@@ -57,6 +57,36 @@ def test_layouts(spark, tmp_path, labels):
     assert files.listing(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_tasks_list_folders(spark, tmp_path):
+    for path in ("a b/c%20d", "a b/e+f", "none"):
+        (tmp_path / path).mkdir(parents=True)
+    written = {"top.txt": b"1", "a b/x.PNG": b"", "a b/.hidden": b"12", "a b/c%20d/é 100%.jpg": b"123", "a b/e+f/no suffix": b"1234"}
+    for name, data in written.items():
+        (tmp_path / name).write_bytes(data)
+    (tmp_path / "none/lost").symlink_to(tmp_path / "nowhere")
+    every = files.listing(spark, str(tmp_path), recursive=True)
+    assert {(r.path, r.name, r.size) for r in every.collect()} == {(f"file:{tmp_path}/{name}", name.rsplit("/", 1)[-1], len(data)) for name, data in written.items()}
+    # a task a folder: the root, 'a b', its two, and 'none'
+    assert every.rdd.getNumPartitions() == 5
+    assert [(r.stem, r.suffix) for r in files.listing(spark, f"file:{tmp_path}").collect()] == [("top", ".txt")]
+    assert [r.name for r in files.listing(spark, f"{tmp_path}/a b/c%20d").collect()] == ["é 100%.jpg"]
+    assert [r.size for r in files.listing(spark, f"{tmp_path}/a b/.hidden").collect()] == [2]
+    assert files.listing(spark, f"{tmp_path}/none", recursive=True).count() == 0
+
+
+def test_many_folders_share_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(names, "MAX_PARTS", 3)
+    monkeypatch.setattr(names, "BATCH", 2)
+    for i in range(7):
+        (tmp_path / f"d{i}").mkdir()
+        for j in range(i):
+            (tmp_path / f"d{i}/{j}").write_bytes(b"")
+    reader = names.FileNames({"path": str(tmp_path), "recursive": "true"}).reader(None)
+    parts = reader.partitions()
+    found = [path for part in parts for batch in reader.read(part) for path in batch.column(0).to_pylist()]
+    assert len(parts) == 3 and sorted(found) == sorted(f"file:{tmp_path}/d{i}/{j}" for i in range(7) for j in range(i))
+
+
 def test_label_files_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([("t_0_0", 1, "1", 1 / 128, 0.5, 0.1234565, 1.0), ("t_0_0", 0, "0", 0.25, 0.5, 0.5, 1.0)], "tile string, line_no int, class_id string, xc double, yc double, bw double, bh double")
     contents = yolo.label_text(rows).union(spark.createDataFrame([("background", "")], "tile string, content string"))
