@@ -101,10 +101,10 @@ def stratify_dataset(spark: SparkSession, c: config.Stratification) -> DataFrame
     prints = materialize(metric(survey.footprints(spark, c.geojson_path), c.utm_epsg))
     sized = stratify.drop_oversized(prints, c.max_oversized_pct)
     allocated = materialize(stratify.spatial_split(sized, c.split_ratio))
-    kept = materialize(stratify.allocation(allocated, c.max_overlap_pct))
+    flagged = materialize(stratify.with_leaks(allocated, c.max_overlap_pct))
+    kept, dropped = flagged.where("not leaks").drop("leaks"), flagged.where("leaks")
     kept.write.mode("overwrite").parquet(f"{c.output_dir}/allocation")
-    stratify.summary(prints, sized, kept).write.mode("overwrite").parquet(f"{c.output_dir}/summary")
-    dropped = allocated.join(kept.select("image_name"), "image_name", "left_anti")
+    stratify.summary(prints, flagged).write.mode("overwrite").parquet(f"{c.output_dir}/summary")
     sinks.names(dropped, f"{c.output_dir}/dropped_images.txt")
     sinks.write_text(spark, f"{c.output_dir}/data.yaml", sinks.data_yaml(c.output_dir, list(c.classes)))
     if c.dataset_dir:

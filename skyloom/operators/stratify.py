@@ -67,14 +67,30 @@ def allocation(allocated: DataFrame, max_overlap_pct: float = MAX_OVERLAP_PCT, c
     return allocated.join(leaks.select(F.col("train_name").alias("image_name")).distinct(), "image_name", "left_anti")
 
 
-def summary(initial: DataFrame, sized: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row of counts: retained counts names, the cohorts count rows."""
-    before, middle = initial.agg(F.count("*").alias("initial")), sized.agg(F.count("*").alias("sized"), F.countDistinct("image_name").alias("names"))
-    after = kept.agg(F.countDistinct("image_name").alias("retained"), *(F.count_if(F.col("split") == s).alias(s) for s in ("train", "val", "test")))
-    return before.crossJoin(middle).crossJoin(after).select(
+def with_leaks(allocated: DataFrame, max_overlap_pct: float = MAX_OVERLAP_PCT, cell: float = CELL) -> DataFrame:
+    """Add leaks: whether allocation() drops the row."""
+    pairs = cross_split_pairs(allocated, cell).where(F.col("overlap_pct") > max_overlap_pct)
+    names = pairs.select(F.col("train_name").alias("image_name"), F.lit(True).alias("__leaks")).distinct()
+    return allocated.join(names, "image_name", "left").withColumn("leaks", F.col("__leaks").isNotNull()).drop("__leaks")
+
+
+def summary(initial: DataFrame, flagged: DataFrame) -> DataFrame:
+    """One row of counts of all footprints and of those of allowed size with leaks.
+
+    Names are counted for retained and boundary_dropped, rows for the cohorts and oversized_dropped.
+    """
+    cohorts = ("train", "val", "test")
+    names = flagged.groupBy("image_name").agg(F.first("leaks").alias("leaks"), F.count("*").alias("rows"), *(F.count_if((F.col("split") == s) & ~F.col("leaks")).alias(s) for s in cohorts))
+    known = F.col("image_name").isNotNull()
+    after = names.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("sized"),
+        F.count_if(known & F.col("leaks")).alias("boundary_dropped"),
+        F.count_if(known & ~F.col("leaks")).alias("retained"),
+        *(F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in cohorts),
+    )
+    return initial.agg(F.count("*").alias("initial")).crossJoin(after).select(
         "initial",
         (F.col("initial") - F.col("sized")).alias("oversized_dropped"),
-        (F.col("names") - F.col("retained")).alias("boundary_dropped"),
-        "retained", "train", "val", "test",
+        "boundary_dropped", "retained", *cohorts,
         F.try_divide(F.col("retained") * 100.0, F.col("initial")).alias("retained_pct"),
     )

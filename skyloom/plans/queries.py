@@ -112,9 +112,7 @@ def stratified_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prints = _prints(spark, sf_dir)
-    sized = stratify.drop_oversized(prints)
-    found = stratify.summary(prints, sized, stratify.allocation(stratify.spatial_split(sized)))
+    found = stratify.summary(_prints(spark, sf_dir), stratify.with_leaks(_allocated(spark, sf_dir)))
     return found.withColumn("retained_pct", F.round("retained_pct", 6))
 
 
