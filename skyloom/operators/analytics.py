@@ -177,7 +177,7 @@ def with_combined(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(F.col(key), F.lit("all"))))
 
 
-def distillation_layers(allocated: DataFrame, unlabelled: DataFrame, key: str = "image_name", cell: float = 64.0) -> DataFrame:
+def distillation_layers(allocated: DataFrame, unlabelled: DataFrame, key: str = "image_name", cell: float = 8.0) -> DataFrame:
     """(key, campaign, layer): labelled training tiles, unlabelled ones that touch neither validation nor test, and these two."""
     columns = [key, "campaign"]
     held = allocated.where("split <> 'train'")

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import ring
 from skyloom.functions.text import share
-from skyloom.operators.spatial import box_pairs, touching
+from skyloom.operators.spatial import touching
 
-CELL = 64.0
+CELL = 8.0
 
 
 def hull_of(points: np.ndarray) -> np.ndarray:
@@ -97,9 +97,7 @@ def _meeting(left: DataFrame, right: DataFrame, key: str, size: float) -> DataFr
 
 def exact_touching(left: DataFrame, right: DataFrame, key: str, size: float) -> DataFrame:
     """touching() for rings of any shape: bounds first, then borders and insides."""
-    columns = ["ring", "x0", "y0", "x1", "y1"]
-    pairs = box_pairs(left.select(key, *columns), right.select(*columns), size)
-    return pairs.where(ring.intersects(F.col("l_ring"), F.col("r_ring"))).select(F.col(f"l_{key}").alias(key)).distinct()
+    return touching(left, right, key, size, columns=("ring",), where=ring.intersects(F.col("l_ring"), F.col("r_ring")))
 
 
 def metrics(rows: DataFrame) -> DataFrame:
