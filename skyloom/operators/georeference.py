@@ -85,12 +85,12 @@ def mesh_hits(ray_rows: DataFrame, triangles: DataFrame, key: list[str], cell: f
     least distance wins (of faces at that distance, any). A ray whose hit lies
     before its next cube leaves, so what is behind the terrain makes no pairs. Each
     round writes its rays; there are log4 of the longest way's cubes. Both tables are
-    read in each round: hand in written ones.
+    read in each round: hand in written ones. Faces with the same corners count as one, that of the least face_id.
     """
     spark = ray_rows.sparkSession
     corner = {axis: [F.col(f"{v}.{axis}") for v in "abc"] for axis in "xyz"}
     extent = triangles.agg(*(e for axis, vs in corner.items() for e in (F.min(F.least(*vs)).alias(f"{axis}0"), F.max(F.greatest(*vs)).alias(f"{axis}1"))))
-    dealt = triangles
+    dealt = triangles.groupBy("a", "b", "c").agg(F.min("face_id").alias("face_id"))
     for axis, vs in corner.items():
         low = F.floor(F.least(*vs) / cell)
         # up to the cube that the upper side is in or, if it is a cube's side, ends at: rays on a side visit both cubes
