@@ -36,6 +36,23 @@ def hull_of(points: np.ndarray) -> np.ndarray:
     return np.array(chain(ordered) + chain(ordered[::-1]))
 
 
+def outside(hull: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """The points (n, 2) that are not clearly inside a counter-clockwise hull: those within rounding of a side stay."""
+    if len(hull) < 3:
+        return points
+    clear = 64 * np.finfo(float).eps * max(np.abs(hull).max(), 1.0) ** 2
+    inside = np.ones(len(points), bool)
+    for a, b in zip(hull, np.roll(hull, -1, 0), strict=True):
+        inside &= (b[0] - a[0]) * (points[:, 1] - a[1]) - (b[1] - a[1]) * (points[:, 0] - a[0]) > clear
+    return points[~inside]
+
+
+def grown(hull: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """The hull of a hull and further points, of which only those that it does not hold are sorted."""
+    beyond = outside(hull, points)
+    return hull_of(np.concatenate([hull, beyond])) if len(beyond) else hull
+
+
 def convex_hull(points: DataFrame) -> DataFrame:
     """One row: the hull of points(x, y) as a counter-clockwise ring.
 
@@ -47,7 +64,7 @@ def convex_hull(points: DataFrame) -> DataFrame:
         kept = np.zeros((0, 2))
         for batch in batches:
             xy = np.stack([batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)], 1).astype(float)
-            kept = hull_of(np.concatenate([kept, xy]))
+            kept = grown(kept, xy)
         yield pa.RecordBatch.from_pydict({"x": kept[:, 0], "y": kept[:, 1]}) if len(kept) else pa.RecordBatch.from_pydict({"x": np.zeros(0), "y": np.zeros(0)})
 
     @F.arrow_udf("array<struct<x:double,y:double>>")
@@ -65,12 +82,16 @@ def convex_hull(points: DataFrame) -> DataFrame:
 def candidates(unlabelled: DataFrame, test: DataFrame, hull: DataFrame, key: str = "image_name", cell: float = CELL) -> DataFrame:
     """Unlabelled footprints with their centroid inside the hull of the test set, or that touch a test footprint.
 
-    The hull is one row and is broadcast; touching goes by cells.
+    The hull is one row and is broadcast with its sides and bounds; its sides are
+    looked at for rows within its bounds alone. Touching goes by cells.
     """
     near = _meeting(unlabelled, test, key, cell).withColumn("__near", F.lit(True))
-    flagged = unlabelled.join(near, key, "left").crossJoin(F.broadcast(hull.select(F.col("hull").alias("__hull"))))
-    inside = (F.size("__hull") > 2) & ring.contains_strictly(F.col("__hull"), ring.point(F.col("centroid_x"), F.col("centroid_y")))
-    return flagged.where(inside | F.col("__near")).drop("__near", "__hull")
+    whole = hull.select(ring.sides(F.col("hull")).alias("__sides"), ring.bounds(F.col("hull")).alias("__bounds"))
+    flagged = unlabelled.join(near, key, "left").crossJoin(F.broadcast(whole))
+    x, y = F.col("centroid_x"), F.col("centroid_y")
+    within = (x > F.col("__bounds.x0")) & (x < F.col("__bounds.x1")) & (y > F.col("__bounds.y0")) & (y < F.col("__bounds.y1"))
+    inside = (F.size("__sides") > 2) & within & ring.left_of_all(F.col("__sides"), ring.point(x, y))
+    return flagged.where(F.col("__near") | inside).drop("__near", "__sides", "__bounds")
 
 
 def combined(test: DataFrame, unlabelled: DataFrame) -> DataFrame:
