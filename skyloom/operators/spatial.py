@@ -119,7 +119,9 @@ def _touching_at(left: DataFrame, right: DataFrame, side: float, closed: bool, t
     last = tried.agg(F.max("__round")).first()[0]
     if last is None:
         return []
-    going, found = materialize(a), []
+    # rows of a few cells often lie in one file, as ranks are sorted by place; a number, as few bytes may be much work
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    going, found = materialize(a.repartition(parts, "l___key")), []
     for turn in range(last + 1):
         found.append(materialize(going.join(tried.where(F.col("__round") == turn), ["gx", "gy"]).where(test).select("l___key").distinct()))
         if turn < last:

@@ -61,6 +61,30 @@ def test_allocation_drops_the_rows_of_the_pairs(spark, closed, limit):
     assert sorted(kept) == sorted({r.image_name for r in thinned.collect()} - gone) and gone
 
 
+def test_rows_of_one_file_are_tried_by_many_tasks(spark):
+    """All left rows in one partition and near two cells, as tables sorted by place have them."""
+    from pyspark import AccumulatorParam, TaskContext
+
+    class Counts(AccumulatorParam):
+        def zero(self, value):
+            return {}
+
+        def addInPlace(self, one, other):
+            return {k: one.get(k, 0) + other.get(k, 0) for k in one | other}
+
+    rng = random.Random(11)
+    a, b = (spark.createDataFrame([(f"{i}", *_box(rng, 5, 8, 8)) for i in range(3000)], BOX).coalesce(1) for _ in "ab")
+    tried = spark.sparkContext.accumulator({}, Counts())
+
+    def never(x, y):
+        tried.add({TaskContext.get().partitionId(): 1})
+        return False
+
+    near = F.abs(F.col("l_x0") - F.col("r_x0")) < 0.05
+    assert spatial.touching(a, b, "k", 8.0, where=near & F.udf(never, "boolean")("l_x0", "r_x0")).count() == 0
+    assert sum(tried.value.values()) > 1000 and max(tried.value.values()) < 0.6 * sum(tried.value.values())
+
+
 def test_pairs_apart_are_the_pairs(spark):
     rng = random.Random(9)
     a, b = (spark.createDataFrame([(f"{i}", *_box(rng, rng.choice([2, 40]), w, 60)) for i in range(300)], BOX) for w in (90, 20))
