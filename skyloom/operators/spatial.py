@@ -33,7 +33,9 @@ BOUNDS = ("x0", "y0", "x1", "y1")
 def _by_level(left: DataFrame, right: DataFrame, size: float) -> Iterator[tuple[DataFrame, DataFrame, float]]:
     """(rows of left, rows of right, side of a cell), so that each pair stands in one of them: that of its larger row's level."""
     a, b = (df.withColumn("__level", _level(size)) for df in (left, right))
-    levels = [{r[0] for r in df.where("__level > 0").select("__level").distinct().collect()} for df in (a, b)]
+    wide = [df.where("__level > 0").select("__level", F.lit(i).alias("__of")) for i, df in enumerate((a, b))]
+    found = wide[0].unionByName(wide[1]).distinct().collect()
+    levels = [{r[0] for r in found if r[1] == i} for i in (0, 1)]
     parts = [(a.where("__level = 0"), b.where("__level = 0"), 0)]
     for level in sorted(levels[0] | levels[1]):
         if level in levels[0]:

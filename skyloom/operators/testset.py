@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import ring
 from skyloom.functions.text import share
-from skyloom.operators.spatial import touching
+from skyloom.operators.spatial import BOUNDS, touching
+from skyloom.session import materialize
 
 CELL = 8.0
 
@@ -105,8 +106,15 @@ def south_buffer(dropped: DataFrame, limit: float = 5_332_400.0) -> DataFrame:
 
 
 def isolated(pool: DataFrame, train: DataFrame, buffer: DataFrame, key: str = "image_name", cell: float = CELL) -> DataFrame:
-    """Rows of pool whose name touches neither a training footprint nor the buffer (closed)."""
-    for other in (train, buffer):
+    """Rows of pool whose name touches neither a training footprint nor the buffer (closed).
+
+    Both are tried as one table where pool meets them by the same columns. Pool is
+    written once, as a semi-join reads its rows several times.
+    """
+    pool = materialize(pool)
+    sides = [[*BOUNDS, *(["ring"] if "ring" in pool.columns and "ring" in df.columns else [])] for df in (train, buffer)]
+    others = [df.select(*columns) for df, columns in zip((train, buffer), sides, strict=True)]
+    for other in [others[0].unionByName(others[1])] if sides[0] == sides[1] else others:
         pool = pool.join(_meeting(pool, other, key, cell), key, "left_anti")
     return pool
 
