@@ -143,11 +143,12 @@ def ranked(df: DataFrame, *keys: Column, name: str = "rank") -> DataFrame:
     part = F.shiftright("__id", 33)
     # one row a partition
     sizes = sorted((r.p, r.n) for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
-    before, total = [], 0
+    if not sizes:
+        return placed.withColumn(name, F.lit(0).cast("long")).drop("__id")
+    before, total = [0] * (sizes[-1][0] + 1), 0
     for p, n in sizes:
-        before.append((p, total))
+        before[p] = total
         total += n
-    if not before:
-        return placed.withColumn(name, F.lit(0).cast("long")).drop("__id")
-    offsets = F.create_map(*(F.lit(x).cast("long") for pair in before for x in pair))
-    return placed.withColumn(name, F.element_at(offsets, part.cast("long")) + F.col("__id").bitwiseAND((1 << 33) - 1) + 1).drop("__id")
+    # an array, as a map would be searched for each row
+    offsets = F.array(*(F.lit(x).cast("long") for x in before))
+    return placed.withColumn(name, F.get(offsets, part.cast("int")) + F.col("__id").bitwiseAND((1 << 33) - 1) + 1).drop("__id")
