@@ -89,19 +89,27 @@ def with_leaks(allocated: DataFrame, max_overlap_pct: float = MAX_OVERLAP_PCT, c
     return allocated.join(names, "image_name", "left").withColumn("leaks", F.col("__leaks").isNotNull()).drop("__leaks")
 
 
+def with_leak_rows(allocated: DataFrame, max_overlap_pct: float = MAX_OVERLAP_PCT, cell: float = CELL) -> DataFrame:
+    """image_name, split and leaks for summary(): the rows, and one without a split for each name that leaks, so that no join sorts the rows."""
+    names = _leaking(allocated, max_overlap_pct, False, cell).where("image_name is not null")
+    rows = allocated.select("image_name", "split", F.lit(False).alias("leaks"))
+    return rows.unionByName(names.select("image_name", F.lit(None).cast("string").alias("split"), F.lit(True).alias("leaks")))
+
+
 def summary(initial: DataFrame, flagged: DataFrame) -> DataFrame:
     """One row of counts of all footprints and of those of allowed size with leaks.
 
-    Names are counted for retained and boundary_dropped, rows for the cohorts and oversized_dropped.
+    Flagged is with_leaks() or with_leak_rows(): a name leaks if one of its rows does. Names are
+    counted for retained and boundary_dropped, rows for the cohorts and oversized_dropped.
     """
     cohorts = ("train", "val", "test")
-    names = flagged.groupBy("image_name").agg(F.first("leaks").alias("leaks"), F.count("*").alias("rows"), *(F.count_if((F.col("split") == s) & ~F.col("leaks")).alias(s) for s in cohorts))
+    names = flagged.groupBy("image_name").agg(F.max("leaks").alias("leaks"), F.count("split").alias("rows"), *(F.count_if(F.col("split") == s).alias(s) for s in cohorts))
     known = F.col("image_name").isNotNull()
     after = names.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("sized"),
         F.count_if(known & F.col("leaks")).alias("boundary_dropped"),
         F.count_if(known & ~F.col("leaks")).alias("retained"),
-        *(F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in cohorts),
+        *(F.coalesce(F.sum(F.when(~F.col("leaks"), F.col(s))), F.lit(0)).alias(s) for s in cohorts),
     )
     return initial.agg(F.count("*").alias("initial")).crossJoin(after).select(
         "initial",
